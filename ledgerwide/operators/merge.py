@@ -41,7 +41,9 @@ def upsert_fact(
     Within a batch the row of the later file wins, then the higher ``row_num``.
     """
     columns = [*key, *kept, *updated]
-    order_of_batch = F.struct(F.lit(1).alias("b"), F.col("source_file"), F.col("row_num").cast("int"))
+    order_of_batch = F.struct(
+        F.lit(1).alias("b"), F.col("source_file"), F.col("row_num").cast("int").alias("row_num")
+    )
     rows = batch.select(*columns, order_of_batch.alias("_order"))
     if existing is not None:
         oldest = F.struct(

@@ -272,7 +272,8 @@ def raw_providers(spark: SparkSession, folder: str) -> DataFrame:
 
 def provider_code(key: Column) -> Column:
     """Three characters for most, four for a few that the length rule drops."""
-    code = F.lpad(F.conv(key.cast("string"), 10, 36), 3, "0")
+    code = F.conv(key.cast("string"), 10, 36)
+    code = F.when(F.length(code) >= 3, code).otherwise(F.lpad(code, 3, "0"))
     return F.when(key % 31 == 30, F.concat(F.lit("X"), code)).otherwise(code)
 
 
@@ -295,3 +296,33 @@ def trusts(spark: SparkSession, folder: str) -> DataFrame:
             (key % 3 != 0).cast("int").alias("is_foundation"),
         )
     )
+
+
+def template_grid(spark: SparkSession, folder: str) -> DataFrame:
+    """Template sheets made of parts: brands are sheets, codes repeat, layouts vary by row."""
+    key, size = F.col("p_partkey"), F.col("p_size")
+    sheet = (
+        F.when(size % 9 == 0, ref.STAFF)
+        .when(size % 9 == 1, "Intro")
+        .otherwise(F.concat("p_brand", F.lit(" &amp; more")))
+    )
+    code = F.concat(
+        F.format_string("PRT%04d", key % 700), F.when(key % 3 == 0, "A").otherwise("")
+    )
+    sign = F.when(key % 3 == 0, "+").when(key % 3 == 1, "-").otherwise("+/-")
+    label = (
+        F.when(size % 5 == 0, F.concat(F.lit(" total  "), "p_name"))
+        .when(size % 5 == 1, F.concat(F.upper("p_type"), F.lit(" 12")))
+        .when(size % 5 == 2, F.concat("p_name", F.lit(" wte")))
+        .otherwise(F.col("p_name"))
+    )
+    none = F.lit(None).cast("string")
+    cells = (
+        F.when(key % 4 == 0, F.array(none, label, sign, code))
+        .when(key % 4 == 1, F.array(label, none, F.lit("ABC1234"), code, sign))
+        .when(key % 4 == 2, F.array(sign, F.lit("  "), label, code, F.lit("note")))
+        .otherwise(F.array(none, none, code))
+    )
+    return table(spark, folder, "part").select(
+        sheet.alias("worksheet_name"), key.alias("row_no"), cells.alias("cells")
+    )
