@@ -20,15 +20,13 @@ def col(name: str | Column) -> Column:
 def financial_year_from_name(name: str | Column, strict: bool = True) -> Column:
     """``..._2023-24.csv`` -> ``2023/24``. A name without a year raises, or is null if not strict."""
     name = col(name)
-    label = F.concat_ws(
-        "/", F.regexp_extract(name, YEAR_IN_NAME, 1), F.regexp_extract(name, YEAR_IN_NAME, 2)
-    )
+    label = F.replace(F.regexp_extract(name, YEAR_IN_NAME, 0), F.lit("-"), F.lit("/"))
     missing = (
         F.raise_error(F.concat(F.lit("no financial year in file name: "), name)).cast("string")
         if strict
         else F.lit(None).cast("string")
     )
-    return F.when(name.rlike(YEAR_IN_NAME), label).otherwise(missing)
+    return F.when(label != "", label).otherwise(missing)
 
 
 def trust_type_from_name(name: str | Column) -> Column:

@@ -21,32 +21,30 @@ from ledgerwide.schemas import ORG_ATTRIBUTES, ORG_YEAR, VIEW_KEY
 AMOUNT = "total_000s"
 
 
-def on_sheet(worksheet: str) -> Column:
-    return F.col("worksheet_name") == worksheet
+def on_sheet(worksheet: str) -> str:
+    return f"worksheet_name = '{worksheet}'"
 
 
-def largest(code: str, column: str, where: Column | None = None) -> Column:
+def largest(code: str, column: str, where: str | None = None) -> Column:
     """Largest amount booked under a code (a code can stand under several main codes)."""
-    hit = F.col("sub_code") == code
-    if where is not None:
-        hit = where & hit
-    return F.max(F.when(hit, F.col(AMOUNT))).alias(column)
+    hit = f"sub_code = '{code}'" + (f" AND {where}" if where else "")
+    return F.expr(f"max(CASE WHEN {hit} THEN {AMOUNT} END) AS {column}")
 
 
 def largest_each(
-    lines: Mapping[str, str], where: Column | None = None, prefix: str = ""
+    lines: Mapping[str, str], where: str | None = None, prefix: str = ""
 ) -> list[Column]:
     return [largest(code, prefix + column, where) for code, column in lines.items()]
 
 
-def category_total(category: str, column: str, where: Column) -> Column:
+def category_total(category: str, column: str, where: str = "true") -> Column:
     """Sum of a category over the rows in ``where``: 0 without a hit, null without any row."""
-    hit = F.when(F.col("analytics_category") == category, F.col(AMOUNT)).otherwise(0)
-    return F.sum(F.when(where, hit)).alias(column)
+    hit = f"CASE WHEN analytics_category = '{category}' THEN {AMOUNT} ELSE 0 END"
+    return F.expr(f"sum(CASE WHEN {where} THEN {hit} END) AS {column}")
 
 
-def any_row(where: Column, column: str) -> Column:
-    return F.coalesce(F.max(F.when(where, F.lit(True))), F.lit(False)).alias(column)
+def any_row(where: str, column: str) -> Column:
+    return F.expr(f"coalesce(bool_or({where}), false) AS {column}")
 
 
 def per_org_year(rows: DataFrame, columns: Iterable[Column]) -> DataFrame:

@@ -9,6 +9,8 @@ once per view.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,7 +66,7 @@ def expenditure_breakdown(fact: DataFrame, trusts: DataFrame, codes: DataFrame)
     known = codes.select("sub_code", "analytics_category")
     rows = fact.where(pivot.on_sheet(ref.EXPENDITURE)).join(known, "sub_code", "inner")
     totals = [
-        pivot.category_total(category, column, F.lit(True))
+        pivot.category_total(category, column)
         for category, column in ref.EXPENDITURE_CATEGORIES.items()
     ]
     wide = pivot.per_org_year(rows, [*totals, *pivot.largest_each(ref.EXPENDITURE_LINES)])
@@ -81,6 +83,10 @@ def balance_sheet(fact: DataFrame, trusts: DataFrame) -> DataFrame:
     return pivot.sheet_view(fact, trusts, ref.SOFP, ref.BALANCE_SHEET_LINES)
 
 
+def _codes_in(lines: Mapping[str, str]) -> str:
+    return "sub_code IN (" + ", ".join(f"'{code}'" for code in lines) + ")"
+
+
 def org_year_wide(
     fact: DataFrame, trusts: DataFrame, codes: DataFrame, only_with_income: bool = False
 ) -> DataFrame:
@@ -91,24 +97,19 @@ def org_year_wide(
     that no column reads; without it all rows of both schedules stay, because
     their presence alone makes a view row.
     """
-    code = F.col("sub_code")
     soci, spend, staff = (pivot.on_sheet(s) for s in (ref.SOCI, ref.EXPENDITURE, ref.STAFF))
-    extra = code.isin(list(ref.SCORECARD_LINES))
+    extra = _codes_in(ref.SCORECARD_LINES)
     if only_with_income:
-        wanted = (
-            (soci & code.isin(list(INCOME_SUMMARY_LINES)))
-            | spend
-            | (staff & code.isin(list(ref.WORKFORCE_LINES)))
-            | extra
-        )
+        summary, workforce_rows = _codes_in(INCOME_SUMMARY_LINES), _codes_in(ref.WORKFORCE_LINES)
+        wanted = f"({soci} AND {summary}) OR {spend} OR ({staff} AND {workforce_rows}) OR {extra}"
     else:
-        wanted = soci | spend | staff | extra
+        wanted = f"{soci} OR {spend} OR {staff} OR {extra}"
 
     known = codes.select(
         F.col("sub_code"), "analytics_category", F.lit(True).alias("in_dictionary")
     )
     rows = fact.where(wanted).join(known, "sub_code", "left")
-    spend_known = spend & F.col("in_dictionary")
+    spend_known = f"{spend} AND in_dictionary"
     columns = [
         pivot.any_row(soci, "has_summary"),
         pivot.any_row(spend_known, "has_spend"),

@@ -20,10 +20,13 @@ from ledgerwide.schemas import (
     STAGED_SCHEMA,
     TRUST_SCHEMA,
 )
-from ledgerwide.session import scratch_path, scratch_root
+from ledgerwide.session import drop_scratch, scratch_path
 from ledgerwide.sources import landing, staging
 
 
+FACT_ORDER = ["financial_year", "worksheet_name", "org_code", "sub_code"]
+
+
 @dataclass(frozen=True)
 class Tables:
     """Folders of a warehouse."""
@@ -72,6 +75,7 @@ def _overwrite_small(table: DataFrame, path: str) -> None:
     aside = scratch_path(spark, "dimension")
     table.write.parquet(aside)
     spark.read.parquet(aside).write.mode("overwrite").parquet(path)
+    drop_scratch(spark, aside)
 
 
 def stage(spark: SparkSession, tables: Tables, rows: DataFrame, providers: DataFrame) -> dict[str, int]:
@@ -101,16 +105,29 @@ def promote(spark: SparkSession, tables: Tables, years: Sequence[str]) -> None:
 
     batch = resolve.resolve_codes(rows, providers)
     old = _existing(spark, tables.fact, FACT_SCHEMA)
-    merged = merge.upsert_fact(None if old is None else old.where(in_years), batch)
+    if old is None:
+        merged = clustered(merge.upsert_fact(None, batch))
+        staging.overwrite_scopes(merged, tables.fact, by=["financial_year"])
+        return
     # Written aside first: the merge reads the partitions it is about to replace.
+    merged = clustered(merge.upsert_fact(old.where(in_years), batch))
     aside = scratch_path(spark, "fact")
     merged.write.partitionBy("financial_year").parquet(aside)
-    fresh = staging.read_table(spark, aside, FACT_SCHEMA)
-    staging.overwrite_scopes(
-        fresh.sortWithinPartitions("financial_year", "worksheet_name", "sub_code"),
-        tables.fact,
-        by=["financial_year"],
-    )
+    settled = staging.read_table(spark, aside, FACT_SCHEMA).sortWithinPartitions(*FACT_ORDER)
+    staging.overwrite_scopes(settled, tables.fact, by=["financial_year"])
+    drop_scratch(spark, aside)
+
+
+def clustered(fact: DataFrame) -> DataFrame:
+    """Fact rows laid out for the views.
+
+    An organisation-year lies in one file, so a pivot combines it fully before its
+    shuffle; within a file rows are sorted by schedule, so row groups of other
+    schedules are skipped. ``rebalance`` lets adaptive execution split an
+    organisation that would make one file too large.
+    """
+    spread = fact.hint("rebalance", "financial_year", "org_code")
+    return spread.sortWithinPartitions(*FACT_ORDER)
 
 
 def load(
@@ -121,13 +138,19 @@ def load(
     file_format: str = "csv",
 ) -> dict[str, int]:
     """Load landing files end to end; returns warning counts."""
-    scratch_root(spark)
-    rows = landing.read_statement_rows(spark, statement_files, file_format)
-    providers = landing.read_provider_list(spark, provider_files, file_format)
+    # Landing text is parsed once; checks and writes then read the columnar copy.
+    aside = scratch_path(spark, "landing")
+    landing.read_statement_rows(spark, statement_files, file_format).write.parquet(f"{aside}/rows")
+    landing.read_provider_list(spark, provider_files, file_format).write.parquet(
+        f"{aside}/providers"
+    )
+    rows = staging.read_table(spark, f"{aside}/rows", STAGED_SCHEMA)
+    providers = staging.read_table(spark, f"{aside}/providers", PROVIDER_SCHEMA)
     warnings = stage(spark, tables, rows, providers)
     # One label per file, from file names: a handful of values.
     years = sorted({r[0] for r in rows.select("financial_year").distinct().collect()})
     promote(spark, tables, years)
+    drop_scratch(spark, aside)
     return warnings
 
 

@@ -23,6 +23,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **conf: st
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("ledgerwide")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
@@ -55,3 +56,11 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder name below the scratch root."""
     return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder this module named, once nothing reads it any more."""
+    if not path.startswith(scratch_root(spark).rstrip("/") + "/"):
+        raise ValueError(f"not a scratch folder: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

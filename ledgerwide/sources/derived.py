@@ -192,20 +192,21 @@ def source_file(key: str | Column, start: str | Column) -> Column:
 
 
 def _exploded(base: DataFrame, keys: list[Column], lines: list[tuple]) -> DataFrame:
-    rows = F.array(
-        *(
-            F.struct(
-                F.lit(sheet).alias("worksheet_name"),
-                F.lit(table_id).cast("smallint").alias("table_id"),
-                F.lit(main).alias("main_code"),
-                F.lit(i + 1).alias("row_num"),
-                F.lit(sub).alias("sub_code"),
-                F.expr(amount).cast("bigint").alias("total_000s"),
-            )
-            for i, (sheet, table_id, main, sub, amount) in enumerate(lines)
-        )
+    """One row per organisation-year and line.
+
+    Keys are made before the rows are multiplied, so their text is formatted once
+    per organisation-year. ``stack`` stays in generated code.
+    """
+    names = ["worksheet_name", "table_id", "main_code", "row_num", "sub_code", "total_000s"]
+    cells = ", ".join(
+        f"'{sheet}', {table_id}S, '{main}', {i}, '{sub}', CAST({amount} AS BIGINT)"
+        for i, (sheet, table_id, main, sub, amount) in enumerate(lines, start=1)
+    )
+    keyed = base.select(*keys, "*")
+    key_names = keyed.columns[: len(keys)]
+    return keyed.selectExpr(
+        *(f"`{k}`" for k in key_names), f"stack({len(lines)}, {cells}) AS ({', '.join(names)})"
     )
-    return base.select(*keys, F.inline(rows))
 
 
 def fact(spark: SparkSession, folder: str) -> DataFrame:

@@ -7,6 +7,7 @@ one plan, so a landing of any number of files is one distributed scan.
 
 from __future__ import annotations
 
+import csv
 from collections import defaultdict
 from collections.abc import Iterable, Mapping, Sequence
 
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from ledgerwide.functions import text
 from ledgerwide.functions.numeric import truncate_to_integer
 from ledgerwide.schemas import PROVIDER_HEADERS, RAW_HEADERS
+from ledgerwide.sources.sinks import BYTE_ORDER_MARK
 
 # The publisher's file naming.
 FILE_PATTERN = "TAC_NHS_*"
@@ -121,6 +123,43 @@ def stage_providers(raw: DataFrame, source_file: str | Column = "source_file") -
     )
 
 
+def source_name(path: str | Column) -> Column:
+    """Name of the landing file a row came from.
+
+    A large file may be landed as a folder of parts; its rows then carry the
+    folder's name (without the ``source_file=`` of a partitioned write).
+    """
+    parts = F.split(text.col(path), "/")
+    name, parent = F.element_at(parts, -1), F.element_at(parts, -2)
+    named = F.when(name.startswith("part-"), parent).otherwise(name)
+    return F.url_decode(F.regexp_replace(named, "^source_file=", ""))
+
+
+def csv_header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Column names of a CSV file, or of the first part of a folder of parts.
+
+    Only the first line is read, on the driver, as planning reads a Parquet footer.
+    """
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.getFileStatus(target).isDirectory():
+        parts = sorted(s.getPath().toString() for s in fs.listStatus(target))
+        visible = [p for p in parts if not p.rsplit("/", 1)[1].startswith(("_", "."))]
+        if not visible:
+            raise ValueError(f"no files in {path}")
+        target = jvm.org.apache.hadoop.fs.Path(visible[0])
+    stream = jvm.java.io.InputStreamReader(fs.open(target), "UTF-8")
+    reader = jvm.java.io.BufferedReader(stream)
+    try:
+        line = reader.readLine()
+    finally:
+        reader.close()
+    if line is None:
+        raise ValueError(f"empty file {path}")
+    return tuple(next(csv.reader([line.lstrip(BYTE_ORDER_MARK)])))
+
+
 def read_files(spark: SparkSession, paths: Sequence[str], file_format: str = "csv") -> DataFrame:
     """Read landing files as text columns, with ``source_file`` telling each row's file.
 
@@ -129,15 +168,15 @@ def read_files(spark: SparkSession, paths: Sequence[str], file_format: str = "cs
     """
     if not paths:
         raise ValueError("no landing files")
-    source = F.element_at(F.split("_metadata.file_path", "/"), -1).alias("source_file")
+    source = source_name("_metadata.file_path").alias("source_file")
     if file_format != "csv":
         raw = spark.read.format(file_format).option("mergeSchema", True).load(list(paths))
+        raw = raw.drop("source_file")
         return raw.select("*", source)
 
     by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for path in paths:
-        columns = spark.read.option("header", True).csv(path).columns
-        by_header[tuple(columns)].append(path)
+        by_header[csv_header(spark, path)].append(path)
     groups = []
     for columns, members in by_header.items():
         schema = ", ".join(f"`{c}` string" for c in columns)

@@ -9,7 +9,6 @@ twice after a failure leaves the same tables.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerwide.plans.load import Tables, promote, stage
@@ -34,6 +33,7 @@ def load_new_files(
     """Load every landing file not loaded yet, then stop (``availableNow``).
 
     ``schema`` names the landing's headers; any spelling known to the landing reader will do.
+    A file must hold its whole (year, type) scope, because staging replaces scopes.
     """
     raw = (
         spark.readStream.format(file_format)
@@ -41,7 +41,7 @@ def load_new_files(
         .option("maxFilesPerTrigger", max_files)
         .option("header", True)
         .load(folder)
-        .select("*", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("source_file"))
+        .select("*", landing.source_name("_metadata.file_path").alias("source_file"))
     )
 
     def take(batch: DataFrame, batch_id: int) -> None:
