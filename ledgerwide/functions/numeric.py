@@ -1,8 +1,8 @@
 """Ratios, means and unit changes.
 
-Money is BIGINT in thousands, so sums are exact and cheap. Means add up
-fixed-point values and divide once, so a result does not depend on the order in
-which partitions arrive.
+Money is BIGINT in thousands, so sums are exact and cheap. Means add up whole steps
+(tenths, say) and divide once, so a result does not depend on the order in which
+partitions arrive.
 """
 
 from __future__ import annotations
@@ -27,13 +27,17 @@ def percent(top: str | Column, bottom: str | Column, places: int = 1) -> Column:
 
 
 def exact_mean(value: str | Column, scale: int = 1) -> Column:
-    """Mean of values held to ``scale`` decimals, via an exact fixed-point sum.
+    """Mean of values held to ``scale`` decimals: whole steps are summed, then divided once.
 
-    The fixed-point type follows ``scale``; DECIMAL(18, s) fits a machine word.
+    Steps of one or two decimals sum as BIGINT; finer ones as a wide decimal, since
+    billions of rows could overflow.
     """
     value = col(value)
-    fixed = value.cast(f"decimal({18 if scale <= 2 else 24},{scale})")
-    return F.sum(fixed).cast("double") / F.nullif(F.count(value), F.lit(0)).cast("double")
+    steps = F.floor(value * F.lit(10.0**scale) + 0.5)
+    if scale > 2:
+        steps = steps.cast("decimal(20,0)")
+    rows = F.count(value).cast("double") * F.lit(10.0**scale)
+    return F.sum(steps).cast("double") / F.nullif(rows, F.lit(0.0))
 
 
 def rounded_mean(value: str | Column, places: int = 1, scale: int = 1) -> Column:

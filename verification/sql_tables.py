@@ -29,11 +29,8 @@ def pct(top: str, bottom: str, places: int = 1) -> str:
 
 
 def mean(value: str, scale: int = 1) -> str:
-    width = 18 if scale <= 2 else 24
-    return (
-        f"(CAST(SUM(CAST({value} AS DECIMAL({width},{scale}))) AS DOUBLE)"
-        f" / NULLIF(COUNT({value}), 0))"
-    )
+    steps = f"CAST(floor({value} * 1e{scale} + 0.5) AS BIGINT)"
+    return f"(CAST(SUM({steps}) AS DOUBLE) / NULLIF(COUNT({value}) * 1e{scale}, 0))"
 
 
 def rmean(value: str, places: int = 1, scale: int = 1) -> str:
