@@ -18,8 +18,12 @@ def real(value: str | Column) -> Column:
 
 
 def ratio(top: str | Column, bottom: str | Column, scale: float = 1.0) -> Column:
-    """``top / bottom * scale`` as double; null when the bottom is zero or null."""
-    return real(top) / F.nullif(real(bottom), F.lit(0.0)) * F.lit(float(scale))
+    """``top * scale / bottom`` as double; null when the bottom is zero or null.
+
+    Whole amounts are scaled before the only division, so a share that is exactly
+    on a threshold compares as equal to it.
+    """
+    return real(top) * F.lit(float(scale)) / F.nullif(real(bottom), F.lit(0.0))
 
 
 def percent(top: str | Column, bottom: str | Column, places: int = 1) -> Column:

@@ -130,6 +130,28 @@ def clustered(fact: DataFrame) -> DataFrame:
     return spread.sortWithinPartitions(*FACT_ORDER)
 
 
+def take_batch(
+    spark: SparkSession, tables: Tables, rows: DataFrame, providers: DataFrame
+) -> dict[str, int]:
+    """Stage and promote one batch of cleaned rows; returns warning counts.
+
+    The batch is written once as Parquet, so landing text is parsed once and checks
+    and writes read the columnar copy.
+    """
+    aside = scratch_path(spark, "batch")
+    rows.write.parquet(f"{aside}/rows")
+    rows = staging.read_table(spark, f"{aside}/rows", STAGED_SCHEMA)
+    # One scope per file, told by file names: a handful of values.
+    scopes = rows.select("financial_year", "trust_type").distinct()
+    years = sorted({r["financial_year"] for r in scopes.collect()})
+    providers.write.parquet(f"{aside}/providers")
+    providers = staging.read_table(spark, f"{aside}/providers", PROVIDER_SCHEMA)
+    warnings = stage(spark, tables, rows, providers)
+    promote(spark, tables, years)
+    drop_scratch(spark, aside)
+    return warnings
+
+
 def load(
     spark: SparkSession,
     tables: Tables,
@@ -138,20 +160,9 @@ def load(
     file_format: str = "csv",
 ) -> dict[str, int]:
     """Load landing files end to end; returns warning counts."""
-    # Landing text is parsed once; checks and writes then read the columnar copy.
-    aside = scratch_path(spark, "landing")
-    landing.read_statement_rows(spark, statement_files, file_format).write.parquet(f"{aside}/rows")
-    landing.read_provider_list(spark, provider_files, file_format).write.parquet(
-        f"{aside}/providers"
-    )
-    rows = staging.read_table(spark, f"{aside}/rows", STAGED_SCHEMA)
-    providers = staging.read_table(spark, f"{aside}/providers", PROVIDER_SCHEMA)
-    warnings = stage(spark, tables, rows, providers)
-    # One label per file, from file names: a handful of values.
-    years = sorted({r[0] for r in rows.select("financial_year").distinct().collect()})
-    promote(spark, tables, years)
-    drop_scratch(spark, aside)
-    return warnings
+    rows = landing.read_statement_rows(spark, statement_files, file_format)
+    providers = landing.read_provider_list(spark, provider_files, file_format)
+    return take_batch(spark, tables, rows, providers)
 
 
 def fact_table(spark: SparkSession, tables: Tables) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerwide.plans.load import Tables, promote, stage
+from ledgerwide.plans.load import Tables, take_batch
 from ledgerwide.sources import landing
 
 RAW_SCHEMA = (
@@ -45,14 +45,8 @@ def load_new_files(
     )
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        rows = landing.stage_rows(batch)
-        scopes = rows.select("financial_year", "trust_type").distinct()
-        years = sorted({r[0] for r in scopes.collect()})
-        if not years:
-            return
-        listed = providers.join(scopes, ["financial_year", "trust_type"], "left_semi")
-        stage(spark, tables, rows, listed)
-        promote(spark, tables, years)
+        if not batch.isEmpty():
+            take_batch(spark, tables, landing.stage_rows(batch), providers)
 
     return (
         raw.writeStream.foreachBatch(take)

@@ -21,7 +21,7 @@ def rnd(value: str, places: int = 1) -> str:
 
 
 def ratio(top: str, bottom: str, scale: str = "1.0::DOUBLE") -> str:
-    return f"(CAST({top} AS DOUBLE) / NULLIF(CAST({bottom} AS DOUBLE), 0) * {scale})"
+    return f"(CAST({top} AS DOUBLE) * {scale} / NULLIF(CAST({bottom} AS DOUBLE), 0))"
 
 
 def pct(top: str, bottom: str, places: int = 1) -> str:
