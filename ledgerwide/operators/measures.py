@@ -230,19 +230,14 @@ def measures(
     by = [k for k in keys if k in ("financial_year", "sector", "trust_type")]
     benchmark = sector_benchmark(base, by)
     if by:
-        # Few rows: one per year, sector and type at most.
+        # One row per year, sector and type at most.
         renamed = benchmark.select(*(F.col(k).alias(f"_{k}") for k in by), "sector_benchmark_ebitda_pct")
         same = F.lit(True)
         for k in by:
             same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
         table = table.join(renamed, same, "left").drop(*(f"_{k}" for k in by))
     else:
-        one = F.lit(1)
-        table = (
-            table.withColumn("_one", one)
-            .join(benchmark.withColumn("_one", one), "_one", "left")
-            .drop("_one")
-        )
+        table = table.withColumn("sector_benchmark_ebitda_pct", benchmark.scalar())
     gap = num.blank_minus(F.col("ebitda_margin_pct"), F.col("sector_benchmark_ebitda_pct"))
     return table.withColumn("ebitda_vs_benchmark_pp", gap)
 

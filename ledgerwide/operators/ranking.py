@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ledgerwide.session import scratch_root
 
+BROADCAST_ROWS = 200_000
+
 
 def numbered(
     df: DataFrame,
@@ -53,6 +55,10 @@ def numbered(
             F.sum("_rows").over(Window.partitionBy(*groups)).alias(size),
         )
     )
+    # Checked before it is broadcast; larger offsets are joined by shuffle.
+    offsets = offsets.checkpoint()
+    if offsets.count() <= BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
     same = F.col("_part") == F.col("_p")
     for g in groups:
         same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))

@@ -236,9 +236,9 @@ def measure_base(fact: DataFrame, trusts: DataFrame, codes: DataFrame) -> DataFr
     )
 
 
-def register_views(fact: DataFrame, trusts: DataFrame, codes: DataFrame) -> list[str]:
-    """Name the seven views for SQL users."""
-    views = {
+def views(fact: DataFrame, trusts: DataFrame, codes: DataFrame) -> dict[str, DataFrame]:
+    """The seven views by name."""
+    return {
         "income_expenditure": income_expenditure(fact, trusts),
         "profit_and_loss": profit_and_loss(fact, trusts),
         "expenditure_breakdown": expenditure_breakdown(fact, trusts, codes),
@@ -247,6 +247,20 @@ def register_views(fact: DataFrame, trusts: DataFrame, codes: DataFrame) -> list
         "kpis": kpis(fact, trusts, codes),
         "scorecard": scorecard(fact, trusts, codes),
     }
-    for name, frame in views.items():
+
+
+def register_views(fact: DataFrame, trusts: DataFrame, codes: DataFrame) -> list[str]:
+    """Name the seven views for SQL users."""
+    named = views(fact, trusts, codes)
+    for name, frame in named.items():
         frame.createOrReplaceTempView(name)
-    return list(views)
+    return list(named)
+
+
+def write_views(fact: DataFrame, trusts: DataFrame, codes: DataFrame, folder: str) -> list[str]:
+    """Store the views by year, for analyses that would otherwise recompute them."""
+    named = views(fact, trusts, codes)
+    for name, frame in named.items():
+        out = f"{folder.rstrip('/')}/{name}"
+        frame.write.mode("overwrite").partitionBy("financial_year").parquet(out)
+    return list(named)

@@ -249,17 +249,18 @@ def raw_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_providers(spark: SparkSession, folder: str) -> DataFrame:
-    """Provider-list rows per organisation and year, with gaps and over-long codes."""
-    base = base_sums(spark, folder).select("l_suppkey", "fy").where("l_suppkey % 19 <> 5")
+    """Provider-list rows per organisation and year; suppliers in debt are not listed,
+    and some codes are over-long."""
+    base = base_sums(spark, folder).select("l_suppkey", "fy")
     nations = table(spark, folder, "nation").join(
         table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    places = table(spark, folder, "supplier").join(
+    listed = F.col("s_acctbal") >= 0
+    places = table(spark, folder, "supplier").where(listed).join(
         nations, F.col("s_nationkey") == F.col("n_nationkey")
     )
     key = F.col("l_suppkey")
-    listed = base.join(places, key == F.col("s_suppkey"))
-    return listed.select(
+    return base.join(places, key == F.col("s_suppkey")).select(
         F.concat("s_name", F.lit(" ")).alias("Full name of Provider"),
         F.concat(F.lit(" "), provider_code(key), F.lit(" ")).alias("NHS code"),
         F.col("r_name").alias("Region"),
@@ -279,14 +280,14 @@ def provider_code(key: Column) -> Column:
 
 
 def trusts(spark: SparkSession, folder: str) -> DataFrame:
-    """Organisation dimension; a few suppliers are left out so that orphans exist."""
+    """Organisation dimension without suppliers deep in debt, whose facts are orphans."""
     nations = table(spark, folder, "nation").join(
         table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
     key = F.col("s_suppkey")
     return (
         table(spark, folder, "supplier")
-        .where(key % 97 != 13)
+        .where("s_acctbal >= -500")
         .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
         .select(
             org_code(key).alias("org_code"),

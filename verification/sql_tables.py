@@ -166,7 +166,7 @@ TABLES: dict[str, str] = {
                CASE WHEN s_suppkey % 29 <> 3 THEN r_name END AS region,
                CASE WHEN s_suppkey % 3 <> 0 THEN 1 ELSE 0 END AS is_foundation
         FROM supplier JOIN nation ON s_nationkey = n_nationkey
-        JOIN region ON n_regionkey = r_regionkey WHERE s_suppkey % 97 <> 13""",
+        JOIN region ON n_regionkey = r_regionkey WHERE s_acctbal >= -500""",
     "codes": values(
         ref.CURATED_CODES,
         "codes0",
@@ -315,8 +315,7 @@ TABLES: dict[str, str] = {
                || lpad(CASE WHEN l_suppkey >= 1296 THEN d[CAST(l_suppkey // 1296 AS INT) + 1] ELSE '' END
                     || CASE WHEN l_suppkey >= 36 THEN d[CAST(l_suppkey // 36 % 36 AS INT) + 1] ELSE '' END
                     || d[CAST(l_suppkey % 36 AS INT) + 1], 3, '0') AS org_code
-        FROM base, (SELECT string_split('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', '') AS d) digits
-        WHERE l_suppkey % 19 <> 5""",
+        FROM base, (SELECT string_split('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', '') AS d) digits""",
     "providers": f"""
         SELECT s_name AS organisation_name, p.org_code, r_name AS region,
                CASE WHEN l_suppkey % 6 = 0 AND p.fy % 4 = 1 THEN NULL ELSE {sector('l_suppkey')} END AS sector,
@@ -325,7 +324,7 @@ TABLES: dict[str, str] = {
                {label_of('p.fy')} AS financial_year
         FROM provider_codes p JOIN supplier ON l_suppkey = s_suppkey
         JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-        WHERE length(p.org_code) = 3""",
+        WHERE length(p.org_code) = 3 AND s_acctbal >= 0""",
     "resolved": """
         SELECT p.org_code, r.financial_year, r.worksheet_name, r.table_id, r.main_code, r.sub_code,
                r.total AS total_000s, r.trust_type, r.source_file, r.row_num
