@@ -4,8 +4,8 @@ BENCH_SF_DIR   input folder (default /root/testdata/sf0.1)
 BENCH_CPUS     local cores (default 8)
 
 ``ingest`` loads CSV landing files: cleaning, checks, staging, code resolution,
-dimension and keyed fact upsert, all written; ``reload`` upserts the same files again; ``export_all`` writes all eleven CSV datasets. The
-rest are analyses from the order lines up, results collected.
+dimension and keyed fact upsert, all written; ``reload`` upserts the same files again; ``export_all`` writes all eleven CSV datasets from the loaded tables. The rest are
+views and analyses from the order lines up, results drained or collected.
 """
 
 from __future__ import annotations
@@ -63,8 +63,10 @@ def folders(spark, root: str) -> list[str]:
     return sorted({r[0].rsplit("/", 1)[0] for r in paths.select("path").collect()})
 
 
-def export_all(t: Inputs) -> None:
-    exports.write_exports(t.warehouse, scratch_path(t.spark, "bench-exports"))
+def export_all(spark, tables: load.Tables) -> None:
+    stored = load.fact_table(spark, tables), load.trust_table(spark, tables)
+    warehouse = exports.warehouse_of(spark, *stored)
+    exports.write_exports(warehouse, scratch_path(spark, "bench-exports"))
 
 
 def main() -> None:
@@ -80,7 +82,7 @@ def main() -> None:
     jobs = {
         "ingest": lambda t: load.load(spark, tables, *files),
         "reload": lambda t: load.load(spark, tables, *files),
-        "export_all": export_all,
+        "export_all": lambda t: export_all(spark, tables),
         **{name: (lambda t, n=name: drain(QUERIES[n](t))) for name in WRITES},
         **{name: (lambda t, n=name: QUERIES[n](t).collect()) for name in ANALYSES},
     }

@@ -108,13 +108,24 @@ def assert_loadable(staged: DataFrame, providers: DataFrame) -> dict[str, int]:
 # --- after a load ----------------------------------------------------------------
 
 
-def fact_checks(fact: DataFrame, expect: Expectations) -> DataFrame:
-    """Row count, year coverage and blank codes from one pass over the fact."""
+def fact_checks(fact: DataFrame, expect: Expectations, with_keys: bool = False) -> DataFrame:
+    """Row count, year coverage and blank codes from one pass over the fact.
+
+    ``with_keys`` adds the duplicate-key check to the same pass: rows are first counted
+    per key, and the other checks are weighted by those counts.
+    """
     year = F.col("financial_year")
     blank = F.col("org_code").isNull() | (F.trim("org_code") == "")
-    summary = fact.agg(
-        F.count("*").alias("n"),
-        num.count_if(blank).alias("blank"),
+    counted = _copies(fact) if with_keys else fact.withColumn("copies", F.lit(1))
+    copies = F.col("copies")
+
+    def rows_where(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, copies)), F.lit(0))
+
+    summary = counted.agg(
+        rows_where(F.lit(True)).alias("n"),
+        rows_where(blank).alias("blank"),
+        num.count_if(copies > 1).alias("repeated"),
         *(num.count_if(year == y).alias(f"y{i}") for i, y in enumerate(expect.years)),
     )
     checks: list[Check] = [
@@ -143,6 +154,8 @@ def fact_checks(fact: DataFrame, expect: Expectations) -> DataFrame:
             _say(F.col("blank"), " rows with null/empty org_code"),
         )
     )
+    if with_keys:
+        checks.append(_duplicate_row("repeated"))
     return _as_rows(summary, checks)
 
 
@@ -161,24 +174,27 @@ def trust_count_check(trusts: DataFrame, expect: Expectations) -> DataFrame:
     )
 
 
+def _copies(fact: DataFrame, key: Sequence[str] = tuple(FACT_KEY)) -> DataFrame:
+    return fact.groupBy(*key).agg(F.count("*").alias("copies"))
+
+
 def repeated_keys(fact: DataFrame, key: Sequence[str] = tuple(FACT_KEY)) -> DataFrame:
     """Keys held by more than one row."""
-    return fact.groupBy(*key).agg(F.count("*").alias("copies")).where("copies > 1")
+    return _copies(fact, key).where("copies > 1")
+
+
+def _duplicate_row(column: str) -> Check:
+    return (
+        "no duplicate fact keys",
+        CRITICAL,
+        F.col(column) == 0,
+        _say(F.col(column), " duplicate (org_code, year, main_code, sub_code) combinations"),
+    )
 
 
 def duplicate_check(fact: DataFrame) -> DataFrame:
     summary = repeated_keys(fact).agg(F.count("*").alias("n"))
-    return _as_rows(
-        summary,
-        [
-            (
-                "no duplicate fact keys",
-                CRITICAL,
-                F.col("n") == 0,
-                _say(F.col("n"), " duplicate (org_code, year, main_code, sub_code) combinations"),
-            )
-        ],
-    )
+    return _as_rows(summary, [_duplicate_row("n")])
 
 
 def orphan_check(fact: DataFrame, trusts: DataFrame) -> DataFrame:
@@ -272,9 +288,8 @@ def all_checks(
     fact: DataFrame, trusts: DataFrame, base: DataFrame, expect: Expectations
 ) -> dict[str, Callable[[], DataFrame]]:
     return {
-        "fact": lambda: fact_checks(fact, expect),
+        "fact": lambda: fact_checks(fact, expect, with_keys=True),
         "trust count": lambda: trust_count_check(trusts, expect),
-        "duplicates": lambda: duplicate_check(fact),
         "orphans": lambda: orphan_check(fact, trusts),
         "plausibility": lambda: plausibility_checks(base, expect),
     }

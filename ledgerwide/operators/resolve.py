@@ -11,13 +11,15 @@ NAME_KEYS = ["organisation_name", "financial_year", "trust_type"]
 def resolve_codes(staged: DataFrame, providers: DataFrame) -> DataFrame:
     """Staged rows with the provider's code; rows of unlisted names drop out.
 
-    Providers are made distinct first so that a name listed twice does not multiply
-    rows. There is no broadcast hint: the list grows with the landings, and adaptive
-    execution broadcasts it when its measured size allows and otherwise splits a
-    name that holds much of the data (skew join).
+    Names match whatever their case. Providers are made distinct first so that a
+    name listed twice does not multiply rows. There is no broadcast hint: the list
+    grows with the landings, and Spark broadcasts it when its known or measured size
+    allows and otherwise splits a name that holds much of the data (skew join).
     """
-    listed = providers.select(*NAME_KEYS, "org_code").distinct()
-    joined = staged.join(listed, NAME_KEYS, "inner")
+    name = F.lower("organisation_name").alias("_name")
+    scope = ["_name", "financial_year", "trust_type"]
+    listed = providers.select(name, "financial_year", "trust_type", "org_code").distinct()
+    joined = staged.withColumn("_name", F.lower("organisation_name")).join(listed, scope, "inner")
     return joined.select(
         "org_code", "financial_year", "worksheet_name", "table_id", "main_code", "sub_code",
         F.col("total").alias("total_000s"), "trust_type", "source_file", "row_num",
@@ -25,7 +27,7 @@ def resolve_codes(staged: DataFrame, providers: DataFrame) -> DataFrame:
 
 
 def unmatched_names(staged: DataFrame, providers: DataFrame) -> DataFrame:
-    """Distinct staged names (per year and type) missing from the provider list."""
+    """Distinct staged names (per year and type) missing from the provider list as spelled."""
     names = staged.select(*NAME_KEYS).distinct()
     return names.join(providers.select(*NAME_KEYS), NAME_KEYS, "left_anti")
 

@@ -92,9 +92,9 @@ def stage_rows(raw: DataFrame, source_file: str | Column = "source_file") -> Dat
     return rows.select(
         clean_text("organisation_name").alias("organisation_name"),
         clean_text("worksheet_name").alias("worksheet_name"),
-        F.col("table_id").try_cast("smallint").alias("table_id"),
+        F.col("table_id").try_cast("double").try_cast("smallint").alias("table_id"),
         clean_text("main_code").alias("main_code"),
-        F.col("row_num").try_cast("int").alias("row_num"),
+        F.col("row_num").try_cast("double").try_cast("int").alias("row_num"),
         clean_text("sub_code").alias("sub_code"),
         truncate_to_integer("total").alias("total"),
         "source_file",

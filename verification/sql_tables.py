@@ -301,7 +301,8 @@ TABLES: dict[str, str] = {
         LEFT JOIN wf ON {SAME.format(a='o', b='wf')} LEFT JOIN kpis k ON {SAME.format(a='o', b='k')}""",
     # Ingest side.
     "raw": f"""
-        SELECT printf('Supplier#%09d', l_suppkey) AS organisation_name, worksheet_name, table_id,
+        SELECT CASE WHEN fy % 2 = 0 THEN upper(printf('Supplier#%09d', l_suppkey))
+                    ELSE printf('Supplier#%09d', l_suppkey) END AS organisation_name, worksheet_name, table_id,
                main_code, row_num, sub_code, total_000s, {source_file('l_suppkey', 'fy')} AS source_file,
                {trust_type('l_suppkey')} AS trust_type, {label_of('fy')} AS financial_year
         FROM raw_lines""",
@@ -328,8 +329,10 @@ TABLES: dict[str, str] = {
     "resolved": """
         SELECT p.org_code, r.financial_year, r.worksheet_name, r.table_id, r.main_code, r.sub_code,
                r.total AS total_000s, r.trust_type, r.source_file, r.row_num
-        FROM staged r JOIN (SELECT DISTINCT organisation_name, financial_year, trust_type, org_code
-                            FROM providers) p USING (organisation_name, financial_year, trust_type)""",
+        FROM staged r JOIN (SELECT DISTINCT lower(organisation_name) AS name, financial_year, trust_type, org_code
+                            FROM providers) p
+          ON lower(r.organisation_name) = p.name AND r.financial_year = p.financial_year
+         AND r.trust_type = p.trust_type""",
     "loaded": """
         SELECT org_code, financial_year, main_code, sub_code,
                first(worksheet_name ORDER BY source_file, row_num) AS worksheet_name,
