@@ -46,23 +46,6 @@ def drain(frame) -> None:
     frame.write.format("noop").mode("overwrite").save()
 
 
-def land(t: Inputs) -> tuple[str, str]:
-    """Landing folders of CSV parts, one folder per source file (not timed)."""
-    root = scratch_path(t.spark, "bench-landing")
-    for name, rows in (
-        ("rows", derived.raw_rows(t.spark, t.folder)),
-        ("providers", derived.raw_providers(t.spark, t.folder)),
-    ):
-        rows.write.partitionBy("source_file").option("header", True).csv(f"{root}/{name}")
-    return f"{root}/rows", f"{root}/providers"
-
-
-def folders(spark, root: str) -> list[str]:
-    """Source files below a landing root."""
-    paths = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    return sorted({r[0].rsplit("/", 1)[0] for r in paths.select("path").collect()})
-
-
 def export_all(spark, tables: load.Tables) -> None:
     stored = load.fact_table(spark, tables), load.trust_table(spark, tables)
     warehouse = exports.warehouse_of(spark, *stored)
@@ -76,9 +59,8 @@ def main() -> None:
         # Small local stages keep all cores busy; a cluster keeps the default size.
         **{"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"},
     )
-    rows, providers = land(Inputs(spark, FOLDER))
+    files = derived.write_landing(spark, FOLDER, scratch_path(spark, "bench-landing"))
     tables = load.Tables(scratch_path(spark, "bench-warehouse"))
-    files = folders(spark, rows), folders(spark, providers)
     jobs = {
         "ingest": lambda t: load.load(spark, tables, *files),
         "reload": lambda t: load.load(spark, tables, *files),

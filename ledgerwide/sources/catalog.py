@@ -1,4 +1,4 @@
-"""Named tables and parameterised queries."""
+"""Queries with bound parameters."""
 
 from __future__ import annotations
 
@@ -9,8 +9,3 @@ def sql_scan(spark: SparkSession, query: str, **parameters: object) -> DataFrame
     """Run a query with bound parameters (``:name`` in the text)."""
     return spark.sql(query, args=parameters or None)
 
-
-def jdbc_scan(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame:
-    """Rows of a database query; set partitionColumn, bounds and numPartitions for parallel reads."""
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", f"({query}) q")
-    return reader.options(**options).load()

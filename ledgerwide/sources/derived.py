@@ -345,3 +345,16 @@ def template_grid(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "part").select(
         sheet.alias("worksheet_name"), key.alias("row_no"), cells.alias("cells")
     )
+
+
+def write_landing(spark: SparkSession, folder: str, root: str) -> tuple[list[str], list[str]]:
+    """Write both landings as CSV, one folder of parts per source file; returns the folders."""
+    names = base_sums(spark, folder).select(source_file("l_suppkey", "fy").alias("n")).distinct()
+    # One name per year and type.
+    files = sorted(r["n"] for r in names.collect())
+    frames = {"rows": raw_rows(spark, folder), "providers": raw_providers(spark, folder)}
+    written = []
+    for kind, frame in frames.items():
+        frame.write.partitionBy("source_file").option("header", True).csv(f"{root}/{kind}")
+        written.append([f"{root}/{kind}/source_file={name}" for name in files])
+    return written[0], written[1]

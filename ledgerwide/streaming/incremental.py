@@ -28,20 +28,19 @@ def load_new_files(
     checkpoint: str,
     schema: str = RAW_SCHEMA,
     file_format: str = "parquet",
-    max_files: int = 100,
 ) -> StreamingQuery:
     """Load every landing file not loaded yet, then stop (``availableNow``).
 
     ``schema`` names the landing's headers; any spelling known to the landing reader will do.
-    A file must hold its whole (year, type) scope, because staging replaces scopes.
+    All new files form one batch: staging replaces (year, type) scopes, so the parts
+    of a large file must not be split over batches.
     """
     raw = (
         spark.readStream.format(file_format)
         .schema(schema)
-        .option("maxFilesPerTrigger", max_files)
         .option("header", True)
         .load(folder)
-        .select("*", landing.source_name("_metadata.file_path").alias("source_file"))
+        .withColumn("source_file", landing.source_name("_metadata.file_path"))
     )
 
     def take(batch: DataFrame, batch_id: int) -> None:

@@ -14,7 +14,10 @@ from ledgerwide.sources import derived, staging
 from tests.conftest import FOLDER
 from verification.queries import QUERIES, Inputs
 
-WRITES_OR_RUNS = {"S6_load_staging", "S7_export_query", "S8_csv_exports", "S9_validation_report"}
+WRITES_OR_RUNS = {
+    "S6_load_staging", "S7_export_query", "S8_csv_exports", "S9_validation_report",
+    "M4_load_files_twice", "M5_stream_load",
+}
 
 
 def plan_of(frame) -> str:

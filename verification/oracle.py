@@ -266,7 +266,8 @@ SQL["M2_trust_upsert"] = """
                AS is_foundation,
            MIN(financial_year) AS first_year_seen, MAX(financial_year) AS last_year_seen
     FROM providers GROUP BY org_code"""
-SQL["M3_reload_is_idempotent"] = "SELECT * FROM loaded"
+for key in ("M3_reload_is_idempotent", "M4_load_files_twice", "M5_stream_load"):
+    SQL[key] = "SELECT * FROM loaded"
 
 # --- views ------------------------------------------------------------------------------------------
 for key, name in {

@@ -27,10 +27,11 @@ from ledgerwide.operators import (
     resolve,
     yoy,
 )
-from ledgerwide.plans import checks, exports, gold, peers, trends
+from ledgerwide.plans import checks, exports, gold, load, peers, trends
 from ledgerwide.schemas import ORG_YEAR, STAGED_SCHEMA, VIEW_KEY
 from ledgerwide.session import scratch_path
 from ledgerwide.sources import catalog, derived, landing, sinks, staging
+from ledgerwide.streaming.incremental import load_new_files
 
 YEAR = derived.CURRENT_YEAR
 YEARS = derived.YEARS
@@ -528,6 +529,32 @@ def _(t: Inputs) -> DataFrame:
     return merge.upsert_fact(merge.upsert_fact(None, t.resolved), t.resolved)
 
 
+@query("M4_load_files_twice")
+def _(t: Inputs) -> DataFrame:
+    """The whole load from CSV files, run twice: landing, staging, dimensions and fact tables."""
+    root = scratch_path(t.spark, "load")
+    files = derived.write_landing(t.spark, t.folder, f"{root}/landing")
+    tables = load.Tables(f"{root}/warehouse")
+    for _run in range(2):
+        load.load(t.spark, tables, *files)
+    return load.fact_table(t.spark, tables)
+
+
+@query("M5_stream_load")
+def _(t: Inputs) -> DataFrame:
+    """The same load as a stream over the landing folder."""
+    root = scratch_path(t.spark, "stream")
+    files, lists = derived.write_landing(t.spark, t.folder, f"{root}/landing")
+    headers = ", ".join(f"`{c}` string" for c in landing.csv_header(t.spark, files[0]))
+    tables = load.Tables(f"{root}/warehouse")
+    stream = load_new_files(
+        t.spark, f"{root}/landing/rows", tables, landing.read_provider_list(t.spark, lists),
+        f"{root}/checkpoint", headers, "csv",
+    )
+    stream.awaitTermination()
+    return load.fact_table(t.spark, tables)
+
+
 # --- views --------------------------------------------------------------------------------
 
 
