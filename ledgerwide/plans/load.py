@@ -65,7 +65,7 @@ def _existing(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     return staging.read_table(spark, path, schema) if staging.table_exists(spark, path) else None
 
 
-def _overwrite_small(table: DataFrame, path: str) -> None:
+def _replace_table(table: DataFrame, path: str) -> None:
     """Replace a dimension that was read to compute itself: write beside it, then copy over.
 
     The side copy cuts the lineage, so losing an executor while the target is being
@@ -97,11 +97,11 @@ def promote(spark: SparkSession, tables: Tables, years: Sequence[str]) -> None:
     providers = staging.read_table(spark, tables.providers, PROVIDER_SCHEMA).where(in_years)
 
     trusts = merge.upsert_trusts(_existing(spark, tables.trusts, TRUST_SCHEMA), providers)
-    _overwrite_small(trusts.select(*_names(TRUST_SCHEMA)), tables.trusts)
+    _replace_table(trusts.select(*_names(TRUST_SCHEMA)), tables.trusts)
 
     known = _existing(spark, tables.worksheets, ref.WORKSHEET_SCHEMA)
     known = ref.worksheet_dimension(spark) if known is None else known
-    _overwrite_small(resolve.add_missing_worksheets(known, rows), tables.worksheets)
+    _replace_table(resolve.add_missing_worksheets(known, rows), tables.worksheets)
 
     batch = resolve.resolve_codes(rows, providers)
     old = _existing(spark, tables.fact, FACT_SCHEMA)

@@ -84,6 +84,23 @@ def test_staged_rows(spark, files):
     ]
 
 
+def test_parquet_landings_with_both_header_styles(spark, rows, tmp_path):
+    new = rows(
+        "OrganisationName string, WorkSheetName string, TableID int, MainCode string, RowNumber int, "
+        "SubCode string, Total double",
+        ("Alpha", "S", 1, "A02CY01", 1, "SCI0100A", 900.9), ("Alpha", "S", 1, "A02CY01", 2, "SCI0110A", None),
+    )
+    old = new.withColumnsRenamed({"OrganisationName": "Organisation Name", "Total": "Value number"})
+    paths = [str(tmp_path / f"TAC_NHS_trusts_{year}.parquet") for year in ("2021-22", "2023-24")]
+    for frame, path in zip((old, new), paths):
+        frame.write.parquet(path)
+    got = landing.read_statement_rows(spark, paths, "parquet").collect()
+    assert sorted((r["organisation_name"], r["total"], r["table_id"], r["financial_year"]) for r in got) == [
+        ("Alpha", 900, 1, "2021/22"),
+        ("Alpha", 900, 1, "2023/24"),
+    ]
+
+
 def test_missing_columns_are_named(spark, tmp_path):
     path = write(tmp_path, "TAC_NHS_trusts_2023-24.csv", "OrganisationName,Total", "A,1")
     with pytest.raises(ValueError, match="worksheet_name"):

@@ -62,6 +62,20 @@ def test_year_filter_prunes_partitions(spark, stored, trusts):
     assert "2000/01" in scan.split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_wide_aggregates_stay_compilable(spark, stored, trusts):
+    """The JVM does not compile methods above 8,000 bytes; wide pivots must stay below."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        codes = ref.code_dimension(spark)
+        frames = [*gold.views(stored, trusts, codes).values(), gold.measure_base(stored, trusts, codes)]
+        for frame in frames:
+            text = spark._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "codegen")
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+            assert sizes and max(sizes) < 8_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_unused_measures_are_not_computed(spark, stored, trusts):
     base = gold.measure_base(stored, trusts, ref.code_dimension(spark))
     plan = plan_of(measures.measure(base, "total_wte"))
