@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tests.conftest import FOLDER
 from verification.compare import compare, database
+from verification.oracle import statements
+from verification.queries import callables
 
-SQL = oracle_sql()
-QUERIES = queries()
+SQL = statements()
+QUERIES = callables()
 
 
 @pytest.fixture(scope="module")
