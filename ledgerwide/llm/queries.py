@@ -4,10 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerwide.llm import near_dedup
+from ledgerwide.llm import bpe, near_dedup, token_files
 from ledgerwide.llm.tables import documents
+from ledgerwide.session import scratch_path
+
+VOCABULARY = "word_bpe_49k.json"
+END_OF_DOCUMENT = 2
+
+
+def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digests(bpe.encode(spark, documents(spark, folder), public_tokenizers.path(VOCABULARY)))
+
+
+def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    target = scratch_path(spark, "token-ids")
+    vocabulary = public_tokenizers.path(VOCABULARY)
+    manifest = token_files.write_tokens(spark, documents(spark, folder), target, vocabulary, END_OF_DOCUMENT)
+    return token_files.digests(token_files.read_tokens(spark, manifest, target))
 
 
 def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -15,6 +31,8 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_bpe": op3_bpe,
+    "op9_token_files": op9_token_files,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
