@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerwide.llm import bpe, near_dedup, token_files
+from ledgerwide.llm import bpe, decontaminate, near_dedup, token_files
 from ledgerwide.llm.tables import documents
 from ledgerwide.session import scratch_path
 
@@ -15,6 +15,11 @@ VOCABULARY = "word_bpe_49k.json"
 END_OF_DOCUMENT = 2
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return decontaminate.contaminated(spark, documents(spark, folder), benchmark)
+
+
 def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.encode(spark, documents(spark, folder), public_tokenizers.path(VOCABULARY)))
 
@@ -31,6 +36,7 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontamination": op2_decontamination,
     "op3_bpe": op3_bpe,
     "op9_token_files": op9_token_files,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,

@@ -19,6 +19,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_PLAIN = _LOWER.copy()  # punctuation becomes a space
+_PLAIN[[c for c in range(33, 127) if not chr(c).isalnum()]] = 32
 _BYTE = np.random.default_rng(20).integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
@@ -54,7 +56,7 @@ _powers = _Powers()
 class Words:
     """Words of a text column: byte bounds and hash of each, and the first word of each row."""
 
-    data: np.ndarray  # bytes of the column, lower-cased if asked
+    data: np.ndarray  # bytes of the column in lower case
     begin: np.ndarray
     end: np.ndarray
     hashes: np.ndarray
@@ -64,8 +66,11 @@ class Words:
         return self.hashes[self.first[r] : self.first[r + 1]]
 
 
-def split_words(column: pa.Array, lower: bool = True) -> Words:
-    """Words of every text of ``column``; null texts have none."""
+def split_words(column: pa.Array, plain: bool = False) -> Words:
+    """Words of every text of ``column``, A-Z in lower case; null texts have none.
+
+    ``plain`` also takes ASCII punctuation for white space.
+    """
     if column.null_count:
         column = column.fill_null("")
     large = pa.types.is_large_string(column.type)
@@ -75,8 +80,7 @@ def split_words(column: pa.Array, lower: bool = True) -> Words:
     data = np.frombuffer(body, np.uint8) if body is not None else np.empty(0, np.uint8)
     data = data[offsets[0] : offsets[-1]]
     offsets = offsets - offsets[0]
-    if lower:
-        data = _LOWER[data]
+    data = (_PLAIN if plain else _LOWER)[data]
     if not len(data):
         none = np.empty(0, np.int64)
         return Words(data, none, none, np.empty(0, np.uint64), np.zeros(len(offsets), np.int64))
