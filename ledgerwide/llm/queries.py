@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerwide.llm import bpe, decontaminate, near_dedup, token_files
+from ledgerwide.llm import bpe, decontaminate, near_dedup, quality, secret_scan, token_files
 from ledgerwide.llm.tables import documents
 from ledgerwide.session import scratch_path
 
@@ -24,6 +24,14 @@ def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.encode(spark, documents(spark, folder), public_tokenizers.path(VOCABULARY)))
 
 
+def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.digests(secret_scan.scan(documents(spark, folder)))
+
+
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.rated(spark, documents(spark, folder))
+
+
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     target = scratch_path(spark, "token-ids")
     vocabulary = public_tokenizers.path(VOCABULARY)
@@ -38,6 +46,8 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_bpe": op3_bpe,
+    "op4_secrets": op4_secrets,
+    "op6_quality_rules": op6_quality_rules,
     "op9_token_files": op9_token_files,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
