@@ -161,13 +161,14 @@ def rated(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return judged(counts, thresholds(counts))
 
 
-def accepted(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that the rules keep; every row is judged in place.
+def accepted(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that the rules keep.
 
-    Texts are counted twice, once for the sketches and once beside the row they decide on,
-    which costs less than moving them.
+    Rows are written once with their counts beside them: the sketches read the counts alone,
+    and no text is counted twice or moved for its verdict.
     """
-    row = docs.select(F.struct("*").alias("_row"), *[F.col(c) for c in ("doc_id", "lang", "source", "text")])
-    counts = counted(row, "_row")
-    kept = judged(counts, thresholds(counted(docs))).where("kept")
-    return kept.select("_row.*")
+    names = {c: f"_row_{i}" for i, c in enumerate(docs.columns)}
+    wide = docs.select("doc_id", "lang", "source", "text", *[F.col(c).alias(n) for c, n in names.items()])
+    counts = stored(spark, counted(wide, *names.values()), "quality-counts")
+    kept = judged(counts, thresholds(counts)).where("kept")
+    return kept.select(*[F.col(n).alias(c) for c, n in names.items()])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerwide.llm import bpe, decontaminate, near_dedup, quality, secret_scan, token_files
+from ledgerwide.llm import bpe, decontaminate, near_dedup, pii, quality, secret_scan, token_files
 from ledgerwide.llm.tables import documents
 from ledgerwide.session import scratch_path
 
@@ -15,6 +15,10 @@ VOCABULARY = "word_bpe_49k.json"
 END_OF_DOCUMENT = 2
 
 
+def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digests(pii.find(documents(spark, folder), pii.fitted()))
+
+
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
     return decontaminate.contaminated(spark, documents(spark, folder), benchmark)
@@ -44,6 +48,7 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op2_decontamination": op2_decontamination,
     "op3_bpe": op3_bpe,
     "op4_secrets": op4_secrets,
