@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerwide.llm import bpe, decontaminate, near_dedup, pii, quality, secret_scan, token_files
+from ledgerwide.llm import bpe, decontaminate, html_text, near_dedup, pii, quality, secret_scan, token_files
 from ledgerwide.llm.tables import documents
 from ledgerwide.session import scratch_path
 
@@ -36,6 +37,11 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.rated(spark, documents(spark, folder))
 
 
+def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = html_text.extract(spark, spark.read.parquet(f"{folder}/pages.parquet"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     target = scratch_path(spark, "token-ids")
     vocabulary = public_tokenizers.path(VOCABULARY)
@@ -53,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
     "op4_secrets": op4_secrets,
     "op6_quality_rules": op6_quality_rules,
+    "op7_html_text": op7_html_text,
     "op9_token_files": op9_token_files,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
