@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwide.llm import bpe, decontaminate, html_text, near_dedup, pii, quality, secret_scan, token_files
+from ledgerwide.llm import bpe, chat, decontaminate, html_text, licences, near_dedup, pii, quality, secret_scan, token_files
 from ledgerwide.llm.tables import documents
 from ledgerwide.session import scratch_path
 
@@ -33,6 +33,11 @@ def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(documents(spark, folder)))
 
 
+def op5_chat(spark: SparkSession, folder: str) -> DataFrame:
+    talks = spark.read.parquet(f"{folder}/conversations.parquet")
+    return chat.format_chats(talks, chat.no_schemas(spark))
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.rated(spark, documents(spark, folder))
 
@@ -42,6 +47,10 @@ def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op8_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.report(licences.scan(documents(spark, folder)))
+
+
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     target = scratch_path(spark, "token-ids")
     vocabulary = public_tokenizers.path(VOCABULARY)
@@ -58,8 +67,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_bpe": op3_bpe,
     "op4_secrets": op4_secrets,
+    "op5_chat": op5_chat,
     "op6_quality_rules": op6_quality_rules,
     "op7_html_text": op7_html_text,
+    "op8_licences": op8_licences,
     "op9_token_files": op9_token_files,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
