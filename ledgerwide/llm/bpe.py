@@ -159,9 +159,10 @@ def encode(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
     return columns.mapInArrow(run, "doc_id long, ids binary, decoded string")
 
 
-def digests(encoded: DataFrame) -> DataFrame:
+def digests(encoded: DataFrame, *carried: str) -> DataFrame:
     return encoded.select(
         "doc_id",
+        *carried,
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),

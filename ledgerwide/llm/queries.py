@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ledgerwide.llm import bpe, chat, decontaminate, html_text, licences, near_dedup, pii, quality, secret_scan, token_files
 from ledgerwide.llm.tables import documents
 from ledgerwide.session import scratch_path
@@ -75,4 +76,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
+QUERIES["pipeline"] = corpus_pipeline.run
+
 SQL: dict[str, str] = {}
