@@ -106,7 +106,7 @@ def _count(value: Column, drop: str) -> Column:
 
 
 def luhn(digits: Column) -> Column:
-    """Whether a string of digits passes the Luhn check."""
+    """Whether a string of at most 19 digits passes the Luhn check; longer ones are no card."""
     n = F.length(digits)
     at = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
 
@@ -115,7 +115,7 @@ def luhn(digits: Column) -> Column:
         twice = d * 2 - F.when(d > 4, 9).otherwise(0)
         return total + F.when(i % 2 == 0, twice).otherwise(d)
 
-    return F.aggregate(at, F.lit(0), add) % 10 == 0
+    return F.when(n <= 19, F.aggregate(at, F.lit(0), add) % 10 == 0).otherwise(F.lit(False))
 
 
 def _valid(c: Column) -> Column:
