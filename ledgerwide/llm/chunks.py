@@ -7,6 +7,7 @@ order. A worker keeps what it has encoded; the store is emptied when it is full.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Callable
 
 KEPT = 400_000  # chunks a worker remembers
@@ -22,20 +23,50 @@ def chunks_of(text: str) -> list[str]:
     return _RUNS.findall(text) if _CONTROLS.search(text) else text.split()
 
 
+#: A chunk of letters alone and ASCII signs after it is cut there by the splitting pattern too.
+SIGNS = "!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"
+
+
+def _stays_letters(word: str) -> bool:
+    """Whether no mark appears at the end of a word in normal form and lower case."""
+    return unicodedata.is_normalized("NFC", word) and word.lower().isalpha()
+
+
 class ChunkStore:
-    """Encoded form of chunks; ``encode`` makes those that are missing, many at once."""
+    """Ids of chunks as bytes; ``encode`` makes those of many new ones at once.
+
+    A word with signs behind it is stored as the word and the signs, so that one form of a
+    word serves wherever it stands in a sentence.
+    """
 
-    def __init__(self, encode: Callable[[list[str]], list]) -> None:
+    def __init__(self, encode: Callable[[list[str]], list[bytes]]) -> None:
         self.encode = encode
-        self.known: dict = {}
+        self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
 
-    def of_texts(self, texts: list[str | None]) -> list[list]:
-        """For every text the encoded forms of its chunks; null counts as empty."""
+    def of_texts(self, texts: list[str | None]) -> list[list[bytes]]:
+        """For every text the ids of its chunks; null counts as empty."""
         split = [chunks_of(t) if t else [] for t in texts]
         if len(self.known) > KEPT:
             self.known.clear()
-        missing = list({c for chunks in split for c in chunks if c not in self.known})
+        missing = {c for chunks in split for c in chunks if c not in self.known}
         if missing:
-            self.known.update(zip(missing, self.encode(missing)))
+            self._learn(missing)
         get = self.known.__getitem__
         return [list(map(get, chunks)) for chunks in split]
+
+    def _learn(self, chunks: set[str]) -> None:
+        if len(self.parts) > 2 * KEPT:
+            self.parts = {"": b""}
+        cut = []
+        for chunk in chunks:
+            word = chunk.rstrip(SIGNS)
+            if word.isalpha() and (word.isascii() or _stays_letters(word)):
+                cut.append((chunk, word.lower() if word.isascii() else word, chunk[len(word) :]))
+            else:
+                cut.append((chunk, chunk, ""))
+        new = list({p for _, word, signs in cut for p in (word, signs) if p not in self.parts})
+        if new:
+            self.parts.update(zip(new, self.encode(new)))
+        parts = self.parts
+        self.known.update((chunk, parts[word] + parts[signs]) for chunk, word, signs in cut)

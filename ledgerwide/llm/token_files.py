@@ -15,7 +15,9 @@ executors leave files that nothing names.
 from __future__ import annotations
 
 import json
+import sys
 import uuid
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -188,7 +190,7 @@ def write_tokens(
     width = 2 if max(Tokenizer.from_str(source).get_vocab_size(True) - 1, end_id) < 1 << 16 else 4
     state = spark.sparkContext.broadcast({"source": source})
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    kind = f"<u{width}"
+    kind, code = f"<u{width}", "H" if width == 2 else "I"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -202,7 +204,10 @@ def write_tokens(
 
             def encode(chunks: list[str]) -> list[bytes]:
                 found = library.encode_batch_fast(chunks, add_special_tokens=False)
-                return [np.array(e.ids, kind).tobytes() for e in found]
+                ids = [array(code, e.ids) for e in found]
+                for values in ids if sys.byteorder == "big" else ():
+                    values.byteswap()
+                return [values.tobytes() for values in ids]
 
             mine["store"] = ChunkStore(encode)
         end = np.array([end_id], kind).tobytes()
