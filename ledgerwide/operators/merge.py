@@ -1,9 +1,8 @@
-"""Keyed upserts as aggregates.
+"""Keyed upserts.
 
 Sequential insert-or-update means: for every key some columns keep their first
-value and others take the last. Both are ``min_by`` and ``max_by`` over the load
-order, so a key repeated many times shrinks on the map side instead of being
-sorted in one window partition.
+value and others take the last. Within a batch both are ``min_by`` and ``max_by`` over
+the load order; the reduced batch then joins the rows that are there already.
 """
 
 from __future__ import annotations
@@ -19,10 +18,17 @@ FACT_KEPT = ["worksheet_name", "table_id", "trust_type"]
 FACT_UPDATED = ["total_000s", "source_file"]
 
 
-def _first_and_last(
-    df: DataFrame, key: Sequence[str], order: Column, kept: Sequence[str], updated: Sequence[str]
-) -> DataFrame:
-    merged = df.groupBy(*key).agg(
+TIES = ["organisation_name", "worksheet_name", "table_id", "total_000s"]
+
+
+def _settled(batch: DataFrame, key: Sequence[str], kept: Sequence[str], updated: Sequence[str]) -> DataFrame:
+    """One row per key of a batch: kept columns of its first row, updated ones of its last.
+
+    The order is total: file, row number, then the columns that tell tied rows apart.
+    """
+    ties = [c for c in TIES if c in batch.columns]
+    order = F.struct("source_file", F.col("row_num").cast("int").alias("row_num"), *ties)
+    merged = batch.groupBy(*key).agg(
         F.min_by(F.struct(*kept), order).alias("_kept"),
         F.max_by(F.struct(*updated), order).alias("_updated"),
     )
@@ -38,25 +44,26 @@ def upsert_fact(
 ) -> DataFrame:
     """New rows replace amount and source of an existing key and keep the rest.
 
-    Within a batch the row of the later file wins, then the higher ``row_num``.
+    Only the batch is reduced by key; the old rows meet it in joins, so a small batch is
+    broadcast by measured size and the old fact is neither sorted nor shuffled. Within a
+    batch the row of the later file wins, then the higher ``row_num``.
     """
     columns = [*key, *kept, *updated]
-    order_of_batch = F.struct(
-        F.lit(1).alias("b"), F.col("source_file"), F.col("row_num").cast("int").alias("row_num")
+    new = _settled(batch, key, kept, updated).select(*columns)
+    if existing is None:
+        return new
+    marked = new.select(*key, *[F.col(c).alias(f"_new_{c}") for c in updated], F.lit(True).alias("_hit"))
+    old = existing.join(marked, list(key), "left").select(
+        *key,
+        *kept,
+        *[F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in updated],
     )
-    rows = batch.select(*columns, order_of_batch.alias("_order"))
-    if existing is not None:
-        oldest = F.struct(
-            F.lit(0).alias("b"), F.lit("").alias("source_file"), F.lit(0).alias("row_num")
-        )
-        rows = existing.select(*columns, oldest.alias("_order")).unionByName(rows)
-    result = _first_and_last(rows, key, F.col("_order"), kept, updated)
-    return result.select(*columns)
+    return old.unionByName(new.join(existing.select(*key), list(key), "left_anti"))
 
 
 def trusts_from_providers(providers: DataFrame) -> DataFrame:
     """One row per code: first name and type, latest known sector and region, years seen."""
-    order = F.struct("financial_year", "source_file", "organisation_name")
+    order = F.struct("financial_year", "source_file", "organisation_name", "sector", "region")
 
     def latest_known(column: str) -> Column:
         return F.max_by(column, F.when(F.col(column).isNotNull(), order)).alias(column)

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from ledgerwide.session import scratch_root
 
-BROADCAST_ROWS = 200_000
-
 
 def numbered(
     df: DataFrame,
@@ -28,7 +26,9 @@ def numbered(
     unique column), which also lets equal values split across partitions.
 
     The range-partitioned rows are checkpointed: range bounds come from sampling,
-    and both uses of the partition ids must see the same bounds.
+    and both uses of the partition ids must see the same bounds. The offsets are an
+    aggregate of those rows, and adaptive execution picks their join from measured bytes.
+    The checkpoint's files go with ``spark.cleaner.referenceTracking.cleanCheckpoints``.
     """
     spark = df.sparkSession
     scratch_root(spark)
@@ -55,10 +55,6 @@ def numbered(
             F.sum("_rows").over(Window.partitionBy(*groups)).alias(size),
         )
     )
-    # Checked before it is broadcast; larger offsets are joined by shuffle.
-    offsets = offsets.checkpoint()
-    if offsets.count() <= BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
     same = F.col("_part") == F.col("_p")
     for g in groups:
         same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 import csv
 from collections import defaultdict
 from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,20 +24,27 @@ from ledgerwide.sources.sinks import BYTE_ORDER_MARK
 FILE_PATTERN = "TAC_NHS_*"
 EXCLUDED_WORD = "illustrative"
 
+HEADER_READERS = 16  # landings whose headers are read at the same time
+
 
 def is_data_file(name: str | Column) -> Column:
     """True for data files by name; the published format example is not one."""
-    base = F.element_at(F.split(text.col(name), "/"), -1)
+    base = source_name(name)
     prefix = FILE_PATTERN.rstrip("*")
     return base.startswith(prefix) & ~F.lower(base).contains(EXCLUDED_WORD)
 
 
-def discover_files(spark: SparkSession, folder: str, pattern: str = FILE_PATTERN) -> DataFrame:
-    """Sorted paths of the data files in a folder. File contents are not read."""
+def discover_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Sorted paths of the data files in a folder; a large file may be a folder of parts.
+
+    Only a landing's own name counts, not the folders above it. Contents are not read.
+    """
     listing = (
-        spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path")
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path")
     )
-    return listing.where(~F.lower("path").contains(EXCLUDED_WORD)).orderBy("path")
+    part = F.element_at(F.split("path", "/"), -1).startswith("part-")
+    landed = F.when(part, F.regexp_replace("path", "/[^/]*$", "")).otherwise(F.col("path"))
+    return listing.select(landed.alias("path")).distinct().where(is_data_file("path")).orderBy("path")
 
 
 def find_name(names: Iterable[str], target: str) -> str:
@@ -160,27 +168,53 @@ def csv_header(spark: SparkSession, path: str) -> tuple[str, ...]:
     return tuple(next(csv.reader([line.lstrip(BYTE_ORDER_MARK)])))
 
 
-def read_files(spark: SparkSession, paths: Sequence[str], file_format: str = "csv") -> DataFrame:
+def headers_of(spark: SparkSession, paths: Sequence[str], file_format: str) -> dict[tuple[str, ...], list[str]]:
+    """Landing files grouped by their own header.
+
+    Headers are read side by side, one first line or footer per landing.
+    """
+    if file_format == "csv":
+        def header(path: str) -> tuple[str, ...]:
+            return csv_header(spark, path)
+    else:
+        def header(path: str) -> tuple[str, ...]:
+            columns = spark.read.format(file_format).load(path).columns
+            return tuple(c for c in columns if c != "source_file")
+
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        found = list(pool.map(header, paths))
+    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for columns, path in zip(found, paths):
+        groups[columns].append(path)
+    return groups
+
+
+def read_files(
+    spark: SparkSession,
+    paths: Sequence[str],
+    file_format: str = "csv",
+    headers: Mapping[str, Sequence[str]] | None = None,
+    optional: Sequence[str] = (),
+) -> DataFrame:
     """Read landing files as text columns, with ``source_file`` telling each row's file.
 
-    CSV columns go by position within a scan, so files are scanned in groups that
-    share a header and the groups are united by column name.
+    Files are scanned in groups that share a header, and the groups are united by column
+    name, never by position. With ``headers`` every group must carry the required ones. A
+    part whose header differs from that of its landing's first part raises when it is read.
     """
     if not paths:
         raise ValueError("no landing files")
     source = source_name("_metadata.file_path").alias("source_file")
-    if file_format != "csv":
-        raw = spark.read.format(file_format).option("mergeSchema", True).load(list(paths))
-        raw = raw.drop("source_file")
-        return raw.select("*", source)
-
-    by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for path in paths:
-        by_header[csv_header(spark, path)].append(path)
     groups = []
-    for columns, members in by_header.items():
-        schema = ", ".join(f"`{c}` string" for c in columns)
-        scan = spark.read.schema(schema).option("header", True).option("escape", '"').csv(members)
+    for columns, members in headers_of(spark, paths, file_format).items():
+        if headers is not None:
+            header_map(columns, headers, optional)
+        if file_format == "csv":
+            schema = ", ".join(f"`{c}` string" for c in columns)
+            reader = spark.read.schema(schema).options(header=True, escape='"', enforceSchema=False)
+            scan = reader.csv(members)
+        else:
+            scan = spark.read.format(file_format).load(members).drop("source_file")
         groups.append(scan.select("*", source))
     result = groups[0]
     for group in groups[1:]:
@@ -188,9 +222,12 @@ def read_files(spark: SparkSession, paths: Sequence[str], file_format: str = "cs
     return result
 
 
+PROVIDER_OPTIONAL = ["region", "sector", "comments"]
+
+
 def read_statement_rows(spark: SparkSession, paths: Sequence[str], file_format: str = "csv") -> DataFrame:
-    return stage_rows(read_files(spark, paths, file_format))
+    return stage_rows(read_files(spark, paths, file_format, RAW_HEADERS))
 
 
 def read_provider_list(spark: SparkSession, paths: Sequence[str], file_format: str = "csv") -> DataFrame:
-    return stage_providers(read_files(spark, paths, file_format))
+    return stage_providers(read_files(spark, paths, file_format, PROVIDER_HEADERS, PROVIDER_OPTIONAL))

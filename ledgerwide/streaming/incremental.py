@@ -9,6 +9,7 @@ twice after a failure leaves the same tables.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerwide.plans.load import Tables, take_batch
@@ -31,21 +32,26 @@ def load_new_files(
 ) -> StreamingQuery:
     """Load every landing file not loaded yet, then stop (``availableNow``).
 
-    ``schema`` names the landing's headers; any spelling known to the landing reader will do.
-    All new files form one batch: staging replaces (year, type) scopes, so the parts
-    of a large file must not be split over batches.
+    The stream only tells which files are new; they are read by their own headers, as a batch
+    load reads them, so a file with other columns is mapped by name or refused. All new files
+    form one batch: staging replaces (year, type) scopes, so the parts of a large file must
+    not be split over batches. ``schema`` is what the file stream needs to be defined.
     """
     raw = (
         spark.readStream.format(file_format)
         .schema(schema)
         .option("header", True)
         .load(folder)
-        .withColumn("source_file", landing.source_name("_metadata.file_path"))
+        .select(F.col("_metadata.file_path").alias("path"))
     )
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            take_batch(spark, tables, landing.stage_rows(batch), providers)
+        part = F.element_at(F.split("path", "/"), -1).startswith("part-")
+        landed = F.when(part, F.regexp_replace("path", "/[^/]*$", "")).otherwise(F.col("path"))
+        # One path per landing, as few as a batch load is given.
+        paths = sorted(r[0] for r in batch.select(F.url_decode(landed)).distinct().collect())
+        if paths:
+            take_batch(spark, tables, landing.read_statement_rows(spark, paths, file_format), providers)
 
     return (
         raw.writeStream.foreachBatch(take)

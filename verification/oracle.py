@@ -345,8 +345,8 @@ SQL["W3_previous_row_and_year"] = f"""
     SELECT c.org_code, c.financial_year,
            lag(c.ebitda_margin_pct) OVER (PARTITION BY c.org_code ORDER BY c.financial_year) AS previous_row_pct,
            p.ebitda_margin_pct AS previous_year_pct
-    FROM (SELECT * FROM card WHERE ebitda_margin_pct > -20) c
-    LEFT JOIN (SELECT * FROM card WHERE ebitda_margin_pct > -20) p ON c.org_code = p.org_code
+    FROM card c
+    LEFT JOIN card p ON c.org_code = p.org_code
      AND CAST(substr(c.financial_year, 1, 4) AS INT) = CAST(substr(p.financial_year, 1, 4) AS INT) + 1"""
 SQL["W4_year_to_date"] = f"""
     SELECT o_orderpriority, financial_year, period, orders,

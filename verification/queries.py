@@ -142,19 +142,16 @@ def query(name: str) -> Callable[[Query], Query]:
 
 @query("S1_discover_files")
 def _(t: Inputs) -> DataFrame:
+    """A landing of folders of parts below an illustrative parent, with strangers beside them."""
     names = derived.base_sums(t.spark, t.folder).select(
         derived.source_file("l_suppkey", "fy").alias("n")
     ).distinct()
-    candidates = names.select(
-        F.explode(
-            F.array(
-                F.concat(F.lit("raw/"), "n"),
-                F.concat(F.lit("raw/"), F.replace("n", F.lit("NHS_"), F.lit("NHS_Illustrative_"))),
-                F.concat(F.lit("raw/other_"), "n"),
-            )
-        ).alias("path")
-    )
-    return candidates.where(landing.is_data_file("path")).orderBy("path")
+    odd = F.array("n", F.replace("n", F.lit("NHS_"), F.lit("NHS_Illustrative_")), F.concat(F.lit("other_"), "n"))
+    root = f"{scratch_path(t.spark, 'discover')}/Illustrative_set"
+    candidates = names.select(F.explode(odd).alias("source_file"), F.lit("x").alias("x"))
+    candidates.write.partitionBy("source_file").csv(root)
+    found = landing.discover_files(t.spark, root)
+    return found.select(F.concat(F.lit("raw/"), landing.source_name("path")).alias("path"))
 
 
 @query("S2_read_provider_list")
@@ -694,7 +691,7 @@ def _(t: Inputs) -> DataFrame:
 
 @query("W3_previous_row_and_year")
 def _(t: Inputs) -> DataFrame:
-    return t.card.where("ebitda_margin_pct > -20").select(
+    return t.card.select(
         *ORG_YEAR,
         yoy.prior_row("ebitda_margin_pct").alias("previous_row_pct"),
         yoy.prior_year("ebitda_margin_pct", ["org_code"]).alias("previous_year_pct"),
