@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwide import reference_data as ref
+from ledgerwide.functions import text
 from ledgerwide.operators import merge, quality, resolve
 from ledgerwide.schemas import (
     FACT_SCHEMA,
@@ -22,6 +23,7 @@ from ledgerwide.schemas import (
 )
 from ledgerwide.session import drop_scratch, scratch_path
 from ledgerwide.sources import landing, staging
+from ledgerwide.sources.literal import literal_table
 
 
 FACT_ORDER = ["financial_year", "worksheet_name", "org_code", "sub_code"]
@@ -62,39 +64,62 @@ def _names(schema: str) -> list[str]:
 
 
 def _existing(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    staging.recover(spark, path)
     return staging.read_table(spark, path, schema) if staging.table_exists(spark, path) else None
 
 
 def _replace_table(table: DataFrame, path: str) -> None:
-    """Replace a dimension that was read to compute itself: write beside it, then copy over.
+    """Replace a dimension that was read to compute itself: write beside it, then switch.
 
-    The side copy cuts the lineage, so losing an executor while the target is being
-    replaced cannot send a task back to the files already gone.
+    At every moment the old or the new table is whole, under its name or its former one.
     """
-    spark = table.sparkSession
-    aside = scratch_path(spark, "dimension")
-    table.write.parquet(aside)
-    spark.read.parquet(aside).write.mode("overwrite").parquet(path)
-    drop_scratch(spark, aside)
+    beside = f"{path}__next"
+    table.write.mode("overwrite").parquet(beside)
+    staging.swap_in(table.sparkSession, beside, path)
 
 
-def stage(spark: SparkSession, tables: Tables, rows: DataFrame, providers: DataFrame) -> dict[str, int]:
+Scopes = Sequence[tuple[str, str]]
+
+
+def scopes_of(spark: SparkSession, paths: Sequence[str]) -> Scopes:
+    """(year, trust type) of landing files, as their names tell, whatever rows they hold."""
+    names = literal_table(spark, [(p,) for p in paths], "path string").select(landing.source_name("path").alias("n"))
+    found = names.select(text.financial_year_from_name("n"), text.trust_type_from_name("n")).distinct()
+    return sorted(tuple(r) for r in found.collect())
+
+
+def _replace_scopes(frame: DataFrame, path: str, scopes: Scopes) -> None:
+    """Replace every scope of ``scopes``, also those that have no rows any more."""
+    staging.overwrite_scopes(frame, path)
+    held = {tuple(r) for r in frame.select("financial_year", "trust_type").distinct().collect()}
+    for year, kind in scopes:
+        if (year, kind) not in held:
+            staging.replace_scope(frame.limit(0), path, year, kind)
+
+
+def stage(
+    spark: SparkSession, tables: Tables, rows: DataFrame, providers: DataFrame, scopes: Scopes, provider_scopes: Scopes
+) -> dict[str, int]:
     """Check the batch, then replace its scopes in both staging tables."""
     warnings = quality.assert_loadable(rows, providers)
-    staging.overwrite_scopes(rows.select(*_names(STAGED_SCHEMA)), tables.staged)
-    staging.overwrite_scopes(providers.select(*_names(PROVIDER_SCHEMA)), tables.providers)
+    _replace_scopes(rows.select(*_names(STAGED_SCHEMA)), tables.staged, scopes)
+    _replace_scopes(providers.select(*_names(PROVIDER_SCHEMA)), tables.providers, provider_scopes)
     return warnings
 
 
-def promote(spark: SparkSession, tables: Tables, years: Sequence[str]) -> None:
-    """Bring staged rows of some years into dimensions and fact.
+def promote(spark: SparkSession, tables: Tables, scopes: Scopes) -> None:
+    """Bring staged rows of some scopes into dimensions and fact.
 
-    Only the partitions of those years are read and rewritten; the others are
-    neither scanned nor touched.
+    Only the partitions of those scopes are read, and of the fact those of their years are
+    rewritten in one write: new partitions move in when the whole job has succeeded.
     """
-    in_years = F.col("financial_year").isin(list(years))
-    rows = staging.read_table(spark, tables.staged, STAGED_SCHEMA).where(in_years)
-    providers = staging.read_table(spark, tables.providers, PROVIDER_SCHEMA).where(in_years)
+    years = sorted({year for year, _ in scopes})
+    in_years = F.col("financial_year").isin(years)
+    in_scopes = F.lit(False)
+    for year, kind in scopes:
+        in_scopes = in_scopes | ((F.col("financial_year") == year) & (F.col("trust_type") == kind))
+    rows = staging.read_table(spark, tables.staged, STAGED_SCHEMA).where(in_scopes)
+    providers = staging.read_table(spark, tables.providers, PROVIDER_SCHEMA).where(in_scopes)
 
     trusts = merge.upsert_trusts(_existing(spark, tables.trusts, TRUST_SCHEMA), providers)
     _replace_table(trusts.select(*_names(TRUST_SCHEMA)), tables.trusts)
@@ -105,17 +130,8 @@ def promote(spark: SparkSession, tables: Tables, years: Sequence[str]) -> None:
 
     batch = resolve.resolve_codes(rows, providers)
     old = _existing(spark, tables.fact, FACT_SCHEMA)
-    if old is None:
-        merged = clustered(merge.upsert_fact(None, batch))
-        staging.overwrite_scopes(merged, tables.fact, by=["financial_year"])
-        return
-    # Written aside first: the merge reads the partitions it is about to replace.
-    merged = clustered(merge.upsert_fact(old.where(in_years), batch))
-    aside = scratch_path(spark, "fact")
-    merged.write.partitionBy("financial_year").parquet(aside)
-    settled = staging.read_table(spark, aside, FACT_SCHEMA).sortWithinPartitions(*FACT_ORDER)
-    staging.overwrite_scopes(settled, tables.fact, by=["financial_year"])
-    drop_scratch(spark, aside)
+    merged = clustered(merge.upsert_fact(None if old is None else old.where(in_years), batch))
+    staging.overwrite_scopes(merged, tables.fact, by=["financial_year"])
 
 
 def clustered(fact: DataFrame) -> DataFrame:
@@ -131,24 +147,32 @@ def clustered(fact: DataFrame) -> DataFrame:
 
 
 def take_batch(
-    spark: SparkSession, tables: Tables, rows: DataFrame, providers: DataFrame
+    spark: SparkSession,
+    tables: Tables,
+    rows: DataFrame,
+    providers: DataFrame,
+    scopes: Scopes = (),
+    provider_scopes: Scopes = (),
 ) -> dict[str, int]:
     """Stage and promote one batch of cleaned rows; returns warning counts.
 
-    The batch is written once as Parquet, so landing text is parsed once and checks
-    and writes read the columnar copy.
+    ``scopes`` are those of the batch's files; scopes of its rows are added. The batch is
+    written once as Parquet, so landing text is parsed once and checks and writes read the
+    columnar copy.
     """
     aside = scratch_path(spark, "batch")
-    rows.write.parquet(f"{aside}/rows")
-    rows = staging.read_table(spark, f"{aside}/rows", STAGED_SCHEMA)
-    # One scope per file, told by file names: a handful of values.
-    scopes = rows.select("financial_year", "trust_type").distinct()
-    years = sorted({r["financial_year"] for r in scopes.collect()})
-    providers.write.parquet(f"{aside}/providers")
-    providers = staging.read_table(spark, f"{aside}/providers", PROVIDER_SCHEMA)
-    warnings = stage(spark, tables, rows, providers)
-    promote(spark, tables, years)
-    drop_scratch(spark, aside)
+    try:
+        rows.write.parquet(f"{aside}/rows")
+        rows = staging.read_table(spark, f"{aside}/rows", STAGED_SCHEMA)
+        # One scope per file: a handful of values.
+        held = rows.select("financial_year", "trust_type").distinct().collect()
+        scopes = sorted({*scopes, *map(tuple, held)})
+        providers.write.parquet(f"{aside}/providers")
+        providers = staging.read_table(spark, f"{aside}/providers", PROVIDER_SCHEMA)
+        warnings = stage(spark, tables, rows, providers, scopes, provider_scopes)
+        promote(spark, tables, scopes)
+    finally:
+        drop_scratch(spark, aside)
     return warnings
 
 
@@ -162,7 +186,16 @@ def load(
     """Load landing files end to end; returns warning counts."""
     rows = landing.read_statement_rows(spark, statement_files, file_format)
     providers = landing.read_provider_list(spark, provider_files, file_format)
-    return take_batch(spark, tables, rows, providers)
+    scopes, listed = scopes_of(spark, statement_files), scopes_of(spark, provider_files)
+    return take_batch(spark, tables, rows, providers, scopes, listed)
+
+
+def load_folder(
+    spark: SparkSession, tables: Tables, statements: str, providers: str, file_format: str = "csv"
+) -> dict[str, int]:
+    """Discover the landings of two folders and load them."""
+    files = [[r["path"] for r in landing.discover_files(spark, f).collect()] for f in (statements, providers)]
+    return load(spark, tables, *files, file_format)
 
 
 def fact_table(spark: SparkSession, tables: Tables) -> DataFrame:

@@ -38,3 +38,34 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def swap_in(spark: SparkSession, beside: str, path: str) -> None:
+    """Put a finished table in the place of another by renames.
+
+    Between the renames the former table stands under ``former(path)``, where ``recover``
+    finds it if the process ends there.
+    """
+    fs, new, target, old = _places(spark, beside, path, former(path))
+    if fs.exists(target):
+        fs.delete(old, True)
+        fs.rename(target, old)
+    if not fs.rename(new, target):
+        raise OSError(f"cannot rename {beside} to {path}")
+    fs.delete(old, True)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Bring back the former table if a swap ended between its renames."""
+    fs, target, old = _places(spark, path, former(path))
+    if not fs.exists(target) and fs.exists(old):
+        fs.rename(old, target)
+
+
+def former(path: str) -> str:
+    return f"{path.rstrip('/')}__former"
+
+
+def _places(spark: SparkSession, *paths: str) -> list:
+    named = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    return [named[0].getFileSystem(spark._jsc.hadoopConfiguration()), *named]

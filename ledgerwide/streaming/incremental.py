@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerwide.plans.load import Tables, take_batch
+from ledgerwide.plans.load import Tables, scopes_of, take_batch
 from ledgerwide.sources import landing
 
 RAW_SCHEMA = (
@@ -51,7 +51,8 @@ def load_new_files(
         # One path per landing, as few as a batch load is given.
         paths = sorted(r[0] for r in batch.select(F.url_decode(landed)).distinct().collect())
         if paths:
-            take_batch(spark, tables, landing.read_statement_rows(spark, paths, file_format), providers)
+            rows = landing.read_statement_rows(spark, paths, file_format)
+            take_batch(spark, tables, rows, providers, scopes_of(spark, paths))
 
     return (
         raw.writeStream.foreachBatch(take)

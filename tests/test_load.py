@@ -215,3 +215,76 @@ def test_stream_loads_each_file_once(spark, files, tmp_path):
     query = run()
     assert sum(p["numInputRows"] for p in query.recentProgress) <= 2
     assert [r[0] for r in fact_rows(spark, tables)] == ["R1H", "R2B"]
+
+
+def test_streamed_files_are_mapped_by_their_own_headers(spark, files, tmp_path):
+    folder, rows, lists = files
+    batch, stream = load.Tables(str(tmp_path / "b")), load.Tables(str(tmp_path / "s"))
+    load.load(spark, batch, rows, lists)
+    providers = landing.read_provider_list(spark, lists)
+    landed = tmp_path / "stream"
+    landed.mkdir()
+    for path in rows:
+        (landed / path.rsplit("/", 1)[1]).write_text(open(path, encoding="utf-8").read(), encoding="utf-8")
+    columns = ", ".join(f"`{c}` string" for c in NEW.split(","))
+    query = load_new_files(spark, str(landed), stream, providers, str(tmp_path / "cp"), columns, "csv")
+    query.awaitTermination()
+    names = ["org_code", "financial_year", "sub_code", "total_000s", "worksheet_name"]
+    want = sorted(map(tuple, load.fact_table(spark, batch).select(*names).collect()))
+    assert sorted(map(tuple, load.fact_table(spark, stream).select(*names).collect())) == want
+
+
+def test_parts_with_another_header_or_missing_columns_raise(spark, tmp_path):
+    parts = tmp_path / "TAC_NHS_trusts_2023-24.csv"
+    parts.mkdir()
+    write(parts, "part-0.csv", NEW, "Alpha,TAC02 SoCI,1,A02CY01,1,SCI0100A,1")
+    write(parts, "part-1.csv", OLD, "1,Beta,TAC02 SoCI,A02CY01,1,SCI0100A,10")
+    with pytest.raises(Exception, match="header"):
+        landing.read_statement_rows(spark, [str(parts)]).collect()
+    bad = write(tmp_path, "TAC_NHS_trusts_2022-23.csv", NEW.replace(",Total", ",Sum"), "a,b,1,c,1,d,1")
+    with pytest.raises(ValueError, match="total"):
+        landing.read_statement_rows(spark, [bad])
+
+
+def test_reload_empties_a_scope(spark, files, tmp_path):
+    _, rows, lists = files
+    tables = load.Tables(str(tmp_path / "w"))
+    load.load(spark, tables, rows, lists)
+    folder = tmp_path / "again"
+    folder.mkdir()
+    only_prior = write(folder, "TAC_NHS_trusts_2023-24.csv", NEW, "Alpha,TAC02 SoCI,1,A02PY01,1,SCI0100A,800")
+    load.load(spark, tables, [only_prior, rows[1]], lists)
+    staged = staging.read_table(spark, tables.staged, STAGED_SCHEMA)
+    assert {r.financial_year for r in staged.select("financial_year").distinct().collect()} == {"2021/22"}
+
+
+def test_dimension_survives_a_stop_between_renames(spark, files, tmp_path):
+    _, rows, lists = files
+    tables = load.Tables(str(tmp_path / "w"))
+    load.load(spark, tables, rows, lists)
+    before = sorted(map(tuple, load.trust_table(spark, tables).collect()))
+    (tmp_path / "w" / "dim_trust").rename(staging.former(str(tmp_path / "w" / "dim_trust")))
+    load.load(spark, tables, rows, lists)
+    assert sorted(map(tuple, load.trust_table(spark, tables).collect())) == before
+
+
+def test_folder_load_finds_parts_below_any_parent(spark, files, tmp_path):
+    _, rows, lists = files
+    root = tmp_path / "Illustrative_set"
+    parts = root / "TAC_NHS_trusts_2023-24.csv"
+    parts.mkdir(parents=True)
+    (parts / "part-0.csv").write_text(open(rows[0], encoding="utf-8").read(), encoding="utf-8")
+    write(root, "TAC_NHS_illustrative_2023-24.csv", NEW)
+    tables = load.Tables(str(tmp_path / "w"))
+    load.load_folder(spark, tables, str(root), lists[0].rsplit("/", 1)[0])
+    assert load.fact_table(spark, tables).count() == 3
+
+
+def test_ties_in_one_file_do_not_depend_on_arrival(spark, rows):
+    schema = (
+        "org_code string, financial_year string, main_code string, sub_code string, worksheet_name string, "
+        "table_id smallint, trust_type string, total_000s bigint, source_file string, row_num int, organisation_name string"
+    )
+    tied = [("R1H", "2023/24", "A", "S", "w", 1, "T", n, "f", 5, name) for n, name in ((1, "Beta"), (2, "Alpha"))]
+    for order in (tied, tied[::-1]):
+        assert [r.total_000s for r in merge.upsert_fact(None, rows(schema, *order)).collect()] == [1]
