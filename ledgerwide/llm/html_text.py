@@ -344,7 +344,8 @@ def extract(spark: SparkSession, pages: DataFrame) -> DataFrame:
     own exemplar. Other columns of ``pages`` are not read.
     """
     parsed = stored(spark, _parsed(pages), "parsed-pages")
-    rules = wrappers(parsed)
+    # Written first, so its measured size decides the join before any page has moved.
+    rules = stored(spark, wrappers(parsed), "wrappers")
     joined = parsed.withColumn("shape", F.xxhash64("tree")).join(rules, ["host", "shape"], "left")
     kept = F.filter("blocks", lambda b: F.coalesce(F.get("keep", b["node"]), F.lit(False)))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), " ")
