@@ -8,11 +8,13 @@ within the distance. ``layout`` picks m so that a pair at the similarity thresho
 the distance with a probability below ``miss``; pairs above it do so far more rarely.
 
 Texts with equal shingle sets are one class before any of this, so copies never meet as
-pairs. Inside a bucket no all-pairs list is made either. Rounds of hub pairs (each member
-with one member of its bucket) find most links; members already in one component need no
-further test. Whatever pairs of different components remain in a bucket are all tested
-after that, larger buckets being split again by the same pigeonhole rule, so no link is
-lost. Every link is confirmed on the full shingle sets.
+pairs. Inside a bucket no all-pairs list is made either. A first round pairs each member with
+one hub of its bucket; later ones only members outside their bucket's largest component,
+each with one member of that. Members already in one component need no further test. What
+pairs of different components are left is enumerated last: a pair comes out of the join
+once, in the first bucket it shares, and only if its signatures are within the distance and
+a longer signature of the few texts concerned still allows the similarity, so no link is
+lost and no pair is repeated. Links are confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -32,8 +34,9 @@ from ledgerwide.llm.words import mix, shingle_set, split_words, text_slices
 PLACES = 5  # values in a chunk
 BITS = 12  # bits kept of a value
 MISS = 1e-5  # accepted chance that a pair at the threshold exceeds the distance
-HUB_ROUNDS = 6  # at most; fewer when nothing is left or a round finds nothing
-SPLIT_ABOVE = 64  # members of a bucket beyond which the last pass splits it again
+HUB_ROUNDS = 2  # at most; fewer when nothing is left or a round finds nothing
+
+FINE = 512  # values of the longer signature, of 4 bits each
 
 _PLACE = (1 << BITS) - 1
 _LOW = sum(1 << (BITS * k) for k in range(PLACES))
@@ -50,18 +53,41 @@ def layout(similarity: float, miss: float = MISS) -> int:
     raise ValueError(f"similarity {similarity} is too low for this index")
 
 
+def fine_limit(similarity: float, miss: float = MISS) -> int:
+    """Places of the longer signature that a pair at ``similarity`` may differ in."""
+    q = (1.0 - similarity) * 15 / 16  # unequal values still share 4 bits by chance
+    over = 1.0
+    for allowed in range(FINE):
+        over -= comb(FINE, allowed) * q**allowed * (1 - q) ** (FINE - allowed)
+        if over <= miss:
+            return allowed
+    return FINE
+
+
 def chunk_columns(chunks: int) -> list[str]:
     return [f"s{c}" for c in range(chunks)]
 
 
-def _signature(values: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np.ndarray:
+def _least(values: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np.ndarray:
+    """MinHash values of a set under every factor and shift."""
     least = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(values), 4096):
-        part = (values[None, at : at + 4096] ^ shifts[:, None]) * factors[:, None]
+    for at in range(0, len(values), 1024):
+        part = (values[None, at : at + 1024] ^ shifts[:, None]) * factors[:, None]
         np.minimum(least, part.min(axis=1), out=least)
-    short = mix(least) >> np.uint64(64 - BITS)
-    weights = np.uint64(1) << (np.arange(PLACES, dtype=np.uint64) * np.uint64(BITS))
-    return (short.reshape(-1, PLACES) * weights).sum(axis=1, dtype=np.uint64).view(np.int64)
+    return mix(least)
+
+
+def _packed(values: np.ndarray, bits: int, each: int) -> np.ndarray:
+    """The top bits of ``each`` values to a long."""
+    short = values >> np.uint64(64 - bits)
+    weights = np.uint64(1) << (np.arange(each, dtype=np.uint64) * np.uint64(bits))
+    return (short.reshape(-1, each) * weights).sum(axis=1, dtype=np.uint64).view(np.int64)
+
+
+def _hashes(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    random = np.random.default_rng(seed)
+    factors = random.integers(0, 2**64, n, dtype=np.uint64) | np.uint64(1)
+    return factors, random.integers(0, 2**64, n, dtype=np.uint64)
 
 
 def signatures(docs: DataFrame, shingle: int, chunks: int) -> DataFrame:
@@ -70,9 +96,7 @@ def signatures(docs: DataFrame, shingle: int, chunks: int) -> DataFrame:
     places = PLACES * chunks
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        random = np.random.default_rng(10)
-        factors = random.integers(0, 2**64, places, dtype=np.uint64) | np.uint64(1)
-        shifts = random.integers(0, 2**64, places, dtype=np.uint64)
+        hashes = _hashes(places, 10)
         for batch in text_slices(batches):
             words = split_words(batch.column(1))
             rows = batch.num_rows
@@ -83,7 +107,7 @@ def signatures(docs: DataFrame, shingle: int, chunks: int) -> DataFrame:
                 sizes[r] = len(values)
                 if len(values):
                     cls[r] = set_hash(values)
-                    signs[r] = _signature(values, factors, shifts)
+                    signs[r] = _packed(_least(values, *hashes), BITS, PLACES)
             empty = sizes == 0
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(cls, mask=empty), pa.array(sizes)]
@@ -113,30 +137,76 @@ def _keys(columns: list[str]) -> Column:
     return F.array(*keys)
 
 
-def distance(left: str, right: str, columns: list[str]) -> Column:
-    """Places in which the signatures of two rows differ."""
-    total = F.lit(0)
-    for name in columns:
-        x = F.col(f"{left}.{name}").bitwiseXOR(F.col(f"{right}.{name}"))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 6))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 3))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseOR(F.shiftrightunsigned(x, 2))
-        total = total + F.bit_count(x.bitwiseAND(F.lit(_LOW)))
-    return total
+def fine_columns() -> list[str]:
+    return [f"f{k}" for k in range(FINE // 16)]
+
+
+def fine_signatures(texts: DataFrame, shingle: int) -> DataFrame:
+    """node and its longer signature, from (node, text)."""
+    names = fine_columns()
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _hashes(FINE, 11)
+        for batch in text_slices(batches):
+            words = split_words(batch.column(1))
+            signs = np.zeros((batch.num_rows, len(names)), np.int64)
+            for r in range(batch.num_rows):
+                signs[r] = _packed(_least(shingle_set(words.row(r), shingle), *hashes), 4, 16)
+            columns = [pa.array(signs[:, c]) for c in range(len(names))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["node", *names])
+
+    return texts.select("node", "text").mapInArrow(sign, "node long, " + ", ".join(f"{n} long" for n in names))
+
+
+def _fine_near(similarity: float) -> Column:
+    """Whether two longer signatures allow the similarity."""
+    low = F.lit(int("1" * 16, 16))
+    apart = F.lit(0)
+    for name in fine_columns():
+        x = F.col(f"p_{name}").bitwiseXOR(F.col(f"q_{name}"))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        apart = apart + F.bit_count(x.bitwiseAND(low))
+    return apart <= fine_limit(similarity)
+
+
+def differences(left: str, right: str) -> Column:
+    """Places in which two chunks differ: every 12 bits are folded onto their lowest."""
+    x = F.col(left).bitwiseXOR(F.col(right))
+    x = x.bitwiseOR(F.shiftrightunsigned(x, 6))
+    x = x.bitwiseOR(F.shiftrightunsigned(x, 3))
+    x = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseOR(F.shiftrightunsigned(x, 2))
+    return F.bit_count(x.bitwiseAND(F.lit(_LOW)))
+
+
+def _near(columns: list[str], similarity: float, sizes: tuple[str, str]) -> Column:
+    """Within the signature distance, and of sizes that allow the similarity."""
+    apart = [differences(f"p_{c}", f"q_{c}") for c in columns]
+    percent = round(100 * similarity)
+    fits = 100 * F.least(*sizes) >= percent * F.greatest(*sizes)
+    return fits & (sum(apart[1:], apart[0]) <= 2 * len(columns) - 1)
+
+
+def _first_shared(columns: list[str]) -> Column:
+    """Whether a row's key (at) is the first of those that its two signatures share."""
+    chunk, place = F.floor(F.col("at") / PLACES), F.col("at") % PLACES
+    first, apart = F, F
+    for c, name in enumerate(columns):
+        here = differences(f"p_{name}", f"q_{name}")
+        first = first.when(here <= 1, F.lit(c))
+        apart = apart.when(chunk == c, here)
+    return (first == chunk) & ((apart == 1) | (place == 0))
 
 
-def _buckets(spark: SparkSession, members: DataFrame, keys: Column) -> DataFrame:
-    """(bucket, chunk, node) of every key that two or more nodes share.
+def _buckets(spark: SparkSession, classes: DataFrame, keys: Column) -> DataFrame:
+    """(bucket, at, node) of every key that two or more nodes share; at: the key's position.
 
     The counts combine on the map side: a key of very many nodes is one row per task there,
     and the join that follows can split it.
     """
-    again = "bucket" in members.columns
-    flat = members.select("node", *(["bucket"] if again else []), F.posexplode(keys).alias("at", "key"))
-    chunk = F.floor(F.col("at") / PLACES).cast("int").alias("chunk")
-    flat = flat.select(F.xxhash64("bucket", "key").alias("key") if again else "key", chunk, "node")
+    flat = classes.select("node", F.posexplode(keys).alias("at", "key"))
     shared = flat.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    found = flat.join(shared.select("key"), "key").select(F.col("key").alias("bucket"), "chunk", "node")
+    found = flat.join(shared.select("key"), "key").select(F.col("key").alias("bucket"), "at", "node")
     return stored(spark, found, "buckets")
 
 
@@ -191,117 +261,78 @@ class _Links:
         self.links: DataFrame | None = None
         self.roots: DataFrame | None = None
 
-    def label(self, buckets: DataFrame) -> DataFrame:
-        """``buckets`` with each node's component, without buckets that lie in one component."""
+    def signed(self, side: str, frame: DataFrame, node: str, signs: DataFrame | None = None) -> DataFrame:
+        """``frame`` with the set size and signature of ``node`` under names of its side."""
+        signs = self.classes if signs is None else signs
+        names = [F.col(c).alias(f"{side}_{c}") for c in signs.columns if c != "node"]
+        return frame.join(signs.select(F.col("node").alias(node), *names), node)
+
+    def mixed(self, buckets: DataFrame) -> DataFrame:
+        """(bucket, at, node, root, main) of buckets that hold more than one component.
+
+        main is the bucket's component with the most members, of several the smallest.
+        """
+        named = buckets.select("bucket", "at", "node")
         if self.roots is None:
-            return buckets.withColumn("root", F.col("node"))
-        roots = self.roots.withColumnRenamed("root", "_root")
-        named = buckets.drop("root").join(roots, "node", "left")
-        named = named.select("bucket", "chunk", "node", F.coalesce("_root", "node").alias("root"))
-        mixed = named.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-        named = named.join(mixed.where("lo < hi").select("bucket"), "bucket", "left_semi")
-        return stored(self.spark, named, "buckets")
-
-    def near(self, pairs: DataFrame) -> DataFrame:
-        """Distinct pairs within the signature distance whose set sizes allow the similarity."""
-        names = self.columns
-        side = F.struct("n_shingles", *names)
-        left = self.classes.select(F.col("node").alias("a"), side.alias("x"))
-        right = self.classes.select(F.col("node").alias("b"), side.alias("y"))
-        percent = round(100 * self.similarity)
-        fits = (100 * F.least("x.n_shingles", "y.n_shingles")) >= percent * F.greatest("x.n_shingles", "y.n_shingles")
-        close = distance("x", "y", names) <= 2 * len(names) - 1
-        both = pairs.distinct().join(left, "a").join(right, "b")
-        return both.where(fits & close).select("a", "b")
-
-    def test(self, pairs: DataFrame) -> bool:
-        """Confirm pairs, take in the links; whether there were any."""
-        found = stored(self.spark, _verified(self.near(pairs), self.texts, self.shingle, self.similarity), "links")
+            named = named.withColumn("root", F.col("node"))
+        else:
+            named = named.join(self.roots.withColumnRenamed("root", "_root"), "node", "left")
+            named = named.select("bucket", "at", "node", F.coalesce("_root", "node").alias("root"))
+        counts = named.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+        most = counts.groupBy("bucket").agg(F.max("n").alias("n"), F.count("*").alias("roots"))
+        most = most.where("roots > 1").drop("roots")
+        main = counts.join(most, ["bucket", "n"]).groupBy("bucket").agg(F.min("root").alias("main"))
+        return stored(self.spark, named.join(main, "bucket"), "mixed")
+
+    def confirm(self, pairs: DataFrame) -> bool:
+        """Confirm pairs (a, b), take in the links; whether there were any."""
+        found = stored(self.spark, _verified(pairs, self.texts, self.shingle, self.similarity), "links")
         if found.isEmpty():
             return False
         self.links = found if self.links is None else self.links.unionByName(found)
         self.roots = connected_components(self.spark, self.links)
         return True
 
-    def hub_pairs(self, named: DataFrame, turn: int) -> DataFrame:
-        """Each member with its bucket's hub, if that is of another component.
-
-        Hubs are least members: of the plain order first, so that few hubs serve many
-        buckets, then of orders that differ between buckets.
-        """
-        order = F.col("node")
-        if turn == 1:
-            order = -order
-        elif turn > 1:
-            order = F.xxhash64("bucket", F.lit(turn)).bitwiseXOR(F.col("node"))
-        hubs = named.groupBy("bucket").agg(F.min(order).alias("hub"))
-        pairs = named.join(hubs, "bucket")
-        back = F.col("hub")
-        if turn == 1:
-            back = -back
-        elif turn > 1:
-            back = F.xxhash64("bucket", F.lit(turn)).bitwiseXOR(back)
-        pairs = pairs.select("node", "root", back.alias("hub")).where("node <> hub").distinct()
-        if self.roots is not None:
-            tops = self.roots.select(F.col("node").alias("hub"), F.col("root").alias("top"))
-            pairs = pairs.join(tops, "hub", "left").where("root <> coalesce(top, hub)")
-        if turn > 1:
-            pick = pairs.select("node", "hub").groupBy("node")
-            pairs = pick.agg(F.min("hub").alias("hub"))
-        return pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
-
-    def rest(self, named: DataFrame) -> DataFrame:
-        """All pairs of different components that share a bucket.
-
-        One side is only the members outside their bucket's largest component. Buckets with
-        many members are first split by their members' keys outside the bucket's chunk: a pair
-        within the distance shares one of those as well.
+    def first_pairs(self, buckets: DataFrame) -> DataFrame:
+        """Each member with its bucket's least, so that few hubs serve many buckets."""
+        hubs = buckets.groupBy("bucket").agg(F.min("node").alias("hub"))
+        pairs = buckets.join(hubs, "bucket").where("node <> hub").select("node", "hub").distinct()
+        return self.within(pairs)
+
+    def hub_pairs(self, mixed: DataFrame, turn: int) -> DataFrame:
+        """Each node outside a main component with one member of one, in changing order."""
+        order = F.xxhash64("bucket", F.lit(turn))
+        hubs = mixed.where("root = main").groupBy("bucket").agg(F.min(order.bitwiseXOR(F.col("node"))).alias("h"))
+        hubs = hubs.select("bucket", order.bitwiseXOR(F.col("h")).alias("hub"))
+        outside = mixed.where("root <> main").select("bucket", "node")
+        return self.within(outside.join(hubs, "bucket").groupBy("node").agg(F.min("hub").alias("hub")))
+
+    def within(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (node, hub) as (a, b), if they are within the signature distance."""
+        both = self.signed("q", self.signed("p", pairs, "node"), "hub")
+        both = both.where(_near(self.columns, self.similarity, ("p_n_shingles", "q_n_shingles")))
+        return both.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+
+    def rest(self, mixed: DataFrame) -> DataFrame:
+        """All pairs of different components within the distance, each once.
+
+        One side is only the members outside their bucket's main component. Both sides are
+        read from files, so the join on the bucket has exchanges that can be split.
         """
-        sizes = named.groupBy("bucket").agg(F.count("*").alias("size"))
-        large = named.join(sizes.where(F.col("size") > SPLIT_ABOVE).select("bucket"), "bucket", "left_semi")
-        small = named.join(sizes.where(F.col("size") <= SPLIT_ABOVE).select("bucket"), "bucket", "left_semi")
-        again = large.drop("root").join(self.classes.select("node", *self.columns), "node")
-        split = self.label(_buckets(self.spark, again, _rekeyed(self.columns)))
-        named = stored(self.spark, small.unionByName(split), "rest")
-        counts = named.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-        most = counts.groupBy("bucket").agg(F.max("n").alias("n"))
-        main = counts.join(most, ["bucket", "n"]).groupBy("bucket").agg(F.min("root").alias("main"))
-        sided = named.join(main, "bucket")
-        few = sided.where("root <> main").select("bucket", F.col("node").alias("p"), F.col("root").alias("pr"))
-        every = sided.select("bucket", F.col("node").alias("q"), F.col("root").alias("qr"), "main")
-        cross = few.join(every, "bucket").where("qr = main or pr < qr")
-        return cross.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
-
-
-def _rekeyed(columns: list[str]) -> Column:
-    """Keys for splitting a bucket again.
-
-    Members of a bucket agree on one chunk but for a place. The places of all other chunks
-    are cut into as many groups as there are chunks, so a pair within the distance has a
-    group with at most one difference there as well, and again every place is blanked.
-    """
-    chunks = len(columns)
-    values = F.flatten(F.array(*[
-        F.array(*[F.shiftrightunsigned(name, BITS * k).bitwiseAND(F.lit(_PLACE)) for k in range(PLACES)])
-        for name in columns
-    ]))
-    after = PLACES * (F.col("chunk") + 1)
-    others = F.concat(
-        F.slice(values, F.lit(1), PLACES * F.col("chunk")),
-        F.slice(values, after + 1, F.lit(PLACES * chunks) - after),
-    )
-    places = PLACES * (chunks - 1)
-    cuts = [places * g // chunks for g in range(chunks + 1)]
-    spans = [(lo, hi) for lo, hi in zip(cuts, cuts[1:]) for _ in range(hi - lo)]
-    starts, ends = (F.array(*[F.lit(s[k]) for s in spans]) for k in (0, 1))
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(places - 1)),
-        lambda i: F.xxhash64(
-            i,
-            F.slice(others, F.get(starts, i) + 1, i - F.get(starts, i)),
-            F.slice(others, i + 2, F.get(ends, i) - i - 1),
-        ),
-    )
+        left = mixed.select("node").distinct()
+        fine = fine_signatures(self.texts.join(left, "node", "left_semi"), self.shingle)
+        signs = stored(self.spark, self.classes.join(fine, "node"), "fine")
+        ours = mixed.select("bucket", "at", F.col("node").alias("p"), F.col("root").alias("pr"), "main")
+        few = stored(self.spark, self.signed("p", ours.where("pr <> main"), "p", signs), "minor")
+        theirs = mixed.select("bucket", F.col("node").alias("q"), F.col("root").alias("qr"))
+        every = stored(self.spark, self.signed("q", theirs, "q", signs), "members")
+        near = _near(self.columns, self.similarity, ("p_n_shingles", "q_n_shingles"))
+        once = (F.col("qr") == F.col("main")) | (F.col("pr") < F.col("qr"))
+        on = (few["bucket"] == every["bucket"]) & once
+        # In this order: the first test is the cheapest and leaves one in many.
+        on = on & _first_shared(self.columns) & near & _fine_near(self.similarity)
+        cross = few.join(every, on)
+        return cross.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -330,15 +361,15 @@ def near_duplicates(
         return _answer(ids, None)
     texts = _class_texts(spark, docs, signed, buckets.select("node").distinct(), shingle)
     links = _Links(spark, classes, texts, shingle, similarity, chunks)
-    named = links.label(buckets)
-    for turn in range(HUB_ROUNDS):
-        found = links.test(links.hub_pairs(named, turn))
-        if found:
-            named = links.label(named)
-        if named.isEmpty() or not found and turn > 1:
+    found = links.confirm(links.first_pairs(buckets))
+    mixed = links.mixed(buckets)
+    for turn in range(1, HUB_ROUNDS):
+        if not found or mixed.isEmpty():
             break
-    if not named.isEmpty():
-        links.test(links.rest(named))
+        if found := links.confirm(links.hub_pairs(mixed, turn)):
+            mixed = links.mixed(mixed)
+    if not mixed.isEmpty():
+        links.confirm(links.rest(mixed))
     return _answer(ids, links.roots)
 
 
