@@ -10,7 +10,7 @@ import re
 import unicodedata
 from collections.abc import Callable
 
-KEPT = 400_000  # chunks a worker remembers
+KEPT = 600_000  # chunks a worker remembers, and two and a half times as many words
 
 #: The characters that the vocabulary's splitting pattern counts as white space.
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -56,7 +56,7 @@ class ChunkStore:
         return [list(map(get, chunks)) for chunks in split]
 
     def _learn(self, chunks: set[str]) -> None:
-        if len(self.parts) > 2 * KEPT:
+        if len(self.parts) > 2.5 * KEPT:
             self.parts = {"": b""}
         cut = []
         for chunk in chunks:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerwide.llm import bpe, chat, decontaminate, html_text, licences, near_dedup, pii, quality, secret_scan, token_files
+from ledgerwide.llm.sql import SQL  # noqa: F401  (read by the entry module)
 from ledgerwide.llm.tables import documents
 from ledgerwide.session import scratch_path
 
@@ -77,5 +78,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 QUERIES["pipeline"] = corpus_pipeline.run
-
-SQL: dict[str, str] = {}
