@@ -52,6 +52,7 @@ def enriched(scorecard: DataFrame) -> DataFrame:
 
 
 # Columns of the enriched datasets.
+#: The column lists of the four exports.
 KPI_EXPORT = [
     "org_code", "organisation_name", "sector", "region", "trust_type", "financial_year",
     "total_income_000s", "ebitda_000s", "ebitda_margin_pct", "pay_000s", "pay_pct_income",

@@ -151,7 +151,7 @@ def fact_checks(fact: DataFrame, expect: Expectations, with_keys: bool = False)
             "no null org_codes in fact",
             CRITICAL,
             F.col("blank") == 0,
-            _say(F.col("blank"), " rows with null/empty org_code"),
+            _say(F.col("blank"), " rows carry no organisation code"),
         )
     )
     if with_keys:
@@ -188,7 +188,7 @@ def _duplicate_row(column: str) -> Check:
         "no duplicate fact keys",
         CRITICAL,
         F.col(column) == 0,
-        _say(F.col(column), " duplicate (org_code, year, main_code, sub_code) combinations"),
+        _say(F.col(column), " keys are held by more than one row"),
     )
 
 
@@ -205,7 +205,7 @@ def orphan_check(fact: DataFrame, trusts: DataFrame) -> DataFrame:
                 "no orphan org_codes in fact",
                 CRITICAL,
                 F.col("orphans") == 0,
-                _say(F.col("orphans"), " org_codes in fact not in dim_trust"),
+                _say(F.col("orphans"), " codes of the fact lack an organisation"),
             )
         ],
     )
@@ -254,7 +254,7 @@ def plausibility_checks(base: DataFrame, expect: Expectations) -> DataFrame:
                 f"deficit trust count {year}",
                 WARNING,
                 between("deficits", expect.deficits),
-                _say(F.col("deficits"), " deficit trusts (expected {}–{})".format(*expect.deficits)),
+                _say(F.col("deficits"), " organisations below zero (limits {}–{})".format(*expect.deficits)),
             ),
             (
                 f"avg EBITDA margin {year}",
@@ -272,13 +272,13 @@ def plausibility_checks(base: DataFrame, expect: Expectations) -> DataFrame:
                 "income - expenditure = operating surplus",
                 WARNING,
                 F.col("unbalanced") == 0,
-                _say(F.col("unbalanced"), " trust-years where I&E doesn't balance"),
+                _say(F.col("unbalanced"), " organisation-years whose surplus is not income less spending"),
             ),
             (
                 f"WTE values plausible (0 < WTE ≤ {expect.wte_max:,})",
                 WARNING,
                 F.col("odd_wte") == 0,
-                _say(F.col("odd_wte"), " trust-years with implausible WTE"),
+                _say(F.col("odd_wte"), " organisation-years with a staff count outside the limits"),
             ),
         ],
     )

@@ -657,7 +657,7 @@ SQL["D5_blank_org_codes"] = check(
     "no null org_codes in fact",
     "CRITICAL",
     "n = 0",
-    "n || ' rows with null/empty org_code'",
+    "n || ' rows carry no organisation code'",
     "SELECT COUNT(*) AS n FROM fact WHERE org_code IS NULL OR trim(org_code) = ''",
 )
 
@@ -667,7 +667,7 @@ def _duplicates(source: str) -> str:
         "no duplicate fact keys",
         "CRITICAL",
         "n = 0",
-        "n || ' duplicate (org_code, year, main_code, sub_code) combinations'",
+        "n || ' keys are held by more than one row'",
         f"SELECT COUNT(*) AS n FROM (SELECT 1 FROM {source} GROUP BY org_code, financial_year, main_code, "
         "sub_code HAVING COUNT(*) > 1) d",
     )
@@ -678,7 +678,7 @@ SQL["D7_orphan_codes"] = check(
     "no orphan org_codes in fact",
     "CRITICAL",
     "orphans = 0",
-    "orphans || ' org_codes in fact not in dim_trust'",
+    "orphans || ' codes of the fact lack an organisation'",
     SQL["J8_orphan_facts"],
 )
 _lo, _hi = EXPECT.income_bn
@@ -694,7 +694,7 @@ SQL["D9_deficit_count"] = check(
     f"deficit trust count {YEAR}",
     "WARNING",
     f"v BETWEEN {_lo} AND {_hi}",
-    f"v || ' deficit trusts (expected {_lo}–{_hi})'",
+    f"v || ' organisations below zero (limits {_lo}–{_hi})'",
     f"SELECT COALESCE({total('is_deficit')}, 0) AS v FROM card WHERE financial_year = '{YEAR}'",
 )
 _lo, _hi = EXPECT.ebitda_pct
@@ -717,14 +717,14 @@ SQL["D12_balance"] = check(
     "income - expenditure = operating surplus",
     "WARNING",
     "n = 0",
-    "n || ' trust-years where I&E doesn''t balance'",
+    "n || ' organisation-years whose surplus is not income less spending'",
     "SELECT COUNT(*) AS n FROM ie WHERE ABS(total_income_000s - total_expenditure_000s - operating_surplus_000s) > 1000",
 )
 SQL["D13_wte_range"] = check(
     "WTE values plausible (0 < WTE ≤ 50,000)",
     "WARNING",
     "n = 0",
-    "n || ' trust-years with implausible WTE'",
+    "n || ' organisation-years with a staff count outside the limits'",
     "SELECT COUNT(*) AS n FROM wf WHERE total_wte <= 0 OR total_wte > 50000",
 )
 SQL["D14_all_checks"] = " UNION ALL ".join(
