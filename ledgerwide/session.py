@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -45,7 +46,7 @@ def scratch_root(spark: SparkSession) -> str:
         known = spark.sparkContext.getCheckpointDir()
         if known:
             return known
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         configured = tempfile.mkdtemp(prefix="ledgerwide-")
     if spark.sparkContext.getCheckpointDir() is None:
