@@ -149,7 +149,8 @@ def _write_shard(system, path: str, width: int, keys, valid, starts, ids_stream)
             at += len(block)
         keys, valid = keys(), valid()
         bounds = starts()
-        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]] & valid) if len(keys) else np.zeros(0, np.int64)
+        fresh = (keys[1:] != keys[:-1]) | (valid[1:] != valid[:-1])  # null keys are held as 0
+        first = np.flatnonzero(np.r_[True, fresh] & valid) if len(keys) else np.zeros(0, np.int64)
         distinct = keys[first].view(np.uint64)
         arrays = perfect_hash(distinct)
         place = numbers(arrays, distinct)
