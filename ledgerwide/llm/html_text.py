@@ -2,21 +2,22 @@
 
 A page becomes its block-level DOM tree, in which neighbouring siblings of one label are one
 node, and its blocks of text. Per host the commonest tree is the exemplar; every other tree of
-that host is aligned with it by simple tree matching, and all pages' texts are counted at the
-exemplar's nodes. Nodes whose text never varies are template, varying slots are content. The
-content root is the host's article or main element, or else the node that holds most of the
-varying text outside links; what it contains is the text, without nodes that their own tag,
-class, id or role calls a menu, header, footer, sidebar, notice, advert, form or comments.
+that host is aligned with it by simple tree matching, and each text is counted at the exemplar's
+nodes over the host's different pages. A text that (nearly) all pages with its node share is
+template, other texts are content. The content root is the page's own article or main element,
+or else the host's: an article, main, or the node that holds most of the varying text outside
+links. The varying texts in it are the page's text, without nodes that their own tag, class, id
+or role calls a menu, header, footer, sidebar, notice, advert, form or comments.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,8 @@ from pyspark.sql import functions as F
 from ledgerwide.llm.tables import stored
 from ledgerwide.llm.words import text_slices
 
-ALWAYS_SAME = 5  # pages a host needs before an unchanging node counts as its template
+ALWAYS_SAME = 5  # different pages that need to share a text before it counts as template
+CONSTANT = 95  # percent of the pages with a slot that need to share it; pages cut short may lack it
 MOST = 0.8  # share of the varying text that a child needs to be the content root instead
 
 #: Element names of the HTML standard.
@@ -222,44 +224,57 @@ def _boiler(label: str, in_article: bool) -> bool:
     return tag in BOILER_TAGS or tag == "header" and not in_article or bool(BOILER_WORDS & set(words))
 
 
-def induce(shapes: list[tuple[str, int, dict[int, tuple]]]) -> list[list[bool]]:
-    """For each tree of a host, which of its nodes hold content.
+def placed(tree: list, exemplar: list) -> tuple[list[int], list[int], list[int]]:
+    """For each node of a tree: its slot, the exemplar's node that it hangs from, and its use.
 
-    ``shapes``: (tree, pages, {node: (texts' least hash, greatest hash, characters, of these in
-    links)}); the exemplar is the tree of the most pages, of several the first by its text.
+    A slot is the number of the exemplar's node that the node is aligned with, or else a negative
+    hash of the node's own path, so that nodes the exemplar lacks meet their like on other pages.
+    Use: 0 never content, 1 inside the page's own article, 2 content if the host's root holds it.
     """
-    trees = [json.loads(t) for t, _, _ in shapes]
-    flats = [_flat(t) for t in trees]
-    best = min(range(len(shapes)), key=lambda k: (-shapes[k][1], shapes[k][0]))
-    maps = [{b: a for a, b in match_trees(trees[best], t)} for t in trees]
-    low: dict[tuple, int] = {}
-    high: dict[tuple, int] = {}
-    seen: dict[tuple, int] = {}
-    free: dict[tuple, int] = {}
-    for (_, pages, stats), flat, to in zip(shapes, flats, maps):
-        for place, (lo, hi, chars, linked) in stats.items():
-            spot = to.get(flat[place][0])
-            if spot is None:
-                continue
-            low[spot], high[spot] = min(lo, low.get(spot, lo)), max(hi, high.get(spot, hi))
-            seen[spot] = seen.get(spot, 0) + pages
-            free[spot] = free.get(spot, 0) + chars - linked
-    fixed = {s for s in seen if low[s] == high[s] and seen[s] >= ALWAYS_SAME}
-
-    def judged(flat: list[tuple[tuple, str]]) -> dict[tuple, bool]:
-        boiler: dict[tuple, bool] = {}
-        article: dict[tuple, bool] = {}
-        for path, label in flat:
-            up = path[:-1]
-            inside = bool(path) and article[up]
-            article[path] = inside or label.split(".")[0] in ("article", "main")
-            boiler[path] = bool(path) and boiler[up] or _boiler(label, inside)
-        return boiler
-
-    flat, boiler = flats[best], judged(flats[best])
-    weight = {
-        p: sum(n for s, n in free.items() if s[: len(p)] == p and s not in fixed and not boiler[s]) for p, _ in flat
-    }
+    flat = _flat(tree)
+    number = {path: k for k, (path, _) in enumerate(_flat(exemplar))}
+    to = {b: number[a] for a, b in ((p, p) for p in number)} if tree == exemplar else {
+        b: number[a] for a, b in match_trees(exemplar, tree)
+    }
+    boiler = _judged(flat)
+    marked = [p for p, l in flat if l.split(".")[0] in ("article", "main") and not boiler[p]]
+    names: dict[tuple, str] = {}
+    met: dict[tuple, int] = {}
+    anchor: dict[tuple, int] = {}
+    slots, anchors, uses = [], [], []
+    for path, label in flat:
+        up = path[:-1]
+        nth = met[up, label] = met.get((up, label), 0) + 1
+        names[path] = f"{names[up] if path else ''}/{label}:{nth}"
+        anchor[path] = to.get(path, anchor[up] if path else 0)
+        anchors.append(anchor[path])
+        own = int.from_bytes(hashlib.blake2b(names[path].encode(), digest_size=8).digest()) >> 1
+        slots.append(to.get(path, -1 - own))
+        inside = any(path[: len(m)] == m for m in marked) if marked else None
+        uses.append(0 if boiler[path] or inside is False else 1 if inside else 2)
+    return slots, anchors, uses
+
+
+def _judged(flat: list[tuple[tuple, str]]) -> dict[tuple, bool]:
+    boiler: dict[tuple, bool] = {}
+    article: dict[tuple, bool] = {}
+    for path, label in flat:
+        up = path[:-1]
+        inside = bool(path) and article[up]
+        article[path] = inside or label.split(".")[0] in ("article", "main")
+        boiler[path] = bool(path) and boiler[up] or _boiler(label, inside)
+    return boiler
+
+
+def content_root(exemplar: list, varying: dict[int, int]) -> tuple[int, int]:
+    """First node of the host's content root and the first one after it, by the exemplar's numbers.
+
+    ``varying``: characters outside links at each node, without texts that stay constant.
+    """
+    flat = _flat(exemplar)
+    boiler = _judged(flat)
+    free = {p: varying.get(k, 0) for k, (p, _) in enumerate(flat) if not boiler[p]}
+    weight = {p: sum(n for s, n in free.items() if s[: len(p)] == p) for p, _ in flat}
     named = [p for tag in ("article", "main") for p, l in flat if l.split(".")[0] == tag and not boiler[p]]
     if named:
         root = max(named, key=lambda p: (weight[p], -len(p)))
@@ -267,36 +282,28 @@ def induce(shapes: list[tuple[str, int, dict[int, tuple]]]) -> list[list[bool]]:
         root = ()
         while inner := [p for p, _ in flat if p[:-1] == root and p and weight[root] and weight[p] >= MOST * weight[root]]:
             root = inner[0]
-    out = []
-    for flat_t, to, tree in zip(flats, maps, trees):
-        own = judged(flat_t)
-        marked = [p for tag in ("article", "main") for p, l in flat_t if l.split(".")[0] == tag and not own[p]]
-        keep: dict[tuple, bool] = {}
-        for path, _ in flat_t:
-            spot = to.get(path)
-            if marked:  # the page names its article itself
-                inside = any(path[: len(m)] == m for m in marked)
-            elif spot is not None:
-                inside = spot[: len(root)] == root and (bool(named) or spot not in fixed)
-            else:
-                inside = bool(path) and keep[path[:-1]]
-            keep[path] = inside and not own[path]
-        out.append([keep[p] for p, _ in flat_t])
-    return out
+    inside = [k for k, (p, _) in enumerate(flat) if p[: len(root)] == root]
+    return inside[0], inside[-1] + 1
 
 
-PARSED = "page_id long, url string, host string, tree string, blocks array<struct<node: int, text: string, linked: int>>"
+SAME = "array<struct<node: int, texts: array<bigint>>>"
+PARSED = "page_id long, url string, host string, tree string, blocks array<struct<node: int, text: string, linked: int, fresh: boolean>>"
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = pa.list_(pa.struct([("node", pa.int32()), ("text", pa.string()), ("linked", pa.int32())]))
+        block = pa.list_(pa.struct([("node", pa.int32()), ("text", pa.string()), ("linked", pa.int32()), ("fresh", pa.bool_())]))
         for batch in text_slices(batches):
             trees, rows = [], []
             for page in batch.column(3).to_pylist():
                 root, blocks = parse(page or "")
                 trees.append(json.dumps(numbered(root), ensure_ascii=False, separators=(",", ":")))
-                rows.append([{"node": n.place, "text": t, "linked": k} for n, t, k in blocks])
+                met: set[tuple[int, str]] = set()
+                row = []
+                for n, t, k in blocks:
+                    row.append({"node": n.place, "text": t, "linked": k, "fresh": (n.place, t) not in met})
+                    met.add((n.place, t))
+                rows.append(row)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(2), pa.array(trees), pa.array(rows, block)],
                 ["page_id", "url", "host", "tree", "blocks"],
@@ -307,33 +314,92 @@ def _parsed(pages: DataFrame) -> DataFrame:
     return pages.select(*columns).mapInArrow(run, PARSED)
 
 
-def wrappers(parsed: DataFrame) -> DataFrame:
-    """host, shape (hash of a tree), keep (one flag per node), for every tree of every host.
+def _aligned(spark: SparkSession, parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(host, shape, slots, anchors, uses) of every different tree, and (host, exemplar).
 
-    Pages are counted by host and tree before a host's trees meet in one group, so that group
-    holds as many rows as the host has different trees and nodes, whatever its pages.
+    A host's exemplar is the tree of the most pages, of several the first by its text. Each tree
+    is one row beside its exemplar, so a host of very many trees is split over tasks.
     """
-    shape = F.xxhash64("tree").alias("shape")
-    trees = parsed.groupBy("host", shape).agg(F.min("tree").alias("tree"), F.count("*").alias("pages"))
-    nodes = parsed.select("host", shape, F.explode("blocks").alias("b")).groupBy("host", "shape", F.col("b.node").alias("node"))
-    stats = nodes.agg(
-        F.min(F.xxhash64("b.text")).alias("lo"),
-        F.max(F.xxhash64("b.text")).alias("hi"),
-        F.sum(F.length("b.text")).alias("chars"),
-        F.sum("b.linked").alias("linked"),
-    )
-    both = trees.join(stats, ["host", "shape"], "left")
+    trees = parsed.groupBy("host", F.xxhash64("tree").alias("shape")).agg(F.min("tree").alias("tree"), F.count("*").alias("pages"))
+    trees = stored(spark, trees, "trees")
+    best = F.min(F.struct((-F.col("pages")).alias("minus"), "tree"))
+    exemplars = stored(spark, trees.groupBy("host").agg(best.alias("b")).select("host", F.col("b.tree").alias("exemplar")), "exemplars")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches):
+            columns: list[list] = [[], [], []]
+            for tree, exemplar in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                for column, values in zip(columns, placed(json.loads(tree), json.loads(exemplar))):
+                    column.append(values)
+            kinds = pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *map(pa.array, columns, kinds)],
+                ["host", "shape", "slots", "anchors", "uses"],
+            )
+
+    both = trees.join(exemplars, "host").select("host", "shape", "tree", "exemplar")
+    schema = "host string, shape long, slots array<long>, anchors array<int>, uses array<int>"
+    return stored(spark, both.mapInArrow(run, schema), "aligned"), exemplars
 
-    def of_host(rows: pd.DataFrame) -> pd.DataFrame:
-        shapes, keys = [], []
-        for shape, part in rows.groupby("shape"):
-            counted = part.dropna(subset=["node"])
-            stats = {int(r.node): (int(r.lo), int(r.hi), int(r.chars), int(r.linked)) for r in counted.itertuples()}
-            shapes.append((part["tree"].iloc[0], int(part["pages"].iloc[0]), stats))
-            keys.append(shape)
-        return pd.DataFrame({"host": rows["host"].iloc[0], "shape": keys, "keep": induce(shapes)})
 
-    return both.groupBy("host").applyInPandas(of_host, "host string, shape long, keep array<boolean>")
+def _roots(exemplars: DataFrame, varying: DataFrame) -> DataFrame:
+    """(host, lo, hi): the content root of every host as a range of its exemplar's nodes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches):
+            found = [
+                content_root(json.loads(tree), {v["slot"]: v["free"] for v in free or []})
+                for tree, free in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
+            ]
+            ends = [pa.array([f[k] for f in found], pa.int32()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *ends], ["host", "lo", "hi"])
+
+    # Slots from 0 are nodes of the exemplar: no more per host than that has.
+    free = varying.where("slot >= 0").groupBy("host").agg(F.collect_list(F.struct("slot", "free")).alias("free"))
+    return exemplars.join(free, "host", "left").select("host", "exemplar", "free").mapInArrow(run, "host string, lo int, hi int")
+
+
+def wrappers(spark: SparkSession, parsed: DataFrame) -> DataFrame:
+    """host, shape, keep (one flag per node), same (node, hashes of its constant texts) of every tree.
+
+    Every different page of a host counts once. Texts are counted at their slot one by one, so a
+    constant paragraph among varying ones is found; all counts combine on the map side.
+    """
+    aligned, exemplars = _aligned(spark, parsed)
+    fresh = F.filter("blocks", lambda b: b["fresh"])
+    pages = parsed.select(
+        "host",
+        F.xxhash64("tree").alias("shape"),
+        F.xxhash64("tree", F.transform("blocks", lambda b: F.struct(b["node"], b["text"]))).alias("page"),
+        F.transform(fresh, lambda b: b["node"]).alias("nodes"),
+        F.transform(fresh, lambda b: F.xxhash64(b["text"])).alias("texts"),
+        F.transform(fresh, lambda b: F.length(b["text"]) - b["linked"]).alias("free"),
+    ).dropDuplicates(["host", "shape", "page"])
+    slotted = pages.join(aligned.select("host", "shape", "slots"), ["host", "shape"])
+    slots = F.transform("nodes", lambda n: F.get("slots", n))
+    none = F.lit(None).cast("long")
+    each = F.arrays_zip(slots.alias("slot"), F.col("texts").alias("text"), F.col("free"))
+    each = F.transform(each, lambda e: F.struct(e["slot"].alias("slot"), e["text"].alias("text"), e["free"].cast("long").alias("free")))
+    once = F.transform(F.array_distinct(slots), lambda s: F.struct(s.alias("slot"), none.alias("text"), F.lit(0).cast("long").alias("free")))
+    exploded = slotted.select("host", F.explode(F.concat(each, once)).alias("e")).select("host", "e.*")
+    counted = exploded.groupBy("host", "slot", "text").agg(F.count("*").alias("n"), F.sum("free").alias("free"))
+    counted = stored(spark, counted, "counted")
+    at_slot = counted.groupBy("host", "slot").agg(F.sum("free").alias("all"), F.max(F.when(F.col("text").isNull(), F.col("n"))).alias("pages"))
+    often = counted.where(F.col("text").isNotNull() & (F.col("n") >= ALWAYS_SAME))
+    often = often.join(at_slot.select("host", "slot", "pages"), ["host", "slot"]).where(100 * F.col("n") >= CONSTANT * F.col("pages"))
+    # As many texts as a page can hold at one slot, whatever the number of pages.
+    constant = often.groupBy("host", "slot").agg(F.sum("free").alias("fixed"), F.collect_list("text").alias("texts"))
+    constant = stored(spark, constant, "constant")
+    varying = at_slot.join(constant, ["host", "slot"], "left").select("host", "slot", (F.col("all") - F.coalesce("fixed", F.lit(0))).alias("free"))
+    roots = stored(spark, _roots(exemplars, varying), "roots")
+    nodes = aligned.select("host", "shape", F.posexplode("slots").alias("node", "slot"))
+    same = nodes.join(constant, ["host", "slot"]).groupBy("host", "shape").agg(F.collect_list(F.struct("node", "texts")).alias("same"))
+    keep = F.transform(
+        F.arrays_zip("uses", "anchors"),
+        lambda u: (u["uses"] == 1) | (u["uses"] == 2) & (u["anchors"] >= F.col("lo")) & (u["anchors"] < F.col("hi")),
+    )
+    ruled = aligned.join(roots, "host").join(same, ["host", "shape"], "left")
+    return ruled.select("host", "shape", keep.alias("keep"), F.map_from_entries(F.coalesce("same", F.array().cast(SAME))).alias("same"))
 
 
 def extract(spark: SparkSession, pages: DataFrame) -> DataFrame:
@@ -345,8 +411,9 @@ def extract(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """
     parsed = stored(spark, _parsed(pages), "parsed-pages")
     # Written first, so its measured size decides the join before any page has moved.
-    rules = stored(spark, wrappers(parsed), "wrappers")
+    rules = stored(spark, wrappers(spark, parsed), "wrappers")
     joined = parsed.withColumn("shape", F.xxhash64("tree")).join(rules, ["host", "shape"], "left")
-    kept = F.filter("blocks", lambda b: F.coalesce(F.get("keep", b["node"]), F.lit(False)))
+    constant = lambda b: F.coalesce(F.array_contains(F.try_element_at("same", b["node"]), F.xxhash64(b["text"])), F.lit(False))
+    kept = F.filter("blocks", lambda b: F.coalesce(F.get("keep", b["node"]), F.lit(False)) & ~constant(b))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), " ")
     return joined.select("page_id", "url", text.alias("text"))

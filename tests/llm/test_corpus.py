@@ -130,6 +130,19 @@ def test_wrapper_without_an_article_element(spark):
     assert got == {i: f"Text number {i} is this long one. More {i}" for i in range(8)}
 
 
+def test_constant_blocks_inside_an_article(spark):
+    page = (
+        "<body><article><h1>Title {0}</h1><div><p>Read our weekly letter.</p></div><p>First {0}.</p><p>Support us today.</p>"
+        "<p>Second {0}.</p>{1}</article></body>"
+    )
+    rows = [(i, f"http://a.example/{i}", page.format(i, "<ul><li>x</ul>" * (i % 3 == 0))) for i in range(9)]
+    rows += [(100 + k, f"http://copies.example/{k}", page.format("one", "")) for k in range(8)]
+    got = {r.page_id: r.text for r in html_text.extract(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {k: t.replace(" x", "") for k, t in got.items() if k < 100} == {i: f"Title {i} First {i}. Second {i}." for i in range(9)}
+    whole = "Title one Read our weekly letter. First one. Support us today. Second one."
+    assert all(got[k] == whole for k in range(100, 108))  # copies of one page say nothing about a template
+
+
 def test_tree_matching_is_the_largest():
     a = ["r", ["x", ["p"]], ["y"], ["x"]]
     b = ["r", ["y"], ["x", ["p"], ["q"]], ["x"]]
