@@ -24,8 +24,9 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerwide.llm.components import connected_components
 from ledgerwide.llm.tables import stored
@@ -346,6 +347,11 @@ def near_duplicates(
     doc_id never becomes a component id unless its component has no other. Other columns of
     ``docs`` are not read, whatever their names.
     """
+    return _answer(*_solved(spark, docs, shingle, similarity))
+
+
+def _solved(spark: SparkSession, docs: DataFrame, shingle: int, similarity: float) -> tuple[DataFrame, DataFrame | None]:
+    """(doc_id, n_shingles, cls) of every row, and (node, root) of classes with links, if any."""
     chunks = layout(similarity)
     signed = stored(spark, signatures(docs, shingle, chunks), "signatures")
     names = chunk_columns(chunks)
@@ -358,7 +364,7 @@ def near_duplicates(
     buckets = _buckets(spark, classes, _keys(names))
     ids = signed.select("doc_id", "n_shingles", "cls")
     if buckets.isEmpty():
-        return _answer(ids, None)
+        return ids, None
     texts = _class_texts(spark, docs, signed, buckets.select("node").distinct(), shingle)
     links = _Links(spark, classes, texts, shingle, similarity, chunks)
     found = links.confirm(links.first_pairs(buckets))
@@ -370,19 +376,24 @@ def near_duplicates(
             mixed = links.mixed(mixed)
     if not mixed.isEmpty():
         links.confirm(links.rest(mixed))
-    return _answer(ids, links.roots)
+    return ids, links.roots
+
+
+def _components(ids: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(cls, root, least): the component of every class and its smallest doc_id."""
+    smallest = ids.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
+    if roots is None:
+        return smallest.select("cls", F.col("cls").alias("root"), "least")
+    tops = roots.select(F.col("node").alias("cls"), "root")
+    joined = smallest.join(tops, "cls", "left").select("cls", "least", F.coalesce("root", "cls").alias("root"))
+    over = joined.groupBy("root").agg(F.min("least").alias("component"))
+    return joined.join(over, "root").select("cls", "root", F.col("component").alias("least"))
 
 
 def _answer(ids: DataFrame, roots: DataFrame | None) -> DataFrame:
     """Documents with their component; ids meet components by class, never as pairs."""
-    smallest = ids.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
-    if roots is not None:
-        tops = roots.select(F.col("node").alias("cls"), "root")
-        joined = smallest.join(tops, "cls", "left").select("cls", "least", F.coalesce("root", "cls").alias("root"))
-        over = joined.groupBy("root").agg(F.min("least").alias("component"))
-        smallest = joined.join(over, "root").select("cls", F.col("component").alias("least"))
     component = F.coalesce("least", "doc_id")
-    return ids.join(smallest, "cls", "left").select(
+    return ids.join(_components(ids, roots).drop("root"), "cls", "left").select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
@@ -391,12 +402,32 @@ def _answer(ids: DataFrame, roots: DataFrame | None) -> DataFrame:
     )
 
 
+def _classed(docs: DataFrame, shingle: int) -> DataFrame:
+    """(row, cls): every row as a struct of all its columns, and the hash of its shingle set."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches):
+            words = split_words(batch.column(0).flatten()[at].cast(pa.string()))
+            sets = [shingle_set(words.row(r), shingle) for r in range(batch.num_rows)]
+            cls = pa.array([set_hash(v) if len(v) else None for v in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), cls], ["row", "cls"])
+
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    return rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("cls", T.LongType())]))
+
+
 def keep_one(spark: SparkSession, docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: one row of each component, all columns.
 
-    The row with the smallest doc_id stays; of rows that share even that, one by text.
+    The row with the smallest doc_id stays, of several with that id the first by text; a null
+    id counts after all others. Rows without words link with nothing, so each of them stays.
     """
-    kept = near_duplicates(spark, docs, shingle, similarity).where("kept").select(F.col("doc_id").alias("_kept"))
-    rows = docs.join(kept.distinct(), docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
-    order = Window.partitionBy("doc_id").orderBy("text")
-    return rows.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
+    tops = stored(spark, _components(*_solved(spark, docs, shingle, similarity)), "components")
+    rows = _classed(docs, shingle).join(tops, "cls", "left")
+    # Only rows with their component's smallest id can stay; the others do not move again.
+    rows = rows.where(F.col("cls").isNull() | F.col("row.doc_id").cast("long").eqNullSafe(F.col("least")))
+    alone = F.when(F.col("cls").isNull(), F.monotonically_increasing_id())
+    first = F.min_by("row", F.struct("row.doc_id", "row.text"))
+    kept = rows.groupBy("root", alone.alias("alone")).agg(first.alias("row"))
+    return kept.select("row.*")

@@ -84,6 +84,18 @@ def test_repeated_rows_nulls_and_long_texts(spark):
     assert sorted(r.doc_id for r in kept) == [1, 5, 7]
 
 
+def test_one_row_of_each_component_stays(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    rows = [(5, a), (5, b), (2, b + " more"), (None, c), (None, c + " more"), (None, d), (None, a + " more"), (8, a), (8, d + " x")]
+    rows += [(None, ""), (None, None), (9, " "), (9, "\n")]
+    docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, cls int")
+    kept = nd.keep_one(spark, docs, 3, 0.85)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert got == sorted([(5, a), (2, b + " more"), (None, c), (8, d + " x"), *rows[-4:]], key=str)
+    assert nd.keep_one(spark, docs.limit(0), 3, 0.85).isEmpty()
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert nd.near_duplicates(spark, docs).collect() == []
