@@ -1,11 +1,15 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Test items are the stated query set and are taken in blocks of bounded size; each block meets
-all documents in two passes. The first counts how often the block's n-grams occur in the
-corpus. Of every item those n-grams become seeds that are not far commoner than its own
-median one, which is at least half of them: a phrase that the whole corpus shares starts no
-alignment, while a passage copied into very many documents still has its seeds. The second
-pass aligns every document window that a seed points at with its item, word by word.
+all documents in two passes. Seeds are pairs of neighbouring item words that a document holds
+side by side or with one word between. An alignment of m matches, e ignored or changed item
+words and i inserted words reaches half of an unchanged copy's score only if 2m - e - i is at
+least the item's length L. Of its m - 1 steps from match to match those that are no seed cost
+an e or two i, so at least L/3 - 1 steps are seeds, and the alignment spans at most 2L words.
+The first pass counts the pairs in the corpus. Half as many places of each item as that bound
+allows are left out, the commonest; the rest of the bound must still be met by the others in
+2L words, which loses no alignment. The second pass aligns every document window where
+it is met with its item, word by word. Items under four words count as exact copies only.
 """
 
 from __future__ import annotations
@@ -20,17 +24,30 @@ from pyspark.sql import functions as F
 
 from ledgerwide.llm.words import Words, ngrams, signed, split_words, text_slices
 
-SEED_WORDS = 4  # items with fewer words cannot be told from ordinary speech
+SEED_WORDS = 2
+SHORT = 4  # items with fewer words are found as exact copies only
 THRESHOLD = 0.5  # of the score an unchanged copy would have
 MATCH, MISMATCH, GAP = 2, -1, -1
 BLOCK_WORDS = 4_000_000  # of items per pass over the corpus: bounds what a task holds
-COMMONER, AT_LEAST = 4, 16  # seeds occur at most 4 times their item's median plus 16
+ALONE = np.uint64(0x2545F4914F6CDD1D)  # stands for the second word of an item of one
 BATCH = 128  # alignments at once
 
 
+def pairs(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Hash of each pair of words, as ``ngrams`` makes it of neighbours."""
+    if not len(left):
+        return np.empty(0, np.uint64)
+    return ngrams(np.stack([left, right], axis=1).reshape(-1), SEED_WORDS)[::2]
+
+
+def enough(length: int) -> int:
+    """Seeds that every alignment of at least half the score holds, for items of ``length``."""
+    return max(1, -(-length // 3) - 1)
+
+
 @dataclass
 class Block:
-    """Items of one pass: ids, words, and where each n-gram stands."""
+    """Items of one pass: ids, words, where each pair stands, and seeds that a window needs."""
 
     ids: np.ndarray
     words: np.ndarray
@@ -38,50 +55,63 @@ class Block:
     grams: np.ndarray  # sorted
     items: np.ndarray
     places: np.ndarray
+    need: np.ndarray
 
     @classmethod
     def of(cls, ids: list[int], texts: list[str]) -> Block:
         found = split_words(pa.array(texts, pa.string()), plain=True)
         grams, items, places = [], [], []
         for i in range(len(ids)):
-            own = ngrams(found.row(i), SEED_WORDS)
+            row = found.row(i)
+            own = pairs(row, np.full(1, ALONE)) if len(row) == 1 else ngrams(row, SEED_WORDS)
             grams.append(own)
             items.append(np.full(len(own), i))
             places.append(np.arange(len(own)))
         flat = np.concatenate([*grams, np.empty(0, np.uint64)])
         order = np.argsort(flat, kind="stable")
         pick = lambda parts: np.concatenate([*parts, np.empty(0, np.int64)]).astype(np.int64)[order]
-        return cls(np.array(ids, np.int64), found.hashes, found.first, flat[order], pick(items), pick(places))
+        need = np.array([enough(n) for n in np.diff(found.first).tolist()], np.int64)
+        return cls(np.array(ids, np.int64), found.hashes, found.first, flat[order], pick(items), pick(places), need)
 
     def rare(self, counts: dict[int, int]) -> Block:
-        """The same items with rare n-grams only."""
+        """The same items without their commonest places, half as many as the bound allows."""
         seen = np.array([counts.get(g, 0) for g in signed(self.grams).tolist()], np.int64)
-        limit = np.zeros(len(self.ids), np.float64)
-        for i in np.unique(self.items):
-            limit[i] = COMMONER * np.median(seen[self.items == i]) + AT_LEAST
-        keep = seen <= limit[self.items]
-        return Block(self.ids, self.words, self.first, self.grams[keep], self.items[keep], self.places[keep])
+        order = np.lexsort((-seen, self.items))
+        start = np.searchsorted(self.items[order], np.arange(len(self.ids)))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order)) - start[self.items[order]]
+        keep = rank >= (self.need // 2)[self.items]
+        return Block(
+            self.ids, self.words, self.first, self.grams[keep], self.items[keep], self.places[keep], self.need - self.need // 2
+        )
 
     def item(self, i: int) -> np.ndarray:
         return self.words[self.first[i] : self.first[i + 1]]
 
 
 class Seeds:
-    """Finds a block's n-grams among words: a bitmap of 2**20 bits, then binary search."""
+    """Finds a block's pairs among words: a bitmap of 2**20 bits, then binary search."""
 
-    def __init__(self, grams: np.ndarray) -> None:
-        self.grams = grams
+    def __init__(self, block: Block) -> None:
+        self.grams = block.grams
         self.bitmap = np.zeros(1 << 20, bool)
-        self.bitmap[(grams >> np.uint64(44)).astype(np.int64)] = True
+        self.bitmap[(self.grams >> np.uint64(44)).astype(np.int64)] = True
+        self.alone = bool((np.diff(block.first) == 1).any())
 
     def hits(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """Positions of words where a seed begins, and the first equal seed's position."""
-        own = ngrams(words.hashes, SEED_WORDS)
-        if not len(own) or not len(self.grams):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
+        found = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+        if len(self.grams):
+            h = words.hashes
+            found += [self._found(words, pairs(h[:-k], h[k:]), k + 1) for k in (1, 2)]
+            if self.alone:
+                found.append(self._found(words, pairs(h, np.full(len(h), ALONE)), 1))
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    def _found(self, words: Words, own: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray]:
         at = np.flatnonzero(self.bitmap[(own >> np.uint64(44)).astype(np.int64)])
         row = np.searchsorted(words.first, at, "right")
-        at = at[words.first[row] >= at + SEED_WORDS]
+        at = at[words.first[row] >= at + wide]
         seed = np.searchsorted(self.grams, own[at])
         same = self.grams[np.minimum(seed, len(self.grams) - 1)] == own[at]
         return at[same], seed[same]
@@ -122,9 +152,16 @@ def scores(block: Block, seeds: Seeds, texts: pa.Array, threshold: float) -> lis
     item = block.items[which]
     row = np.searchsorted(words.first, at, "right") - 1
     length = block.first[item + 1] - block.first[item]
-    slack = length // 2 + SEED_WORDS
-    begin = np.maximum(at - block.places[which] - slack, words.first[row])
-    end = np.minimum(at - block.places[which] + length + slack, words.first[row + 1])
+    # A window begins at a seed that has as many others behind it as needed.
+    order = np.lexsort((at, item, row))
+    at, which, item, row, length = at[order], which[order], item[order], row[order], length[order]
+    group = np.cumsum(np.concatenate([[0], (np.diff(row) != 0) | (np.diff(item) != 0)]))
+    key = group * (4 * len(words.hashes) + 4) + at
+    reach = np.minimum(2 * length, 2 * len(words.hashes))
+    dense = np.searchsorted(key, key + reach, "right") - np.arange(len(key)) >= block.need[item]
+    at, which, item, row, length = at[dense], which[dense], item[dense], row[dense], length[dense]
+    begin = np.maximum(at - block.places[which] - length, words.first[row])
+    end = np.minimum(at - block.places[which] + 2 * length + 2, words.first[row + 1])
     order = np.lexsort((begin, item, row))
     windows: list[list[int]] = []
     for r, i, b, e in zip(*(x[order].tolist() for x in (row, item, begin, end))):
@@ -139,14 +176,17 @@ def scores(block: Block, seeds: Seeds, texts: pa.Array, threshold: float) -> lis
         part = windows[k : k + BATCH]
         got = align([block.item(w[1]) for w in part], [words.hashes[w[2] : w[3]] for w in part])
         for (r, i, _, _), score in zip(part, got.tolist()):
-            share = score / (MATCH * int(block.first[i + 1] - block.first[i]))
-            if share >= threshold:
+            length = int(block.first[i + 1] - block.first[i])
+            share = score / (MATCH * length)
+            if share >= (threshold if length >= SHORT else 1.0):
                 best[r, i] = max(share, best.get((r, i), 0.0))
     return [(r, i, s) for (r, i), s in sorted(best.items())]
 
 
-def blocks_of(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Iterator[Block]:
+def blocks_of(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, threshold: float) -> Iterator[Block]:
     """Blocks of items with their rare seeds, counted over all of ``docs``."""
+    if threshold < THRESHOLD:
+        raise ValueError(f"seeds are only sure to be met from {THRESHOLD}, not at {threshold}")
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).dropna().distinct()
     total = items.agg(F.sum(F.regexp_count("text", F.lit(r"\S+")))).first()[0] or 0
     parts = max(1, -(-total // BLOCK_WORDS))
@@ -154,7 +194,7 @@ def blocks_of(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Ite
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()
         rows.sort()
         block = Block.of([r[0] for r in rows], [r[1] for r in rows])
-        state = spark.sparkContext.broadcast(np.unique(block.grams))
+        state = spark.sparkContext.broadcast(Block(block.ids, block.words[:0], block.first, np.unique(block.grams), *[block.ids[:0]] * 3))
 
         def count(batches: Iterator[pa.RecordBatch], state=state) -> Iterator[pa.RecordBatch]:
             seeds = Seeds(state.value)
@@ -173,7 +213,7 @@ def blocks_of(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Ite
 
 
 def _shared(spark: SparkSession, block: Block):
-    fields = [block.ids, block.words, block.first, block.grams, block.items, block.places]
+    fields = [block.ids, block.words, block.first, block.grams, block.items, block.places, block.need]
     return spark.sparkContext.broadcast(fields)
 
 
@@ -183,18 +223,18 @@ def contaminated(
     """doc_id, item_id, score for every document and item whose alignment reaches ``threshold``.
 
     score is the best local alignment's share of the item's own. Null and empty texts, null
-    item ids and items under four words give no rows; repeated documents each give theirs; a
-    repeated item counts once. Words ignore case (A-Z) and ASCII punctuation. Empty tables
+    item ids give no rows, items under four words only exact copies; repeated documents each give
+    theirs; a repeated item counts once. Thresholds under 0.5 are refused. Words ignore case (A-Z) and ASCII punctuation. Empty tables
     give no rows. Other columns of both tables are not read.
     """
     schema = "doc_id long, item_id long, score double"
     found: DataFrame | None = None
-    for block in blocks_of(spark, docs, benchmark):
+    for block in blocks_of(spark, docs, benchmark, threshold):
         state = _shared(spark, block)
 
         def run(batches: Iterator[pa.RecordBatch], state=state) -> Iterator[pa.RecordBatch]:
             mine = Block(*state.value)
-            seeds = Seeds(mine.grams)
+            seeds = Seeds(mine)
             for batch in text_slices(batches):
                 rows = scores(mine, seeds, batch.column(1), threshold)
                 yield pa.RecordBatch.from_arrays(
@@ -217,12 +257,12 @@ def without_leaks(
 ) -> DataFrame:
     """Rows of ``docs``, all columns, that no item's alignment reaches; rows never move."""
     at = docs.columns.index("text")
-    for block in blocks_of(spark, docs, benchmark):
+    for block in blocks_of(spark, docs, benchmark, threshold):
         state = _shared(spark, block)
 
         def run(batches: Iterator[pa.RecordBatch], state=state) -> Iterator[pa.RecordBatch]:
             mine = Block(*state.value)
-            seeds = Seeds(mine.grams)
+            seeds = Seeds(mine)
             for batch in text_slices(batches):
                 keep = np.ones(batch.num_rows, bool)
                 keep[[r for r, _, _ in scores(mine, seeds, batch.column(at), threshold)]] = False

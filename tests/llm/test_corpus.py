@@ -65,6 +65,32 @@ def test_leaks_against_all_alignments(spark):
     assert decontaminate.contaminated(spark, d, none).isEmpty()
 
 
+def test_regular_edits_and_short_items_against_all_alignments(spark):
+    item = lambda k, n: [f"i{k}w{j}" for j in range(n)]
+    items = [item(k, n) for k, n in enumerate([40, 40, 30, 24, 9, 8, 7, 6, 5, 4])]
+    edits = [
+        lambda w, n: [x if (j + 1) % n else "edited" for j, x in enumerate(w)],
+        lambda w, n: [y for j, x in enumerate(w) for y in ([x] if (j + 1) % n else [x, "more"])],
+        lambda w, n: [y for j, x in enumerate(w) for y in ([x] if (j + 1) % n else [x, "more", "words"])],
+        lambda w, n: [x for j, x in enumerate(w) if (j + 1) % n],
+    ]
+    docs = ["x y " * 20 + " ".join(edit(w, n)) + " z" * 30 for w in items for edit in edits for n in (1, 2, 3, 4, 5)]
+    # The commonest pairs of one item stand everywhere.
+    docs += [" ".join(items[0][a : a + 12]) for a in (0, 14) for _ in range(40)]
+    short = [["lone"], ["two", "words"], ["just", "three", "words"]]
+    docs += ["a lone one", "alone", "two words", "two more words", "just three words", "just three", "just the three words", "three words"]
+    plain = lambda t: re.sub("[^a-z0-9]+", " ", t.lower()).split()
+    want = set()
+    for i, text in enumerate(docs):
+        for k, w in enumerate(items + short):
+            if local_score(w, plain(text)) >= (len(w) if len(w) > 3 else 2 * len(w)):
+                want.add((i, k, round(local_score(w, plain(text)) / (2 * len(w)), 9)))
+    d = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    b = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items + short)], "item_id long, text string")
+    got = decontaminate.contaminated(spark, d, b).collect()
+    assert {(r.doc_id, r.item_id, round(r.score, 9)) for r in got} == want and len(got) == len(want) > 100
+
+
 def plain_counts(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
