@@ -8,7 +8,9 @@ reach the threshold. Everything is column expressions on the row itself.
 
 from __future__ import annotations
 
+import math
 import re
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,9 +56,9 @@ def bigrams_of(text: str) -> list[str]:
 
 
 def size_bounds(size: int, threshold: float) -> tuple[int, int]:
-    """Sizes whose coefficient with a set of ``size`` can reach the threshold."""
-    least = size * threshold / (2 - threshold)
-    return int(-(-least // 1)), int(size * (2 - threshold) / threshold)
+    """Sizes whose coefficient with a set of ``size`` can reach the threshold, in exact fractions."""
+    t = Fraction(str(threshold))
+    return math.ceil(size * t / (2 - t)), math.floor(size * (2 - t) / t)
 
 
 def _words(text: Column) -> Column:

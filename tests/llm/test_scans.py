@@ -132,3 +132,14 @@ def test_licences_equal_brute_force(spark):
             if -best[0] >= licences.THRESHOLD:
                 want.append((n, best[1], round(-best[0], 9)))
         assert got[i] == want
+
+
+def test_licences_exactly_on_the_threshold(spark):
+    assert licences.size_bounds(4, 0.8) == (3, 6) and licences.size_bounds(6, 0.8) == (4, 9)
+    assert licences.size_bounds(12, 0.8) == (8, 18)
+    for size in range(1, 200):
+        reach = [n for n in range(1, 400) if 20 * min(n, size) >= 8 * (n + size)]
+        assert licences.size_bounds(size, 0.8) == (reach[0], reach[-1])
+    docs = spark.createDataFrame([(1, "Released under the MIT License for all"), (2, "Released under the MIT License for all of us")], "doc_id long, text string")
+    got = {r.doc_id: [(m.licence, m.dice) for m in r.matches] for r in licences.scan(docs).collect()}
+    assert got == {1: [("MIT", 0.8)], 2: []}
