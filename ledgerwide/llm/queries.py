@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerwide.llm import bpe, chat, decontaminate, html_text, licences, near_dedup, pii, quality, secret_scan, token_files
+from ledgerwide.llm import bpe, chat, decontaminate, divergence, html_text, interactions, licences, near_dedup, pii, quality, secret_scan, token_files
 from ledgerwide.llm.sql import SQL  # noqa: F401  (read by the entry module)
 from ledgerwide.llm.tables import documents
 from ledgerwide.session import scratch_path
@@ -64,6 +64,15 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(spark, documents(spark, folder), shingle=3, similarity=0.85).drop("cls")
 
 
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.divergence(spark, documents(spark, folder))
+
+
+def op13_filter_interactions(spark: SparkSession, folder: str) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return interactions.interactions(spark, documents(spark, folder), labels)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_decontamination": op2_decontamination,
@@ -75,6 +84,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licences": op8_licences,
     "op9_token_files": op9_token_files,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_source_divergence": op11_source_divergence,
+    "op13_filter_interactions": op13_filter_interactions,
 }
 
 QUERIES["pipeline"] = corpus_pipeline.run

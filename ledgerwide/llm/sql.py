@@ -65,7 +65,94 @@ def near_duplicates_sql(size: int, percent: int) -> str:
     FROM sizes JOIN least ON x = doc_id"""
 
 
+WORDS = "list_filter(regexp_split_to_array({text}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+
+
+def interactions_sql() -> str:
+    """Every order and step counted by itself; Shapley values as sums over all orders."""
+    return f"""
+    WITH docs AS (
+        SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {WORDS.format(text="coalesce(text, '')")} AS w
+        FROM documents),
+    failing AS (
+        SELECT doc_id, part, (len(w) < 100)::INT
+            + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT
+            + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t))::INT
+            + 8 * regexp_matches(t, '[#$%&*|]')::INT
+            + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS mask
+        FROM docs),
+    known AS (
+        SELECT doc_id, coalesce(max((quality = 1)::INT), 0) AS good, coalesce(max((toxic = 1)::INT), 0) AS toxic
+        FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+    counts AS (
+        SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+        FROM failing LEFT JOIN known USING (doc_id) GROUP BY part, mask),
+    letters(l, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+    orders AS (
+        SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+        FROM letters a, letters b, letters c, letters d, letters e
+        WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+          AND len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+    steps AS (
+        SELECT filter_order, step::INT AS step, bits[step] AS bit,
+               coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+        FROM orders, range(1, 6) AS r(step)),
+    told AS (
+        SELECT part, filter_order, step, bit,
+               sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+               sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+               sum(CASE WHEN mask & bit <> 0 AND mask & before <> 0 THEN n ELSE 0 END) AS redundant,
+               sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+               sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN good ELSE 0 END) AS good_lost,
+               sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+        FROM counts, steps GROUP BY part, filter_order, step, bit)
+    SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+           unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+           (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+    FROM told"""
+
+
+def divergence_sql(least: int) -> str:
+    """Every source, language and kept term with its share, in wide whole numbers."""
+    share = "1 + 1000000000::HUGEINT * (n + 5) // (total + 5 * terms)"
+    return f"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'),
+                                  '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS t
+        FROM documents),
+    tokens AS (SELECT r, lang, source, unnest(t) AS term FROM docs),
+    kept AS (SELECT lang, term FROM tokens GROUP BY lang, term HAVING count(DISTINCT r) >= {least}),
+    sizes AS (SELECT lang, count(*) AS terms FROM kept GROUP BY lang),
+    groups AS (SELECT DISTINCT lang, source FROM docs),
+    counts AS (SELECT lang, source, term, count(*) AS n FROM tokens JOIN kept USING (lang, term) GROUP BY ALL),
+    every AS (
+        SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, terms,
+               sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total
+        FROM groups g JOIN kept k ON k.lang = g.lang JOIN sizes s ON s.lang = g.lang
+        LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+    shares AS (SELECT lang, source, term, n, {share} AS p FROM every),
+    whole AS (
+        SELECT lang, term, {share} AS q FROM (
+            SELECT lang, term, sum(n) AS n, any_value(terms) AS terms,
+                   sum(sum(n)) OVER (PARTITION BY lang) AS total FROM every GROUP BY lang, term)),
+    apart AS (
+        SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+        FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    told AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+        FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+        UNION ALL
+        SELECT lang, source, 'term', term, p - q FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q)
+    SELECT lang, source, part, item, value::BIGINT AS value,
+           (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+    FROM told QUALIFY part = 'pair' OR rank <= 50"""
+
+
 SQL = {
     "op8_licences": licences_sql(),
     "op10_minhash_near_dedup": near_duplicates_sql(3, 85),
+    "op11_source_divergence": divergence_sql(30),
+    "op13_filter_interactions": interactions_sql(),
 }

@@ -136,3 +136,22 @@ def text_slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[
 
 def signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
+
+
+PIECE_BYTES = 1 << 22
+_BLANKS = b" \t\n\r\x0b\x0c"
+
+
+def word_pieces(text: bytes, size: int = PIECE_BYTES) -> Iterator[bytes]:
+    """``text`` in pieces of about ``size`` bytes, cut at white space: no word is divided.
+
+    A text of one endless word is one piece. The white space is what bytes.split() takes.
+    """
+    at = 0
+    while len(text) - at > size:
+        ends = [e for e in (text.find(b, at + size) for b in (bytes([x]) for x in _BLANKS)) if e >= 0]
+        if not ends:
+            break
+        yield text[at : min(ends)]
+        at = min(ends)
+    yield text[at:] if at else text
