@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerwide.llm.tables import stored
-from ledgerwide.llm.words import word_pieces
+from ledgerwide.llm.words import PIECE_BYTES, word_pieces
 
 LEAST_DOCUMENTS = 30  # documents of its language that a kept term stands in
 PRIOR = 5  # added to every count
@@ -34,7 +34,7 @@ TERMS_HELD = 400_000  # distinct terms a task holds before it passes their count
 BLOCK_TERMS = 1 << 16
 BLOCK_CELLS = 1 << 21  # of a block's table: states by symbols
 PACK_BYTES = 96 << 20  # of the tables of one broadcast
-STREAM_BYTES = 1 << 22  # text walked side by side
+STREAM_BYTES = 1 << 17  # text walked side by side; its arrays then stay in the cache
 COUNTS_HELD = 1 << 20  # distinct counts a task holds before it passes them on
 PAIR_CELLS = 1 << 16  # sources by terms that one comparison of sources holds
 
@@ -45,9 +45,9 @@ _TERM[128:] = np.arange(128, 256)
 _TO_TERMS = _TERM.tobytes()
 
 
-def term_pieces(text: bytes) -> Iterator[bytes]:
+def term_pieces(text: bytes, size: int = PIECE_BYTES) -> Iterator[bytes]:
     """The terms of a text in lower case with blanks between, in pieces that divide none."""
-    return word_pieces(text.translate(_TO_TERMS), STREAM_BYTES)
+    return word_pieces(text.translate(_TO_TERMS), size)
 
 
 # --- vocabulary -------------------------------------------------------------------------
@@ -320,7 +320,7 @@ def counted(spark: SparkSession, texts: DataFrame, pack: dict[str, list[tuple]])
             for lang, source, text in zip(*columns):
                 if lang not in ready:
                     continue
-                for piece in term_pieces(text.as_py()):
+                for piece in term_pieces(text.as_py(), STREAM_BYTES):
                     waiting.setdefault(lang, []).append((piece, counts.group(lang, source)))
                     sizes[lang] += len(piece)
                     if sizes[lang] >= STREAM_BYTES:
