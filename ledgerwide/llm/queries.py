@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerwide.llm import bpe, chat, decontaminate, divergence, html_text, interactions, licences, near_dedup, pii, quality, secret_scan, token_files
+from ledgerwide.llm import bpe, chat, decontaminate, divergence, html_text, interactions, licences, near_dedup, pii, quality, repeats, secret_scan, token_files
 from ledgerwide.llm.sql import SQL  # noqa: F401  (read by the entry module)
 from ledgerwide.llm.tables import documents
 from ledgerwide.session import scratch_path
@@ -68,6 +68,10 @@ def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.divergence(spark, documents(spark, folder))
 
 
+def op12_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.without_repeats(spark, documents(spark, folder))
+
+
 def op13_filter_interactions(spark: SparkSession, folder: str) -> DataFrame:
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     return interactions.interactions(spark, documents(spark, folder), labels)
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op11_source_divergence": op11_source_divergence,
+    "op12_substring_dedup": op12_substring_dedup,
     "op13_filter_interactions": op13_filter_interactions,
 }
 

@@ -66,10 +66,10 @@ class Words:
         return self.hashes[self.first[r] : self.first[r + 1]]
 
 
-def split_words(column: pa.Array, plain: bool = False) -> Words:
+def split_words(column: pa.Array, plain: bool = False, cased: bool = False) -> Words:
     """Words of every text of ``column``, A-Z in lower case; null texts have none.
 
-    ``plain`` also takes ASCII punctuation for white space.
+    ``plain`` also takes ASCII punctuation for white space, ``cased`` leaves words unchanged.
     """
     if column.null_count:
         column = column.fill_null("")
@@ -80,7 +80,8 @@ def split_words(column: pa.Array, plain: bool = False) -> Words:
     data = np.frombuffer(body, np.uint8) if body is not None else np.empty(0, np.uint8)
     data = data[offsets[0] : offsets[-1]]
     offsets = offsets - offsets[0]
-    data = (_PLAIN if plain else _LOWER)[data]
+    if not cased:
+        data = (_PLAIN if plain else _LOWER)[data]
     if not len(data):
         none = np.empty(0, np.int64)
         return Words(data, none, none, np.empty(0, np.uint64), np.zeros(len(offsets), np.int64))
@@ -120,6 +121,15 @@ def ngrams(hashes: np.ndarray, size: int) -> np.ndarray:
     return total
 
 
+def run_hashes(hashes: np.ndarray, begin: np.ndarray, size: int | np.ndarray) -> np.ndarray:
+    """Hash of the ``size`` words from every position of ``begin``, by running sums."""
+    up, down = _powers.to(len(hashes) + 1)
+    total = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * up[: len(hashes)], out=total[1:])
+    sums = (total[begin + size] - total[begin]) * down[begin]
+    return mix(sums + np.uint64(_BASE) * np.asarray(size, np.uint64))
+
+
 def shingle_set(hashes: np.ndarray, size: int) -> np.ndarray:
     """Sorted distinct shingles of one row; a shorter row is one shingle, an empty one none."""
     if not len(hashes):
