@@ -83,14 +83,20 @@ def passages(words: Words, window: int) -> Passages:
     return Passages(row[begin], start[begin], end - begin, grams[chosen[begin]])
 
 
-def _bits(seeds: DataFrame, bits: int) -> np.ndarray:
-    """A bit for every seed's low part: rows by 64 of them, at most 2 ** (bits - 6)."""
-    low = F.col("seed").bitwiseAND(F.lit((1 << bits) - 1))
-    one = F.expr("shiftleft(1L, CAST((seed & 63) AS INT))")
-    found = seeds.groupBy(F.shiftright(low, 6).alias("at")).agg(F.bit_or(one).alias("word")).toArrow()
-    field = np.zeros(1 << (bits - 6), np.uint64)
-    field[found["at"].to_numpy()] = found["word"].to_numpy().view(np.uint64)
-    return field
+def _filters(seeds: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Bits of the repeated seeds and of the hot ones among them, by the seeds' low parts.
+
+    They come as words of 64 bits, of which there are at most 2 ** (FILTER_BITS - 6).
+    """
+    at = F.shiftright(F.col("seed").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)), 6)
+    bit = F.expr("shiftleft(1L, CAST((seed & 63) AS INT))")
+    hot_bit = F.when(F.col("hot"), bit).otherwise(F.lit(0).cast("long"))
+    found = seeds.groupBy(at.alias("at")).agg(F.bit_or(bit).alias("word"), F.bit_or(hot_bit).alias("hot")).toArrow()
+    repeated, hot = (np.zeros(1 << (bits - 6), np.uint64) for bits in (FILTER_BITS, HOT_BITS))
+    place = found["at"].to_numpy()
+    repeated[place] = found["word"].to_numpy().view(np.uint64)
+    np.bitwise_or.at(hot, place & (len(hot) - 1), found["hot"].to_numpy().view(np.uint64))
+    return repeated, hot
 
 
 def _held(field: np.ndarray, seeds: np.ndarray) -> np.ndarray:
@@ -260,16 +266,14 @@ def without_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW)
     are not read. ``window`` may be up to 63 + SEED words.
     """
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    seeds = stored(spark, seed_table(texts, window), "seeds")
-    repeated = spark.sparkContext.broadcast(_bits(seeds, FILTER_BITS))
-    hot = spark.sparkContext.broadcast(_bits(seeds.where("hot"), HOT_BITS))
+    repeated, hot = map(spark.sparkContext.broadcast, _filters(seed_table(texts, window)))
 
     def finder() -> Finder:
         return Finder(repeated.value, hot.value, window)
 
     references = stored(spark, reference_passages(texts, finder), "passages")
     size = references.agg(F.sum(F.octet_length("passage"))).first()[0] or 0
-    verdicts = stored(spark, repeated_windows(references, 1 + size // SHARD_BYTES, window), "windows")
+    verdicts = repeated_windows(references, 1 + size // SHARD_BYTES, window)
     found = places(texts, finder).join(verdicts, "passage").groupBy("text")
     spans = found.agg(F.collect_list(F.struct("place", "mask")).alias("spans"))
     spans = stored(spark, spans.select(F.col("text").alias("digest"), "spans"), "spans")
