@@ -61,8 +61,9 @@ def document_frequencies(texts: DataFrame) -> DataFrame:
 
         def passed_on() -> Iterator[pa.RecordBatch]:
             for lang, counter in held.items():
-                for at in range(0, len(counter), 50_000):
-                    part = list(counter)[at : at + 50_000] if at else list(counter)[:50_000]
+                terms = list(counter)
+                for at in range(0, len(terms), 50_000):
+                    part = terms[at : at + 50_000]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([lang] * len(part)),
