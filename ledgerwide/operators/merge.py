@@ -61,6 +61,47 @@ def upsert_fact(
     return old.unionByName(new.join(existing.select(*key), list(key), "left_anti"))
 
 
+def settled_batch(batch: DataFrame) -> DataFrame:
+    """One row per fact key of a batch, as ``upsert_fact`` takes it."""
+    return _settled(batch, FACT_KEY, FACT_KEPT, FACT_UPDATED)
+
+
+def fact_changes(existing: DataFrame, settled: DataFrame, stamps: Sequence[Column]) -> DataFrame:
+    """Rows of a settled batch that are new or differ from the existing row of their key.
+
+    They come whole: first values of the key's kept columns, the batch's amount and source,
+    and ``stamps``. Existing rows are only probed; the batch is the side that is reduced.
+    """
+    known = existing.select(
+        *FACT_KEY, *[F.col(c).alias(f"_old_{c}") for c in (*FACT_KEPT, *FACT_UPDATED)], F.lit(True).alias("_known")
+    )
+    both = settled.join(known, FACT_KEY, "left")
+    same = [F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in FACT_UPDATED]
+    equal = F.coalesce(F.col("_known") & same[0] & same[1], F.lit(False))
+    first = [F.when(F.col("_known"), F.col(f"_old_{c}")).otherwise(F.col(c)).alias(c) for c in FACT_KEPT]
+    return both.where(~equal).select(*FACT_KEY, *first, *FACT_UPDATED, *stamps)
+
+
+def with_changes(existing: DataFrame, changes: DataFrame) -> DataFrame:
+    """Existing rows with those of ``changes`` in place of the ones that have their keys."""
+    kept = existing.join(changes.select(*FACT_KEY), FACT_KEY, "left_anti")
+    return kept.unionByName(changes.select(*existing.columns))
+
+
+def stamped_trusts(merged: DataFrame, existing: DataFrame | None, stamps: Sequence[Column]) -> DataFrame:
+    """``merged`` with the stamps of ``existing`` where nothing changed and new ones elsewhere."""
+    fields = [c for c in merged.columns if c != "org_code"]
+    if existing is None:
+        return merged.select("*", *stamps)
+    names = [c for c in existing.columns if c not in merged.columns]
+    old = existing.select("org_code", F.struct(*fields).alias("_before"), *[F.col(c).alias(f"_old_{c}") for c in names])
+    both = merged.join(old, "org_code", "left").withColumn("_same", F.col("_before").eqNullSafe(F.struct(*fields)))
+    stamped = {c: s for c, s in zip(names, stamps)}
+    return both.select(
+        *merged.columns, *[F.when(F.col("_same"), F.col(f"_old_{c}")).otherwise(stamped[c]).alias(c) for c in names]
+    )
+
+
 def trusts_from_providers(providers: DataFrame) -> DataFrame:
     """One row per code: first name and type, latest known sector and region, years seen."""
     order = F.struct("financial_year", "source_file", "organisation_name", "sector", "region")

@@ -100,7 +100,7 @@ def assert_loadable(staged: DataFrame, providers: DataFrame) -> dict[str, int]:
     if nulls:
         raise ValueError(f"critical nulls: {nulls}")
     return {
-        "repeated_rows": found["repeated_rows"],
+        "repeated_rows": found["repeated_rows"] or 0,
         "unmatched_names": unmatched_names(staged, providers).count(),
     }
 

@@ -26,6 +26,14 @@ def resolve_codes(staged: DataFrame, providers: DataFrame) -> DataFrame:
     )
 
 
+def unresolved_rows(staged: DataFrame, providers: DataFrame) -> DataFrame:
+    """Staged rows that ``resolve_codes`` drops, because no provider of their scope has the name."""
+    name = F.lower("organisation_name")
+    scope = ["_name", "financial_year", "trust_type"]
+    listed = providers.where("org_code is not null").select(name.alias("_name"), "financial_year", "trust_type").distinct()
+    return staged.withColumn("_name", name).join(listed, scope, "left_anti").select(*staged.columns)
+
+
 def unmatched_names(staged: DataFrame, providers: DataFrame) -> DataFrame:
     """Distinct staged names (per year and type) missing from the provider list as spelled."""
     names = staged.select(*NAME_KEYS).distinct()

@@ -45,3 +45,8 @@ FACT_SCHEMA = (
     "org_code string, financial_year string, worksheet_name string, table_id smallint, "
     "main_code string, sub_code string, total_000s bigint, trust_type string, source_file string"
 )
+
+# Stored beside the columns above: who wrote a row last, and when. ``batch_id`` names the commit.
+STAMPED_FACT_SCHEMA = FACT_SCHEMA + ", org_bucket int, batch_id string, load_ts timestamp"
+STAMPED_TRUST_SCHEMA = TRUST_SCHEMA + ", batch_id string, updated_ts timestamp"
+YEAR_SCHEMA = "financial_year string, start_date date, end_date date, year_label_short string, is_complete int"

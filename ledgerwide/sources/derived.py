@@ -358,3 +358,36 @@ def write_landing(spark: SparkSession, folder: str, root: str) -> tuple[list[str
         frame.write.partitionBy("source_file").option("header", True).csv(f"{root}/{kind}")
         written.append([f"{root}/{kind}/source_file={name}" for name in files])
     return written[0], written[1]
+
+
+STANDARD_NAMES = {"Organisation Name": "OrganisationName", "Value number": "Total"}
+
+
+def write_mixed_landing(spark: SparkSession, folder: str, root: str) -> dict[str, list[str]]:
+    """The statement landing once as CSV and once as Parquet, with headers that change.
+
+    CSV files of odd fiscal years carry the newer names. Parts of every Parquet landing carry
+    either names, and the parts with the newer ones other types too.
+    """
+    rows = raw_rows(spark, folder)
+    renamed = rows.withColumnsRenamed(STANDARD_NAMES)
+    newer = F.col("source_file").rlike("[13579]-[0-9]{2}[.]")
+    typed = renamed.withColumns(
+        {"TableID": F.col("TableID").cast("double"), "RowNumber": F.col("RowNumber").cast("bigint"),
+         "Total": F.col("Total").cast("decimal(20,2)")}
+    )
+    odd = F.col("RowNumber") % 2 == 1
+    for frame in (rows.where(~newer), renamed.where(newer)):
+        frame.write.mode("append").partitionBy("source_file").option("header", True).csv(f"{root}/csv")
+    for frame in (rows.where(odd), typed.where(~odd)):
+        frame.write.mode("append").partitionBy("source_file").parquet(f"{root}/parquet")
+    files = sorted(r[0] for r in rows.select("source_file").distinct().collect())
+    return {kind: [f"{root}/{kind}/source_file={name}" for name in files] for kind in ("csv", "parquet")}
+
+
+def write_provider_landing(spark: SparkSession, folder: str, root: str) -> list[str]:
+    """The provider landing as Parquet, one folder of parts per source file that has providers."""
+    lists = raw_providers(spark, folder)
+    lists.write.partitionBy("source_file").parquet(f"{root}/lists")
+    names = sorted(r[0] for r in lists.select("source_file").distinct().collect())
+    return [f"{root}/lists/source_file={name}" for name in names]

@@ -11,6 +11,7 @@ import csv
 from collections import defaultdict
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -122,9 +123,9 @@ def stage_providers(raw: DataFrame, source_file: str | Column = "source_file") -
     return rows.where(F.length(clean_text("org_code")) == 3).select(
         clean_text("organisation_name").alias("organisation_name"),
         clean_text("org_code").alias("org_code"),
-        "region",
-        "sector",
-        "comments",
+        F.col("region").cast("string"),
+        F.col("sector").cast("string"),
+        F.col("comments").cast("string"),
         "source_file",
         text.trust_type_from_name("source_file").alias("trust_type"),
         text.financial_year_from_name("source_file").alias("financial_year"),
@@ -143,21 +144,30 @@ def source_name(path: str | Column) -> Column:
     return F.url_decode(F.regexp_replace(named, "^source_file=", ""))
 
 
+def part_files(spark: SparkSession, path: str) -> list[str]:
+    """The files of a landing: itself, or the parts of a folder in order of their names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.getFileStatus(target).isDirectory():
+        return [path]
+    parts = sorted(s.getPath().toString() for s in fs.listStatus(target) if s.isFile())
+    visible = [p for p in parts if not p.rsplit("/", 1)[1].startswith(("_", "."))]
+    if not visible:
+        raise ValueError(f"no files in {path}")
+    return visible
+
+
 def csv_header(spark: SparkSession, path: str) -> tuple[str, ...]:
     """Column names of a CSV file, or of the first part of a folder of parts.
 
-    Only the first line is read, on the driver, as planning reads a Parquet footer.
+    Only the first line is read, on the driver, as planning reads a Parquet footer; files
+    with a known compression are unpacked.
     """
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.getFileStatus(target).isDirectory():
-        parts = sorted(s.getPath().toString() for s in fs.listStatus(target))
-        visible = [p for p in parts if not p.rsplit("/", 1)[1].startswith(("_", "."))]
-        if not visible:
-            raise ValueError(f"no files in {path}")
-        target = jvm.org.apache.hadoop.fs.Path(visible[0])
-    stream = jvm.java.io.InputStreamReader(fs.open(target), "UTF-8")
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(part_files(spark, path)[0])
+    raw = target.getFileSystem(conf).open(target)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(target)
+    stream = jvm.java.io.InputStreamReader(raw if codec is None else codec.createInputStream(raw), "UTF-8")
     reader = jvm.java.io.BufferedReader(stream)
     try:
         line = reader.readLine()
@@ -168,66 +178,110 @@ def csv_header(spark: SparkSession, path: str) -> tuple[str, ...]:
     return tuple(next(csv.reader([line.lstrip(BYTE_ORDER_MARK)])))
 
 
-def headers_of(spark: SparkSession, paths: Sequence[str], file_format: str) -> dict[tuple[str, ...], list[str]]:
-    """Landing files grouped by their own header.
+#: Name and type of every column; CSV has no types.
+Header = tuple[tuple[str, str], ...]
 
-    Headers are read side by side, one first line or footer per landing.
+
+def parquet_header(spark: SparkSession, path: str) -> Header:
+    """Columns of one Parquet file as its own footer tells them; no data is read."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    parquet = jvm.org.apache.parquet.hadoop
+    source = parquet.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(path), conf)
+    reader = parquet.ParquetFileReader.open(source)
+    try:
+        schema = reader.getFooter().getFileMetaData().getSchema()
+        fields = [schema.getFields().get(i) for i in range(schema.getFieldCount())]
+        return tuple((f.getName(), f.toString()) for f in fields)
+    finally:
+        reader.close()
+
+
+def headers_of(spark: SparkSession, paths: Sequence[str], file_format: str) -> dict[Header, list[str]]:
+    """Landing files grouped by header, read side by side.
+
+    Every part of a Parquet landing counts by its own footer, since parts with other headers
+    would read as nulls beside the first. Parts of a CSV landing carry the first part's header;
+    another one raises when it is read.
     """
     if file_format == "csv":
-        def header(path: str) -> tuple[str, ...]:
-            return csv_header(spark, path)
+        files = list(paths)
+
+        def header(path: str) -> Header:
+            return tuple((name, "string") for name in csv_header(spark, path))
+    elif file_format == "parquet":
+        with ThreadPoolExecutor(HEADER_READERS) as pool:
+            files = [f for parts in pool.map(lambda p: part_files(spark, p), paths) for f in parts]
+
+        def header(path: str) -> Header:
+            return parquet_header(spark, path)
     else:
-        def header(path: str) -> tuple[str, ...]:
-            columns = spark.read.format(file_format).load(path).columns
-            return tuple(c for c in columns if c != "source_file")
+        files = list(paths)
+
+        def header(path: str) -> Header:
+            return tuple(spark.read.format(file_format).load(path).dtypes)
 
     with ThreadPoolExecutor(HEADER_READERS) as pool:
-        found = list(pool.map(header, paths))
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for columns, path in zip(found, paths):
+        found = list(pool.map(header, files))
+    groups: dict[Header, list[str]] = defaultdict(list)
+    for columns, path in zip(found, files):
         groups[columns].append(path)
     return groups
 
 
-def read_files(
+def read_groups(
     spark: SparkSession,
     paths: Sequence[str],
     file_format: str = "csv",
     headers: Mapping[str, Sequence[str]] | None = None,
     optional: Sequence[str] = (),
-) -> DataFrame:
-    """Read landing files as text columns, with ``source_file`` telling each row's file.
+) -> list[DataFrame]:
+    """One frame for every header among the files, with ``source_file`` telling each row's file.
 
-    Files are scanned in groups that share a header, and the groups are united by column
-    name, never by position. With ``headers`` every group must carry the required ones. A
-    part whose header differs from that of its landing's first part raises when it is read.
+    With ``headers`` every one must carry the required columns; the error names a file that
+    does not.
     """
     if not paths:
         raise ValueError("no landing files")
     source = source_name("_metadata.file_path").alias("source_file")
     groups = []
-    for columns, members in headers_of(spark, paths, file_format).items():
+    for header, members in headers_of(spark, paths, file_format).items():
+        names = [name for name, _ in header if name != "source_file"]
         if headers is not None:
-            header_map(columns, headers, optional)
+            try:
+                header_map(names, headers, optional)
+            except ValueError as error:
+                raise ValueError(f"{members[0]}: {error}") from None
         if file_format == "csv":
-            schema = ", ".join(f"`{c}` string" for c in columns)
+            schema = ", ".join(f"`{c}` string" for c in names)
             reader = spark.read.schema(schema).options(header=True, escape='"', enforceSchema=False)
             scan = reader.csv(members)
         else:
             scan = spark.read.format(file_format).load(members).drop("source_file")
         groups.append(scan.select("*", source))
-    result = groups[0]
-    for group in groups[1:]:
-        result = result.unionByName(group, allowMissingColumns=True)
-    return result
+    return groups
+
+
+def read_files(
+    spark: SparkSession,
+    paths: Sequence[str],
+    file_format: str = "csv",
+    headers: Mapping[str, Sequence[str]] | None = None,
+    optional: Sequence[str] = (),
+) -> DataFrame:
+    """The frames of ``read_groups`` united by column name, never by position."""
+    groups = read_groups(spark, paths, file_format, headers, optional)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), groups)
 
 
 PROVIDER_OPTIONAL = ["region", "sector", "comments"]
 
 
 def read_statement_rows(spark: SparkSession, paths: Sequence[str], file_format: str = "csv") -> DataFrame:
-    return stage_rows(read_files(spark, paths, file_format, RAW_HEADERS))
+    """Staged rows of all files; every header among them is mapped by itself, with its own types."""
+    groups = read_groups(spark, paths, file_format, RAW_HEADERS)
+    return reduce(DataFrame.unionByName, map(stage_rows, groups))
 
 
 def read_provider_list(spark: SparkSession, paths: Sequence[str], file_format: str = "csv") -> DataFrame:
-    return stage_providers(read_files(spark, paths, file_format, PROVIDER_HEADERS, PROVIDER_OPTIONAL))
+    groups = read_groups(spark, paths, file_format, PROVIDER_HEADERS, PROVIDER_OPTIONAL)
+    return reduce(DataFrame.unionByName, map(stage_providers, groups))

@@ -7,6 +7,7 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerwide.schemas import SCOPE
+from ledgerwide.sources import commits
 
 
 def overwrite_scopes(rows: DataFrame, path: str, by: list[str] | None = None) -> None:
@@ -29,9 +30,14 @@ def replace_scope(rows: DataFrame, path: str, financial_year: str, trust_type: s
 
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Read a partitioned table with its declared types and column order."""
-    names = [field.strip().split()[0] for field in schema.split(",")]
-    return spark.read.schema(schema).parquet(path).select(*names)
+    """Read a partitioned table with its declared types and column order.
+
+    A table that its root's commits name is read as the latest of them has it.
+    """
+    root, _, table = path.rstrip("/").rpartition("/")
+    if commits.holds(spark, root, table):
+        return commits.read(spark, root, table, schema)
+    return spark.read.schema(schema).parquet(path).select(*commits.columns(schema))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:

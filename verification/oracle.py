@@ -100,6 +100,8 @@ SQL["S1_discover_files"] = """
 SQL["S2_read_provider_list"] = "SELECT * FROM providers"
 SQL["S3_find_sheet_name"] = "SELECT s_suppkey AS supplier_key, s_name AS supplier_name FROM supplier"
 SQL["S4_read_all_data"] = "SELECT * FROM staged"
+SQL["S4b_mixed_headers"] = "SELECT *, unnest(['csv', 'parquet']) AS form FROM staged"
+SQL["S6b_emptied_scope"] = f"SELECT * FROM staged WHERE NOT ({_scope})"
 SQL["S5_sql_scan"] = f"""
     SELECT org_code, main_code, sub_code, total_000s FROM fact
     WHERE financial_year = '{YEAR}' AND trust_type = 'NHS_TRUST'"""
@@ -153,6 +155,11 @@ SQL["S11_seed_dimensions"] = f"""
     FROM fact f JOIN worksheets w ON f.worksheet_name = w.worksheet_name
     JOIN {YEAR_DIM} y ON f.financial_year = y.financial_year GROUP BY ALL"""
 
+SQL["S11b_stored_codes"] = SQL["S10_build_reference"]
+SQL["S11c_stored_years"] = f"""
+    SELECT {DESCRIBE_YEAR.replace('CASE WHEN y <= 2000 THEN 1 ELSE 0 END', '1')}
+    FROM ({YEAR_ROWS} UNION SELECT unnest(range({ref.FIRST_YEAR}, {ref.LAST_YEAR + 1}))) ys"""
+
 # --- projections and scalar functions ----------------------------------------------------
 SQL["P1_financial_year_from_name"] = f"SELECT l_suppkey, fy, {label_of('fy')} AS financial_year FROM base"
 SQL["P2_trust_type_from_name"] = """
@@ -266,10 +273,32 @@ SQL["M2_trust_upsert"] = """
                AS is_foundation,
            MIN(financial_year) AS first_year_seen, MAX(financial_year) AS last_year_seen
     FROM providers GROUP BY org_code"""
-for key in ("M3_reload_is_idempotent", "M4_load_files_twice", "M5_stream_load"):
+for key in (
+    "M3_reload_is_idempotent", "M4_load_files_twice", "M5_stream_load", "M6_stream_late_providers", "M7_load_mixed_headers",
+):
     SQL[key] = "SELECT * FROM loaded"
+SQL["M8_refused_load"] = f"""
+    SELECT 'staged' AS name, COUNT(*) AS n, {total('total')} AS total_000s FROM staged
+    UNION ALL SELECT 'fact', COUNT(*), {total('total_000s')} FROM loaded"""
+SQL["M9_quarantine"] = """
+    SELECT s.* FROM staged s WHERE s.trust_type <> 'NHS_TRUST' OR NOT EXISTS (
+        SELECT 1 FROM providers p WHERE lower(p.organisation_name) = lower(s.organisation_name)
+        AND p.financial_year = s.financial_year AND p.trust_type = s.trust_type)"""
+SQL["M10_changed_rows"] = """
+    SELECT main_code, COUNT(*) AS n, main_code LIKE '%01' AS rewritten FROM loaded GROUP BY main_code"""
 
 # --- views ------------------------------------------------------------------------------------------
+def _stored_line(code: str) -> str:
+    return f"MAX(CASE WHEN sub_code = '{code}' THEN total_000s END)"
+
+
+_patient, _other, _spent = (_stored_line(c) for c in ("SCI0100A", "SCI0110A", "SCI0125A"))
+SQL["V9_stored_views"] = f"""
+    SELECT org_code, financial_year, {_patient} AS patient_care_income_000s, {_other} AS other_income_000s,
+           COALESCE({_patient}, 0) + COALESCE({_other}, 0) AS total_income_000s,
+           ABS(COALESCE({_spent}, 0)) AS total_expenditure_000s,
+           {_stored_line('SCI0140A')} AS operating_surplus_000s, {_stored_line('SCI0240')} AS net_surplus_000s
+    FROM loaded WHERE worksheet_name = '{ref.SOCI}' GROUP BY org_code, financial_year"""
 for key, name in {
     "V1_income_expenditure": "ie",
     "V2_profit_and_loss": "pl",

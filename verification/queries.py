@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerwide import reference_data as ref
@@ -27,7 +27,7 @@ from ledgerwide.operators import (
     resolve,
     yoy,
 )
-from ledgerwide.plans import checks, exports, gold, load, peers, trends
+from ledgerwide.plans import checks, exports, gold, load, peers, stored_views, trends
 from ledgerwide.schemas import ORG_YEAR, STAGED_SCHEMA, VIEW_KEY
 from ledgerwide.session import scratch_path
 from ledgerwide.sources import catalog, derived, landing, sinks, staging
@@ -171,6 +171,16 @@ def _(t: Inputs) -> DataFrame:
     return t.staged
 
 
+@query("S4b_mixed_headers")
+def _(t: Inputs) -> DataFrame:
+    """CSV files and parts of Parquet landings that carry different headers and types."""
+    files = derived.write_mixed_landing(t.spark, t.folder, scratch_path(t.spark, "mixed"))
+    csv, parquet = (
+        landing.read_statement_rows(t.spark, files[kind], kind).withColumn("form", F.lit(kind)) for kind in ("csv", "parquet")
+    )
+    return csv.unionByName(parquet)
+
+
 @query("S5_sql_scan")
 def _(t: Inputs) -> DataFrame:
     t.fact.createOrReplaceTempView("ledgerwide_fact")
@@ -195,6 +205,15 @@ def _(t: Inputs) -> DataFrame:
     return staging.read_table(t.spark, path, STAGED_SCHEMA)
 
 
+@query("S6b_emptied_scope")
+def _(t: Inputs) -> DataFrame:
+    """Staging after a reload in which the file of one scope holds prior-year rows alone."""
+    tables = load.Tables(scratch_path(t.spark, "emptied"))
+    load.take_batch(t.spark, tables, t.staged, t.providers)
+    load.take_batch(t.spark, tables, t.staged.limit(0), None, [RELOAD_SCOPE])
+    return staging.read_table(t.spark, tables.staged, STAGED_SCHEMA)
+
+
 @query("S7_export_query")
 def _(t: Inputs) -> DataFrame:
     path = scratch_path(t.spark, "export")
@@ -254,6 +273,26 @@ def _(t: Inputs) -> DataFrame:
     )
 
 
+@query("S11b_stored_codes")
+def _(t: Inputs) -> DataFrame:
+    """The code dimension as the first load stores it, extended from template sheets twice."""
+    tables = load.Tables(scratch_path(t.spark, "codes"))
+    load.take_batch(t.spark, tables, t.staged, t.providers)
+    for _run in range(2):
+        load.extend_codes(t.spark, tables, derived.template_grid(t.spark, t.folder))
+    return load.code_table(t.spark, tables)
+
+
+@query("S11c_stored_years")
+def _(t: Inputs) -> DataFrame:
+    """The year dimension with the years that two loads brought."""
+    tables = load.Tables(scratch_path(t.spark, "years"))
+    early = F.col("financial_year") < "1998"
+    load.take_batch(t.spark, tables, t.staged.where(early), t.providers.where(early))
+    load.take_batch(t.spark, tables, t.staged.where(~early), t.providers.where(~early))
+    return load.year_table(t.spark, tables)
+
+
 # --- projections and scalar functions -----------------------------------------------
 
 
@@ -552,6 +591,69 @@ def _(t: Inputs) -> DataFrame:
     return load.fact_table(t.spark, tables)
 
 
+@query("M6_stream_late_providers")
+def _(t: Inputs) -> DataFrame:
+    """Statements streamed before any provider list; the lists, streamed later, release them."""
+    root = scratch_path(t.spark, "late")
+    derived.write_landing(t.spark, t.folder, f"{root}/landing")
+    tables = load.Tables(f"{root}/warehouse")
+    watched = f"{root}/watched"
+    t.spark.createDataFrame([], "x string").write.csv(watched)
+    for lists in (watched, f"{root}/landing/providers"):
+        stream = load_new_files(t.spark, f"{root}/landing/rows", tables, lists, f"{root}/checkpoint", file_format="csv")
+        stream.awaitTermination()
+    return load.fact_table(t.spark, tables)
+
+
+@query("M7_load_mixed_headers")
+def _(t: Inputs) -> DataFrame:
+    """The whole load from Parquet landings whose parts carry different headers."""
+    root = scratch_path(t.spark, "mixed-load")
+    rows = derived.write_mixed_landing(t.spark, t.folder, f"{root}/landing")["parquet"]
+    lists = derived.write_provider_landing(t.spark, t.folder, f"{root}/landing")
+    tables = load.Tables(f"{root}/warehouse")
+    load.load(t.spark, tables, rows, lists, "parquet")
+    return load.fact_table(t.spark, tables)
+
+
+@query("M8_refused_load")
+def _(t: Inputs) -> DataFrame:
+    """Staging and fact after a load whose batch is refused: those of the load before it."""
+    tables = load.Tables(scratch_path(t.spark, "refused"))
+    load.take_batch(t.spark, tables, t.staged, t.providers)
+    bad = t.staged.withColumns({"total": F.col("total") + 1, "sub_code": F.when(F.col("row_num") % 2 == 0, F.col("sub_code"))})
+    try:
+        load.take_batch(t.spark, tables, bad, t.providers)
+    except ValueError:
+        pass
+    else:
+        raise AssertionError("a batch with null codes was loaded")
+    staged = staging.read_table(t.spark, tables.staged, STAGED_SCHEMA)
+    parts = [f.agg(F.count("*").alias("n"), F.sum(c).alias("total_000s")).withColumn("name", F.lit(name))
+             for name, f, c in (("staged", staged, "total"), ("fact", load.fact_table(t.spark, tables), "total_000s"))]
+    return parts[0].unionByName(parts[1])
+
+
+@query("M9_quarantine")
+def _(t: Inputs) -> DataFrame:
+    """Rows that wait after a load with the provider lists of one trust type alone."""
+    tables = load.Tables(scratch_path(t.spark, "quarantine"))
+    load.take_batch(t.spark, tables, t.staged, t.providers.where(F.col("trust_type") == text.NHS_TRUST))
+    return load.quarantine_table(t.spark, tables)
+
+
+@query("M10_changed_rows")
+def _(t: Inputs) -> DataFrame:
+    """Fact rows by the load that wrote them last: the first, or a reload that corrects some."""
+    tables = load.Tables(scratch_path(t.spark, "stamps"))
+    load.take_batch(t.spark, tables, t.staged, t.providers)
+    fixed = F.when(F.col("main_code").endswith("01"), F.col("total") + 1).otherwise(F.col("total"))
+    load.take_batch(t.spark, tables, t.staged.withColumn("total", fixed), t.providers)
+    newest = F.max("batch_id").over(Window.partitionBy(F.lit(1)))
+    rows = load.stamped_fact_table(t.spark, tables).groupBy("main_code", "batch_id").agg(F.count("*").alias("n"))
+    return rows.select("main_code", "n", (F.col("batch_id") == newest).alias("rewritten"))
+
+
 # --- views --------------------------------------------------------------------------------
 
 
@@ -595,6 +697,21 @@ def _(t: Inputs) -> DataFrame:
     return gold.income_expenditure(t.fact, t.trusts, coalesce_patient_income=False)
 
 
+@query("V9_stored_views")
+def _(t: Inputs) -> DataFrame:
+    """A stored view after a load with wrong amounts in one scope, a refresh, the right file, and a refresh."""
+    tables = load.Tables(scratch_path(t.spark, "views"))
+    year, kind = RELOAD_SCOPE
+    hit = (F.col("financial_year") == year) & (F.col("trust_type") == kind)
+    wrong = t.staged.withColumn("total", F.when(hit, -F.col("total") - 7).otherwise(F.col("total")))
+    load.take_batch(t.spark, tables, wrong, t.providers)
+    stored_views.refresh(t.spark, tables)
+    load.take_batch(t.spark, tables, t.staged.where(hit), None)
+    stored_views.refresh(t.spark, tables)
+    view = stored_views.view_table(t.spark, tables, "income_expenditure")
+    return view.drop("organisation_name", "sector", "region", "trust_type")
+
+
 # --- aggregations ---------------------------------------------------------------------------
 
 
