@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,21 +14,42 @@ from ledgerwide.functions import fiscal
 from ledgerwide.operators import benchmarks, detail, enrich
 from ledgerwide.plans import gold
 from ledgerwide.schemas import TRUST_SCHEMA, VIEW_KEY
+from ledgerwide.session import drop_scratch, scratch_path
 from ledgerwide.sources.sinks import write_csv
 
 ORG_YEAR_ORDER = ["financial_year", "org_code"]
+WRITERS = 4  # datasets written at the same time
 DETAIL_ORDER = ["financial_year", "org_code", "sub_code"]
 
 
 @dataclass(frozen=True)
 class Warehouse:
-    """The tables every export reads."""
+    """The tables every export reads.
+
+    ``wide`` and ``enriched`` are what several datasets share, stored; without them each
+    dataset computes its own part from the fact.
+    """
 
     fact: DataFrame
     trusts: DataFrame
     codes: DataFrame
     years: DataFrame
     enriched: DataFrame | None = None
+    wide: DataFrame | None = None
+
+    def income_expenditure(self) -> DataFrame:
+        return gold.income_expenditure(self.fact, self.trusts) if self.wide is None else gold.income_expenditure_of(self.wide)
+
+    def expenditure_breakdown(self) -> DataFrame:
+        if self.wide is None:
+            return gold.expenditure_breakdown(self.fact, self.trusts, self.codes)
+        return gold.expenditure_breakdown_of(self.wide)
+
+    def workforce(self) -> DataFrame:
+        return gold.workforce(self.fact, self.trusts) if self.wide is None else gold.workforce_of(self.wide)
+
+    def kpis(self) -> DataFrame:
+        return gold.kpis(self.fact, self.trusts, self.codes) if self.wide is None else gold.kpis_of(self.wide)
 
 
 @dataclass(frozen=True)
@@ -59,7 +81,7 @@ def income_summary_export(w: Warehouse) -> DataFrame:
         "patient_care_income_000s", "other_income_000s", "total_income_000s",
         "total_expenditure_000s", "operating_surplus_000s", "net_surplus_000s",
     ]
-    return gold.income_expenditure(w.fact, w.trusts).select(*VIEW_KEY, *whole(columns))
+    return w.income_expenditure().select(*VIEW_KEY, *whole(columns))
 
 
 def expenditure_export(w: Warehouse) -> DataFrame:
@@ -67,7 +89,7 @@ def expenditure_export(w: Warehouse) -> DataFrame:
         "pay_000s", "non_pay_000s", "depreciation_amort_000s", "drugs_cost_000s",
         "staff_cost_000s", "total_expenditure_000s",
     ]
-    view = gold.expenditure_breakdown(w.fact, w.trusts, w.codes)
+    view = w.expenditure_breakdown()
     return view.select(*VIEW_KEY, *whole(columns))
 
 
@@ -76,7 +98,7 @@ def workforce_export(w: Warehouse) -> DataFrame:
         "total_staff_cost_000s", "gross_staff_cost_000s", "total_wte", "medical_wte",
         "nursing_wte", "admin_estates_wte", "scientific_tech_wte",
     ]
-    view = gold.workforce(w.fact, w.trusts).where("total_staff_cost_000s IS NOT NULL")
+    view = w.workforce().where("total_staff_cost_000s IS NOT NULL")
     return view.select(*VIEW_KEY, *whole(columns), "avg_days_lost_per_wte")
 
 
@@ -87,7 +109,7 @@ def kpi_export(w: Warehouse) -> DataFrame:
         "ebitda_000s",
     ]
     ratios = ["ebitda_margin_pct", "pay_pct_income", "cost_per_wte_000s", "net_surplus_margin_pct"]
-    view = gold.kpis(w.fact, w.trusts, w.codes).where("total_income_000s > 0")
+    view = w.kpis().where("total_income_000s > 0")
     return view.select(*VIEW_KEY, *whole(columns), *ratios, "total_wte")
 
 
@@ -110,7 +132,7 @@ def balance_sheet_export(w: Warehouse) -> DataFrame:
 
 
 def benchmark_export(w: Warehouse) -> DataFrame:
-    return benchmarks.benchmark_export(gold.kpis(w.fact, w.trusts, w.codes))
+    return benchmarks.benchmark_export(w.kpis())
 
 
 EXPORTS: dict[str, Export] = {
@@ -175,11 +197,30 @@ def warehouse_of(
 def write_exports(
     warehouse: Warehouse, folder: str, exports: Mapping[str, Export] = EXPORTS
 ) -> dict[str, int]:
-    """Write each dataset to ``folder/<name>.csv`` and return the rows written."""
-    return {
-        name: write_csv(export.frame(warehouse), f"{folder.rstrip('/')}/{name}.csv")
-        for name, export in exports.items()
-    }
+    """Write each dataset to ``folder/<name>.csv`` and return the rows written.
+
+    The frame that the summary, breakdown, workforce, KPI and benchmark datasets share is
+    pivoted once and stored by year while they are written. Datasets do not depend on each
+    other, so some are written at a time and fill the cluster together.
+    """
+    spark = warehouse.fact.sparkSession
+    shared = None
+    if warehouse.wide is None and warehouse.enriched is None:
+        shared = scratch_path(spark, "wide")
+        wide = gold.org_year_wide(warehouse.fact, warehouse.trusts, warehouse.codes)
+        wide.write.partitionBy("financial_year").parquet(shared)
+        warehouse = replace(warehouse, wide=spark.read.schema(wide.schema).parquet(shared))
+
+    def write(item: tuple[str, Export]) -> tuple[str, int]:
+        name, export = item
+        return name, write_csv(export.frame(warehouse), f"{folder.rstrip('/')}/{name}.csv")
+
+    try:
+        with ThreadPoolExecutor(WRITERS) as pool:
+            return dict(pool.map(write, exports.items()))
+    finally:
+        if shared:
+            drop_scratch(spark, shared)
 
 
 def write_enriched(warehouse: Warehouse, folder: str) -> dict[str, int]:

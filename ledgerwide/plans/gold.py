@@ -185,8 +185,37 @@ def _pick(columns) -> list[Column]:
 
 def kpis(fact: DataFrame, trusts: DataFrame, codes: DataFrame) -> DataFrame:
     """V6. KPIs of organisation-years with income. A missing margin is Red here."""
-    wide = _with_ratios(org_year_wide(fact, trusts, codes, only_with_income=True))
-    return wide.select(*VIEW_KEY, *_pick(KPI_COLUMNS))
+    return kpis_of(org_year_wide(fact, trusts, codes, only_with_income=True))
+
+
+# Views that mix or repeat schedules are also projections of one ``org_year_wide`` frame, which
+# a caller who needs several of them stores once.
+
+
+def kpis_of(wide: DataFrame) -> DataFrame:
+    """V6 from ``org_year_wide``."""
+    with_income = wide.where(F.col("has_summary") & (F.col("total_income_000s") > 0))
+    return _with_ratios(with_income).select(*VIEW_KEY, *_pick(KPI_COLUMNS))
+
+
+def income_expenditure_of(wide: DataFrame) -> DataFrame:
+    """V1 from ``org_year_wide``."""
+    columns = (
+        "patient_care_income_000s", "other_income_000s", "total_income_000s",
+        "total_expenditure_000s", "operating_surplus_000s", "net_surplus_000s",
+    )
+    return wide.where("has_summary").select(*VIEW_KEY, *columns)
+
+
+def expenditure_breakdown_of(wide: DataFrame) -> DataFrame:
+    """V3 from ``org_year_wide``."""
+    lines = [F.col(f"ex_{c}").alias(c) for c in ref.EXPENDITURE_LINES.values()]
+    return wide.where("has_spend").select(*VIEW_KEY, *ref.EXPENDITURE_CATEGORIES.values(), *lines)
+
+
+def workforce_of(wide: DataFrame) -> DataFrame:
+    """V4 from ``org_year_wide``."""
+    return wide.where("has_staff").select(*VIEW_KEY, *ref.WORKFORCE_LINES.values())
 
 
 def scorecard(

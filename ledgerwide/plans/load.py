@@ -9,6 +9,7 @@ fact row, so no part of the fact is written.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -132,7 +133,22 @@ class _Load:
         self.parts = {*written, *map(_scope_part, scopes), *map(_scope_part, listed)}
         self.providers = self.change.read("staged_providers", PROVIDER_SCHEMA, self.parts)
 
-    def quarantine(self) -> DataFrame:
+    def promote(self, years: set[str]) -> None:
+        """Write the tables that follow from staging. None reads another, so they go together."""
+        pending = self.pending()
+        steps = [
+            lambda: self.fact(resolve.resolve_codes(pending, self.providers), years),
+            lambda: self.change.write(
+                resolve.unresolved_rows(pending, self.providers), "quarantine", SCOPE, self.parts
+            ),
+            self.trusts,
+            lambda: self.labels(years),
+        ]
+        with ThreadPoolExecutor(len(steps)) as pool:
+            for done in [pool.submit(step) for step in steps]:
+                done.result()
+
+    def pending(self) -> DataFrame:
         """Rows to resolve: those of the batch, and earlier ones whose provider list came now.
 
         Rows whose name no list has wait in the quarantine until a list of their scope comes.
@@ -141,18 +157,18 @@ class _Load:
         fresh = set(self.change.written["staged_rows"])
         waiting = (self.parts - fresh) & own
         held = self.change.read("quarantine", STAGED_SCHEMA, waiting)
-        pending = self.rows.unionByName(held)
-        rest = resolve.unresolved_rows(pending, self.providers)
-        self.change.write(rest, "quarantine", SCOPE, self.parts)
-        return resolve.resolve_codes(pending, self.providers)
+        return self.rows.unionByName(held)
 
-    def dimensions(self, years: set[str]) -> None:
-        change, spark = self.change, self.spark
+    def trusts(self) -> None:
+        change = self.change
         old = change.read("dim_trust", STAMPED_TRUST_SCHEMA) if change.partitions("dim_trust") else None
         merged = merge.upsert_trusts(None if old is None else old.select(*commits.columns(TRUST_SCHEMA)), self.providers)
         stamps = [self.stamps[0], self.stamps[1].alias("updated_ts")]
         change.write(merge.stamped_trusts(merged.select(*commits.columns(TRUST_SCHEMA)), old, stamps), "dim_trust")
 
+    def labels(self, years: set[str]) -> None:
+        """Worksheets, codes and years."""
+        change, spark = self.change, self.spark
         known = ref.worksheet_dimension(spark)
         if change.partitions("dim_worksheet"):
             known = change.read("dim_worksheet", ref.WORKSHEET_SCHEMA)
@@ -235,10 +251,7 @@ def take_batch(
     try:
         load_.stage(rows, providers, scopes, provider_scopes)
         warnings = quality.assert_loadable(load_.rows, load_.providers)
-        years = {_year_of(p) for p in load_.parts}
-        resolved = load_.quarantine()
-        load_.dimensions(years)
-        load_.fact(resolved, years)
+        load_.promote({_year_of(p) for p in load_.parts})
         change.commit(scopes=", ".join(sorted(load_.parts)), buckets=load_.buckets)
     except BaseException:
         change.abandon()

@@ -17,7 +17,7 @@ from verification.queries import QUERIES, Inputs
 WRITES_OR_RUNS = {
     "S6_load_staging", "S7_export_query", "S8_csv_exports", "S9_validation_report",
     "M4_load_files_twice", "M5_stream_load", "S4b_mixed_headers", "S6b_emptied_scope", "S11b_stored_codes", "S11c_stored_years",
-    "M6_stream_late_providers", "M7_load_mixed_headers", "M8_refused_load", "M9_quarantine", "M10_changed_rows", "V9_stored_views",
+    "M6_stream_late_providers", "M7_load_mixed_headers", "M8_refused_load", "M9_quarantine", "M10_changed_rows", "S8b_export_contents", "V9_stored_views",
 }
 
 

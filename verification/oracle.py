@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from ledgerwide import reference_data as ref
 from ledgerwide.functions import fiscal
 from ledgerwide.functions.status import NO_DATA_COLOUR, RAG_COLOURS
@@ -553,6 +555,17 @@ SQL["E8_expenditure_detail"] = SPEND_ITEMS
 SQL["E9_profit_and_loss"] = "SELECT * FROM pl"
 SQL["E10_balance_sheet"] = "SELECT * FROM bs"
 SQL["E11_sector_benchmarks"] = BENCHMARK_EXPORT
+
+
+def _cells(key: str) -> str:
+    return f"""
+    SELECT '{key.split('_', 1)[1]}' AS dataset, column_name, COUNT(*) AS cells,
+           CAST(SUM(CAST('0x' || substr(md5(cell), 1, 8) AS BIGINT)) AS BIGINT) AS checksum
+    FROM (UNPIVOT (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM ({SQL[key]}) e) ON COLUMNS(*) INTO NAME column_name VALUE cell)
+    GROUP BY column_name"""
+
+
+SQL["S8b_export_contents"] = " UNION ALL ".join(_cells(k) for k in SQL if re.match(r"E\d+_", k))
 SQL["X1_enriched_kpis"] = f"""
     SELECT {VIEW_KEY}, total_income_000s, ebitda_000s, ebitda_margin_pct, pay_000s, pay_pct_income, total_wte,
            cost_per_wte_000s, net_surplus_000s, net_surplus_margin_pct, is_deficit, is_large, pay_pressure_flag,

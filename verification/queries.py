@@ -6,7 +6,7 @@ All inputs are the given tables or tables Spark derives from them, whole.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -246,6 +246,23 @@ def _(t: Inputs) -> DataFrame:
     return result
 
 
+@query("S8b_export_contents")
+def _(t: Inputs) -> DataFrame:
+    """Every column of the eleven written datasets, by its values as they stand in the files."""
+    root = scratch_path(t.spark, "contents")
+    exports.write_exports(t.warehouse, root)
+    parts = []
+    for name in exports.EXPORTS:
+        back = t.spark.read.option("header", True).csv(f"{root}/{name}.csv")
+        back = back.toDF(*[c.lstrip(sinks.BYTE_ORDER_MARK) for c in back.columns])
+        cells = back.unpivot([], list(back.columns), "column_name", "cell").where("cell is not null")
+        parts.append(cells.select(F.lit(name).alias("dataset"), "column_name", "cell"))
+    word = F.conv(F.substring(F.md5("cell"), 1, 8), 16, 10).cast("bigint")
+    return reduce(DataFrame.unionByName, parts).groupBy("dataset", "column_name").agg(
+        F.count("*").alias("cells"), F.sum(word).alias("checksum")
+    )
+
+
 @query("S9_validation_report")
 def _(t: Inputs) -> DataFrame:
     report = quality.run_checks(quality.all_checks(t.fact, t.trusts, t.base, EXPECT))
