@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwide.llm.tables import stored
+from ledgerwide.llm.tables import discard, stored
 
 
 def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
@@ -27,6 +27,7 @@ def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     roots = stored(spark, nodes.select("node", F.col("node").alias("root")), "roots")
     while not edges.isEmpty():
+        earlier = [edges, roots]
         hooks = edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("up"))
         forest = stored(spark, hooks, "forest")
         while True:
@@ -38,12 +39,16 @@ def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
                 ),
                 "forest",
             )
+            earlier += [forest] if hasattr(forest, "scratch") else []
             forest = raised.select("node", "up")
+            earlier.append(raised)
             if raised.where("moved").isEmpty():
                 break
         roots = stored(spark, moved(roots, "root", forest), "roots")
         edges = moved(moved(edges, "a", forest), "b", forest).where("a <> b")
         edges = stored(spark, edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+        discard(spark, *earlier)
+    discard(spark, edges)
     return roots
 
 

@@ -28,8 +28,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerwide.llm.bits import field_of, held
 from ledgerwide.llm.components import connected_components
-from ledgerwide.llm.tables import stored
+from ledgerwide.llm.tables import discard, stored
 from ledgerwide.llm.words import mix, shingle_set, split_words, text_slices
 
 PLACES = 5  # values in a chunk
@@ -37,6 +38,7 @@ BITS = 12  # bits kept of a value
 MISS = 1e-5  # accepted chance that a pair at the threshold exceeds the distance
 HUB_ROUNDS = 2  # at most; fewer when nothing is left or a round finds nothing
 
+FILTER_BITS = 27  # of the bit fields that spare shuffles
 FINE = 512  # values of the longer signature, of 4 bits each
 
 _PLACE = (1 << BITS) - 1
@@ -128,14 +130,16 @@ def set_hash(values: np.ndarray) -> int:
     return int(mix(mix(both[:1]) + both[1:2] + both[2:] * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)[0])
 
 
-def _keys(columns: list[str]) -> Column:
-    """Every chunk with each place blanked in turn, hashed with its position."""
-    keys = []
-    for c, name in enumerate(columns):
+def _keys(batch: pa.RecordBatch) -> np.ndarray:
+    """For each row every chunk with each place blanked in turn, hashed with its position."""
+    columns = [batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in range(1, batch.num_columns)]
+    keys = np.empty((batch.num_rows, PLACES * len(columns)), np.uint64)
+    for c, column in enumerate(columns):
         for place in range(PLACES):
-            blank = ~(_PLACE << (BITS * place))
-            keys.append(F.xxhash64(F.lit(c * PLACES + place), F.col(name).bitwiseAND(F.lit(blank))))
-    return F.array(*keys)
+            blank = np.uint64(~(_PLACE << (BITS * place)) & (2**64 - 1))
+            at = c * PLACES + place
+            keys[:, at] = mix(mix(column & blank) + np.uint64((at + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1)))
+    return keys
 
 
 def fine_columns() -> list[str]:
@@ -199,16 +203,33 @@ def _first_shared(columns: list[str]) -> Column:
     return (first == chunk) & ((apart == 1) | (place == 0))
 
 
-def _buckets(spark: SparkSession, classes: DataFrame, keys: Column) -> DataFrame:
-    """(bucket, at, node) of every key that two or more nodes share; at: the key's position.
+def _buckets(spark: SparkSession, classes: DataFrame, names: list[str]) -> DataFrame:
+    """(bucket, at, node) of the keys that two or more nodes share; at: the key's position.
 
-    The counts combine on the map side: a key of very many nodes is one row per task there,
-    and the join that follows can split it.
+    First only keys are counted. Those counted twice or more fill a bit field, and the nodes'
+    keys are made anew and pass through it, so a key of one node seldom moves again; one that
+    does is a bucket of one node, which no later step pairs.
     """
-    flat = classes.select("node", F.posexplode(keys).alias("at", "key"))
-    shared = flat.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    found = flat.join(shared.select("key"), "key").select(F.col("key").alias("bucket"), "at", "node")
-    return stored(spark, found, "buckets")
+
+    def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, 4096):
+            yield pa.RecordBatch.from_arrays([pa.array(_keys(batch).ravel().view(np.int64))], ["key"])
+
+    signs = classes.select("node", *names)
+    counted = signs.mapInArrow(every, "key long").groupBy("key").agg(F.count("*").alias("n"))
+    shared = spark.sparkContext.broadcast(field_of(counted.where("n > 1"), "key", FILTER_BITS))
+
+    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, 4096):
+            keys = _keys(batch)
+            row, at = np.nonzero(held(shared.value, keys))
+            nodes = batch.column(0).to_numpy(zero_copy_only=False)[row]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys[row, at].view(np.int64)), pa.array(at.astype(np.int32)), pa.array(nodes)],
+                ["bucket", "at", "node"],
+            )
+
+    return stored(spark, signs.mapInArrow(passed, "bucket long, at int, node long"), "buckets")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -231,25 +252,28 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: floa
     return both.mapInArrow(confirm, "a long, b long")
 
 
-def _class_texts(spark, docs, signed, needed, shingle: int) -> DataFrame:
-    """(node, text): one text of every needed class, its hash computed anew."""
-    least = signed.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("_id"))
-    wanted = needed.withColumnRenamed("node", "cls")
-    chosen = least.join(wanted, "cls", "left_semi").select("_id", F.col("cls").alias("node"))
+def _class_texts(spark: SparkSession, docs: DataFrame, needed: DataFrame, shingle: int) -> DataFrame:
+    """(node, text): one text of every needed class.
+
+    A task passes each class on once, so copies do not move, and texts meet the needed classes
+    by their class alone: each of those stands there once, whatever the ids of the rows.
+    """
 
-    def recheck(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in text_slices(batches):
-            words = split_words(batch.column(1))
-            nodes = batch.column(0).to_pylist()
-            same = [
-                len(v := shingle_set(words.row(r), shingle)) > 0 and set_hash(v) == nodes[r]
-                for r in range(batch.num_rows)
-            ]
-            yield batch.filter(pa.array(same, pa.bool_()))
-
-    texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").cast("string").alias("text"))
-    found = texts.join(chosen, F.col("_doc").eqNullSafe(F.col("_id"))).select("node", "text")
-    found = found.mapInArrow(recheck, "node long, text string")
+            words = split_words(batch.column(0))
+            nodes, new = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, bool)
+            for r in range(batch.num_rows):
+                values = shingle_set(words.row(r), shingle)
+                if len(values) and (node := set_hash(values)) not in seen:
+                    seen.add(node)
+                    nodes[r], new[r] = node, True
+            found = pa.RecordBatch.from_arrays([pa.array(nodes), batch.column(0)], ["node", "text"])
+            yield found.filter(pa.array(new))
+
+    found = docs.select(F.col("text").cast("string")).mapInArrow(firsts, "node long, text string")
+    found = found.join(needed, "node", "left_semi")
     return stored(spark, found.dropDuplicates(["node"]), "class-texts")
 
 
@@ -261,6 +285,7 @@ class _Links:
         self.shingle, self.similarity, self.columns = shingle, similarity, chunk_columns(chunks)
         self.links: DataFrame | None = None
         self.roots: DataFrame | None = None
+        self.scratch: list[DataFrame] = []  # what is deleted when all links are found
 
     def signed(self, side: str, frame: DataFrame, node: str, signs: DataFrame | None = None) -> DataFrame:
         """``frame`` with the set size and signature of ``node`` under names of its side."""
@@ -288,10 +313,12 @@ class _Links:
     def confirm(self, pairs: DataFrame) -> bool:
         """Confirm pairs (a, b), take in the links; whether there were any."""
         found = stored(self.spark, _verified(pairs, self.texts, self.shingle, self.similarity), "links")
+        self.scratch.append(found)
         if found.isEmpty():
             return False
         self.links = found if self.links is None else self.links.unionByName(found)
-        self.roots = connected_components(self.spark, self.links)
+        before, self.roots = self.roots, connected_components(self.spark, self.links)
+        discard(self.spark, before)
         return True
 
     def first_pairs(self, buckets: DataFrame) -> DataFrame:
@@ -327,6 +354,7 @@ class _Links:
         few = stored(self.spark, self.signed("p", ours.where("pr <> main"), "p", signs), "minor")
         theirs = mixed.select("bucket", F.col("node").alias("q"), F.col("root").alias("qr"))
         every = stored(self.spark, self.signed("q", theirs, "q", signs), "members")
+        self.scratch += [signs, few, every]
         near = _near(self.columns, self.similarity, ("p_n_shingles", "q_n_shingles"))
         once = (F.col("qr") == F.col("main")) | (F.col("pr") < F.col("qr"))
         on = (few["bucket"] == every["bucket"]) & once
@@ -361,21 +389,25 @@ def _solved(spark: SparkSession, docs: DataFrame, shingle: int, similarity: floa
         .agg(F.first("n_shingles").alias("n_shingles"), *[F.first(n).alias(n) for n in names])
     )
     classes = stored(spark, classes, "classes")
-    buckets = _buckets(spark, classes, _keys(names))
-    ids = signed.select("doc_id", "n_shingles", "cls")
+    ids = stored(spark, signed.select("doc_id", "n_shingles", "cls"), "ids")
+    discard(spark, signed)
+    buckets = _buckets(spark, classes, names)
     if buckets.isEmpty():
         return ids, None
-    texts = _class_texts(spark, docs, signed, buckets.select("node").distinct(), shingle)
+    texts = _class_texts(spark, docs, buckets.select("node").distinct(), shingle)
     links = _Links(spark, classes, texts, shingle, similarity, chunks)
     found = links.confirm(links.first_pairs(buckets))
     mixed = links.mixed(buckets)
+    discard(spark, buckets)
     for turn in range(1, HUB_ROUNDS):
         if not found or mixed.isEmpty():
             break
         if found := links.confirm(links.hub_pairs(mixed, turn)):
-            mixed = links.mixed(mixed)
+            before, mixed = mixed, links.mixed(mixed)
+            discard(spark, before)
     if not mixed.isEmpty():
         links.confirm(links.rest(mixed))
+    discard(spark, mixed, texts, classes, *links.scratch)
     return ids, links.roots
 
 
@@ -402,19 +434,28 @@ def _answer(ids: DataFrame, roots: DataFrame | None) -> DataFrame:
     )
 
 
-def _classed(docs: DataFrame, shingle: int) -> DataFrame:
-    """(row, cls): every row as a struct of all its columns, and the hash of its shingle set."""
+def _classed(docs: DataFrame, shingle: int, contested=None) -> DataFrame:
+    """(row, cls, open): every row as a struct of all its columns, and the hash of its shingle set.
+
+    open: whether the class may be contested, that is, share its component with another row.
+    """
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        field = contested.value
         for batch in text_slices(batches):
             words = split_words(batch.column(0).flatten()[at].cast(pa.string()))
             sets = [shingle_set(words.row(r), shingle) for r in range(batch.num_rows)]
-            cls = pa.array([set_hash(v) if len(v) else None for v in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), cls], ["row", "cls"])
+            cls = np.array([set_hash(v) if len(v) else 0 for v in sets], np.int64)
+            blank = np.array([not len(v) for v in sets])
+            open_ = held(field, cls.view(np.uint64)) & ~blank
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(cls, mask=blank), pa.array(open_)], ["row", "cls", "open"]
+            )
 
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    return rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("cls", T.LongType())]))
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+    fields = [rows.schema["row"], T.StructField("cls", T.LongType()), T.StructField("open", T.BooleanType())]
+    return rows.mapInArrow(run, T.StructType(fields))
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -422,12 +463,20 @@ def keep_one(spark: SparkSession, docs: DataFrame, shingle: int = 5, similarity:
 
     The row with the smallest doc_id stays, of several with that id the first by text; a null
     id counts after all others. Rows without words link with nothing, so each of them stays.
+    Rows that are alone in their component stay where they are read; only the others move.
     """
-    tops = stored(spark, _components(*_solved(spark, docs, shingle, similarity)), "components")
-    rows = _classed(docs, shingle).join(tops, "cls", "left")
-    # Only rows with their component's smallest id can stay; the others do not move again.
-    rows = rows.where(F.col("cls").isNull() | F.col("row.doc_id").cast("long").eqNullSafe(F.col("least")))
-    alone = F.when(F.col("cls").isNull(), F.monotonically_increasing_id())
+    ids, roots = _solved(spark, docs, shingle, similarity)
+    tops = _components(ids, roots)
+    rows = ids.where("cls is not null").groupBy("cls").agg(F.count("*").alias("n"))
+    many = tops.join(rows, "cls").groupBy("root").agg(F.sum("n").alias("rows")).where("rows > 1")
+    tops = stored(spark, tops.join(many.select("root"), "root", "left_semi"), "components")
+    contested = spark.sparkContext.broadcast(field_of(tops, "cls", FILTER_BITS))
+    every = _classed(docs, shingle, contested)
+    alone = every.where("not open").select("row")
+    # A row that passed the field by chance meets no component and stays as well.
+    met = every.where("open").join(tops, "cls", "left")
+    single = F.when(F.col("root").isNull(), F.monotonically_increasing_id())
+    met = met.where(F.col("root").isNull() | F.col("row.doc_id").cast("long").eqNullSafe(F.col("least")))
     first = F.min_by("row", F.struct("row.doc_id", "row.text"))
-    kept = rows.groupBy("root", alone.alias("alone")).agg(first.alias("row"))
-    return kept.select("row.*")
+    kept = met.groupBy("root", single.alias("single")).agg(first.alias("row")).select("row")
+    return alone.unionByName(kept).select("row.*")

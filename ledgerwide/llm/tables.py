@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwide.session import scratch_path
+from ledgerwide.session import drop_scratch, scratch_path
 
 
 def stored(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
@@ -15,7 +15,16 @@ def stored(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(spark, label)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    table = spark.read.schema(frame.schema).parquet(path)
+    table.scratch = path
+    return table
+
+
+def discard(spark: SparkSession, *tables: DataFrame | None) -> None:
+    """Delete tables made by ``stored`` that no frame reads any more."""
+    for table in tables:
+        if table is not None:
+            drop_scratch(spark, table.scratch)
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
