@@ -39,7 +39,7 @@ MISS = 1e-5  # accepted chance that a pair at the threshold exceeds the distance
 HUB_ROUNDS = 2  # at most; fewer when nothing is left or a round finds nothing
 
 FILTER_BITS = 27  # of the bit fields that spare shuffles
-FINE = 512  # values of the longer signature, of 4 bits each
+FINE = 1024  # values of the longer signature, of 4 bits each
 
 _PLACE = (1 << BITS) - 1
 _LOW = sum(1 << (BITS * k) for k in range(PLACES))
