@@ -16,6 +16,7 @@ import hashlib
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwide.llm.tables import stored
+from ledgerwide.llm.trees import Matcher, Tree
 from ledgerwide.llm.words import text_slices
 
 ALWAYS_SAME = 5  # different pages that need to share a text before it counts as template
@@ -85,6 +87,7 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, int]]]:
     stack: list[tuple[str, Node]] = [("#", root)]
     blocks: list[tuple[Node, str, int]] = []
     run: list[str] = []
+    opened: Counter = Counter("#")  # spares walks through the stack for tags that are not open
     links = in_link = at = 0
 
     def flush() -> None:
@@ -98,6 +101,7 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, int]]]:
 
     def close(index: int) -> None:
         flush()
+        opened.subtract(t for t, _ in stack[index:])
         del stack[index:]
 
     end = len(page)
@@ -117,7 +121,7 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, int]]]:
         if m[1]:
             if tag == "a":
                 in_link = 0
-            elif tag in BLOCK:
+            elif tag in BLOCK and opened[tag]:
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k][0] == tag:
                         close(k)
@@ -133,90 +137,57 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, int]]]:
         elif tag in BLOCK:
             flush()
             in_link = 0
-            if tag in CLOSES_P:
+            if tag in CLOSES_P and opened["p"]:
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k][0] == "p":
                         close(k)
                         break
                     if stack[k][0] in SCOPE or stack[k][0] in ("td", "th"):
                         break
-            if tag in ONE_AT_A_TIME:
+            if tag in ONE_AT_A_TIME and any(opened[t] for t in ONE_AT_A_TIME[tag]):
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k][0] in ONE_AT_A_TIME[tag]:
                         close(k)
                         break
                     if stack[k][0] in SCOPE:
                         break
-            if not (tag in ("html", "body") and any(t == tag for t, _ in stack)):
+            if not (tag in ("html", "body") and opened[tag]):
                 stack.append((tag, stack[-1][1].child(_label(tag, m[3] or ""))))
+                opened[tag] += 1
     flush()
     return root, blocks
 
 
 def numbered(root: Node) -> list:
-    """The tree as nested lists [label, child, ...], its nodes numbered in that order."""
-    count = 0
+    """The tree as a flat list of depth, label, depth, label, ... of its nodes, numbered in that order."""
+    flat: list = []
+    waiting = [(0, root)]
+    while waiting:
+        depth, node = waiting.pop()
+        node.place = len(flat) // 2
+        flat += [depth, node.label]
+        waiting += [(depth + 1, c) for c in reversed(node.children)]
+    return flat
 
-    def walk(node: Node) -> list:
-        nonlocal count
-        node.place = count
-        count += 1
-        return [node.label, *map(walk, node.children)]
 
-    return walk(root)
+def tree_of(flat: list) -> Tree:
+    return Tree(flat[::2], flat[1::2])
 
 
 def match_trees(a: list, b: list) -> list[tuple[tuple, tuple]]:
-    """Simple tree matching: the largest set of node pairs (as paths) that keeps labels, order
-    and parents. Two trees match if their roots do, and then their children as sequences."""
-    known: dict[tuple[int, int], int] = {}
-
-    def table(x: list, y: list) -> list[list[int]]:
-        grid = [[0] * len(y) for _ in range(len(x))]
-        for i in range(1, len(x)):
-            for j in range(1, len(y)):
-                grid[i][j] = max(grid[i - 1][j], grid[i][j - 1], grid[i - 1][j - 1] + size(x[i], y[j]))
-        return grid
-
-    def size(x: list, y: list) -> int:
-        if x[0] != y[0]:
-            return 0
-        key = id(x), id(y)
-        if key not in known:
-            known[key] = 1 + table(x, y)[-1][-1]
-        return known[key]
-
-    pairs: list[tuple[tuple, tuple]] = []
-
-    def trace(x: list, y: list, px: tuple, py: tuple) -> None:
-        pairs.append((px, py))
-        grid = table(x, y)
-        i, j = len(x) - 1, len(y) - 1
-        while i and j:
-            own = size(x[i], y[j])
-            if own and grid[i][j] == grid[i - 1][j - 1] + own:
-                trace(x[i], y[j], (*px, i), (*py, j))
-                i, j = i - 1, j - 1
-            elif grid[i][j] == grid[i - 1][j]:
-                i -= 1
-            else:
-                j -= 1
-
-    if a[0] == b[0]:
-        trace(a, b, (), ())
-    return pairs
-
-
-def _flat(tree: list) -> list[tuple[tuple, str]]:
-    out: list[tuple[tuple, str]] = []
-
-    def walk(node: list, path: tuple) -> None:
-        out.append((path, node[0]))
-        for k, child in enumerate(node[1:], 1):
-            walk(child, (*path, k))
-
-    walk(tree, ())
-    return out
+    """Simple tree matching of small nested lists [label, child, ...], as pairs of paths."""
+    trees, paths = [], []
+    for nested in (a, b):
+        flat, named = [], []
+        waiting = [((), nested)]
+        while waiting:
+            path, node = waiting.pop()
+            flat += [len(path), node[0]]
+            named.append(path)
+            waiting += [((*path, k), c) for k, c in reversed(list(enumerate(node[1:], 1)))]
+        trees.append(tree_of(flat))
+        paths.append(named)
+    return [(paths[0][x], paths[1][y]) for x, y in Matcher(*trees).pairs()]
 
 
 def _boiler(label: str, in_article: bool) -> bool:
@@ -224,66 +195,68 @@ def _boiler(label: str, in_article: bool) -> bool:
     return tag in BOILER_TAGS or tag == "header" and not in_article or bool(BOILER_WORDS & set(words))
 
 
-def placed(tree: list, exemplar: list) -> tuple[list[int], list[int], list[int]]:
+def placed(flat: list, like: list) -> tuple[list[int], list[int], list[int]]:
     """For each node of a tree: its slot, the exemplar's node that it hangs from, and its use.
 
     A slot is the number of the exemplar's node that the node is aligned with, or else a negative
     hash of the node's own path, so that nodes the exemplar lacks meet their like on other pages.
     Use: 0 never content, 1 inside the page's own article, 2 content if the host's root holds it.
     """
-    flat = _flat(tree)
-    number = {path: k for k, (path, _) in enumerate(_flat(exemplar))}
-    to = {b: number[a] for a, b in ((p, p) for p in number)} if tree == exemplar else {
-        b: number[a] for a, b in match_trees(exemplar, tree)
-    }
-    boiler = _judged(flat)
-    marked = [p for p, l in flat if l.split(".")[0] in ("article", "main") and not boiler[p]]
-    names: dict[tuple, str] = {}
-    met: dict[tuple, int] = {}
-    anchor: dict[tuple, int] = {}
-    slots, anchors, uses = [], [], []
-    for path, label in flat:
-        up = path[:-1]
+    tree = tree_of(flat)
+    size = range(len(tree.labels))
+    to = {k: k for k in size} if flat == like else {y: x for x, y in Matcher(tree_of(like), tree).pairs()}
+    boiler = _judged(tree)
+    marked = [l.split(".")[0] in ("article", "main") and not b for l, b in zip(tree.labels, boiler)]
+    any_marked, inside = any(marked), list(marked)
+    names: list[bytes] = []
+    met: dict[tuple[int, str], int] = {}
+    anchors: list[int] = []
+    slots, uses = [], []
+    for k, label in enumerate(tree.labels):
+        up = tree.parent[k]
+        if up >= 0 and inside[up]:
+            inside[k] = True
         nth = met[up, label] = met.get((up, label), 0) + 1
-        names[path] = f"{names[up] if path else ''}/{label}:{nth}"
-        anchor[path] = to.get(path, anchor[up] if path else 0)
-        anchors.append(anchor[path])
-        own = int.from_bytes(hashlib.blake2b(names[path].encode(), digest_size=8).digest()) >> 1
-        slots.append(to.get(path, -1 - own))
-        inside = any(path[: len(m)] == m for m in marked) if marked else None
-        uses.append(0 if boiler[path] or inside is False else 1 if inside else 2)
+        above = names[up] if up >= 0 else b""
+        names.append(hashlib.blake2b(above + f"/{label}:{nth}".encode(), digest_size=8).digest())
+        anchors.append(to.get(k, anchors[up] if up >= 0 else 0))
+        slots.append(to.get(k, -1 - (int.from_bytes(names[k]) >> 1)))
+        uses.append(0 if boiler[k] or any_marked and not inside[k] else 1 if any_marked else 2)
     return slots, anchors, uses
 
 
-def _judged(flat: list[tuple[tuple, str]]) -> dict[tuple, bool]:
-    boiler: dict[tuple, bool] = {}
-    article: dict[tuple, bool] = {}
-    for path, label in flat:
-        up = path[:-1]
-        inside = bool(path) and article[up]
-        article[path] = inside or label.split(".")[0] in ("article", "main")
-        boiler[path] = bool(path) and boiler[up] or _boiler(label, inside)
+def _judged(tree: Tree) -> list[bool]:
+    boiler: list[bool] = []
+    article: list[bool] = []
+    for label, up in zip(tree.labels, tree.parent):
+        inside = up >= 0 and article[up]
+        article.append(inside or label.split(".")[0] in ("article", "main"))
+        boiler.append(up >= 0 and boiler[up] or _boiler(label, inside))
     return boiler
 
 
-def content_root(exemplar: list, varying: dict[int, int]) -> tuple[int, int]:
+def content_root(flat: list, varying: dict[int, int]) -> tuple[int, int]:
     """First node of the host's content root and the first one after it, by the exemplar's numbers.
 
     ``varying``: characters outside links at each node, without texts that stay constant.
     """
-    flat = _flat(exemplar)
-    boiler = _judged(flat)
-    free = {p: varying.get(k, 0) for k, (p, _) in enumerate(flat) if not boiler[p]}
-    weight = {p: sum(n for s, n in free.items() if s[: len(p)] == p) for p, _ in flat}
-    named = [p for tag in ("article", "main") for p, l in flat if l.split(".")[0] == tag and not boiler[p]]
+    tree = tree_of(flat)
+    boiler = _judged(tree)
+    weight = [0 if b else varying.get(k, 0) for k, b in enumerate(boiler)]
+    depth = [0] * len(boiler)
+    for k, up in enumerate(tree.parent):
+        depth[k] = depth[up] + 1 if up >= 0 else 0
+    for k in range(len(weight) - 1, 0, -1):
+        weight[tree.parent[k]] += weight[k]
+    tags = [l.split(".")[0] for l in tree.labels]
+    named = [k for tag in ("article", "main") for k, t in enumerate(tags) if t == tag and not boiler[k]]
     if named:
-        root = max(named, key=lambda p: (weight[p], -len(p)))
+        root = max(named, key=lambda k: (weight[k], -depth[k]))
     else:
-        root = ()
-        while inner := [p for p, _ in flat if p[:-1] == root and p and weight[root] and weight[p] >= MOST * weight[root]]:
+        root = 0
+        while inner := [c for c in tree.children[root] if weight[root] and weight[c] >= MOST * weight[root]]:
             root = inner[0]
-    inside = [k for k, (p, _) in enumerate(flat) if p[: len(root)] == root]
-    return inside[0], inside[-1] + 1
+    return root, tree.end[root]
 
 
 SAME = "array<struct<node: int, texts: array<bigint>>>"

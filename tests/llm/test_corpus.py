@@ -222,5 +222,5 @@ def test_pipeline_stages(spark, extra):
 
 
 def test_every_operator_is_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)} | {"pipeline"}
     assert set(SQL) <= set(QUERIES)
