@@ -221,6 +221,25 @@ def test_pipeline_stages(spark, extra):
         assert docs.select("doc_id").distinct().count() == docs.count()
 
 
+def test_chat_copies_null_conversations_and_whole_texts(spark):
+    call = json.dumps({"tool_calls": [{"id": "a", "name": "f", "arguments": {}}]})
+    result = json.dumps({"tool_call_id": "a", "content": "ra"})
+    kept = ['{"temperature":20}', '{"tool_call_id":"z","result":{"k":1}}', '{"tool_call_id":"z","content":"c","more":1}']
+    rows = [(1, 0, "assistant", call)] * 2 + [(1, 1, "tool", result)]
+    rows += [(None, 0, "assistant", call), (None, 0, "assistant", call), (None, 1, "tool", result), (0, 0, "tool", result)]
+    rows += [(2, k, "tool", t) for k, t in enumerate(kept)] + [(2, 9, "assistant", '{"content":"x","answer":5}')]
+    talks = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat.format_chats(talks, chat.no_schemas(spark)).collect()
+    by_id = {r.conv_id: r for r in got if r.conv_id is not None}
+    assert (by_id[1].n_messages, by_id[1].n_calls, by_id[1].n_linked, by_id[1].n_orphans) == (3, 2, 2, 0)
+    messages = json.loads(by_id[1].chat)["messages"]
+    assert [len(m.get("tool_calls", [])) for m in messages] == [1, 1, 0] and messages[2]["content"] == "ra"
+    assert (by_id[0].n_orphans, by_id[0].n_linked) == (1, 0)
+    lone = sorted((r.n_messages, r.n_calls, r.n_linked, r.n_orphans) for r in got if r.conv_id is None)
+    assert lone == [(1, 0, 0, 1), (2, 2, 0, 0)]
+    assert [m["content"] for m in json.loads(by_id[2].chat)["messages"]] == [*kept, '{"content":"x","answer":5}']
+
+
 def test_every_operator_is_registered():
     assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)} | {"pipeline"}
     assert set(SQL) <= set(QUERIES)
