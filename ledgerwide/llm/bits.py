@@ -26,3 +26,20 @@ def held(field: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which unsigned hashes may be in the set."""
     low = hashes & np.uint64(64 * len(field) - 1)
     return (field[low >> np.uint64(6)] >> (low & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def packed(field: np.ndarray) -> tuple[int, np.ndarray | None, np.ndarray]:
+    """A field as it is broadcast: only its words that are not zero, while those are few."""
+    at = np.flatnonzero(field)
+    if 2 * len(at) < len(field):
+        return len(field), at.astype(np.int32), field[at]
+    return len(field), None, field
+
+
+def opened(value: tuple[int, np.ndarray | None, np.ndarray]) -> np.ndarray:
+    words, at, held_words = value
+    if at is None:
+        return held_words
+    field = np.zeros(words, np.uint64)
+    field[at] = held_words
+    return field

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerwide.llm.bits import field_of, held
+from ledgerwide.llm.bits import field_of, held, opened, packed
 from ledgerwide.llm.components import connected_components
 from ledgerwide.llm.tables import discard, stored
 from ledgerwide.llm.words import mix, shingle_set, split_words, text_slices
@@ -217,12 +217,13 @@ def _buckets(spark: SparkSession, classes: DataFrame, names: list[str]) -> DataF
 
     signs = classes.select("node", *names)
     counted = signs.mapInArrow(every, "key long").groupBy("key").agg(F.count("*").alias("n"))
-    shared = spark.sparkContext.broadcast(field_of(counted.where("n > 1"), "key", FILTER_BITS))
+    shared = spark.sparkContext.broadcast(packed(field_of(counted.where("n > 1"), "key", FILTER_BITS)))
 
     def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        field = opened(shared.value)
         for batch in text_slices(batches, 4096):
             keys = _keys(batch)
-            row, at = np.nonzero(held(shared.value, keys))
+            row, at = np.nonzero(held(field, keys))
             nodes = batch.column(0).to_numpy(zero_copy_only=False)[row]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys[row, at].view(np.int64)), pa.array(at.astype(np.int32)), pa.array(nodes)],
@@ -442,7 +443,7 @@ def _classed(docs: DataFrame, shingle: int, contested=None) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        field = contested.value
+        field = opened(contested.value)
         for batch in text_slices(batches):
             words = split_words(batch.column(0).flatten()[at].cast(pa.string()))
             sets = [shingle_set(words.row(r), shingle) for r in range(batch.num_rows)]
@@ -470,7 +471,7 @@ def keep_one(spark: SparkSession, docs: DataFrame, shingle: int = 5, similarity:
     rows = ids.where("cls is not null").groupBy("cls").agg(F.count("*").alias("n"))
     many = tops.join(rows, "cls").groupBy("root").agg(F.sum("n").alias("rows")).where("rows > 1")
     tops = stored(spark, tops.join(many.select("root"), "root", "left_semi"), "components")
-    contested = spark.sparkContext.broadcast(field_of(tops, "cls", FILTER_BITS))
+    contested = spark.sparkContext.broadcast(packed(field_of(tops, "cls", FILTER_BITS)))
     every = _classed(docs, shingle, contested)
     alone = every.where("not open").select("row")
     # A row that passed the field by chance meets no component and stays as well.
