@@ -148,7 +148,7 @@ def encode(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
             mine["bpe"] = WordBpe(mine["source"])
             mine["store"] = ChunkStore(mine["bpe"].encode_chunks)
         for batch in text_slices(batches, 256):
-            ids = [b"".join(parts) for parts in mine["store"].of_texts(batch.column(1).to_pylist())]
+            ids = list(mine["store"].of_texts(batch.column(1).to_pylist()))
             texts = list(map(mine["bpe"].decode, ids))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(ids, pa.binary()), pa.array(texts, pa.string())],

@@ -1,16 +1,18 @@
 """White-space chunks of a text, encoded once each and joined.
 
 No token of a word vocabulary spans white space, so a text's ids are those of its chunks in
-order. A worker keeps what it has encoded; the store is emptied when it is full.
+order. A worker keeps what it has encoded, up to a bound in bytes; what was used lately stays.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-KEPT = 600_000  # chunks a worker remembers, and two and a half times as many words
+KEPT_BYTES = 48 << 20  # that the chunks a worker remembers may take, and again their words
+ENTRY_BYTES = 200  # of an entry beside its characters: two objects and a place in a table
+GROUP = 1 << 20  # characters that are split at once
 
 #: The characters that the vocabulary's splitting pattern counts as white space.
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -32,6 +34,50 @@ def _stays_letters(word: str) -> bool:
     return unicodedata.is_normalized("NFC", word) and word.lower().isalpha()
 
 
+class Recent:
+    """Keys and bytes in two tables; when the younger is full it replaces the older.
+
+    Each holds at most half of ``limit`` and one group's entries; what is asked for again
+    moves to the younger one.
+    """
+
+    def __init__(self, limit: int) -> None:
+        self.half = limit // 2
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.size = 0
+
+    def take(self, keys: set[str]) -> tuple[dict[str, bytes], set[str]]:
+        """Values of the keys that are held, and the keys that are not."""
+        found = {k: self.young[k] for k in keys & self.young.keys()}
+        rest = keys - found.keys()
+        again = {k: self.old[k] for k in rest & self.old.keys()}
+        self.put(again)
+        found.update(again)
+        return found, rest - again.keys()
+
+    def put(self, entries: dict[str, bytes]) -> None:
+        if self.size > self.half:
+            self.old, self.young, self.size = self.young, {}, 0
+        self.young.update(entries)
+        self.size += sum(map(len, entries)) + sum(map(len, entries.values())) + ENTRY_BYTES * len(entries)
+
+
+_BLANK = re.compile(f"[{SPACE}]")
+
+
+def _pieces(text: str) -> Iterator[str]:
+    """``text`` in pieces of about ``GROUP`` characters, cut at white space."""
+    at = 0
+    while len(text) - at > GROUP:
+        blank = _BLANK.search(text, at + GROUP)
+        if blank is None:
+            break
+        yield text[at : blank.start()]
+        at = blank.start()
+    yield text[at:]
+
+
 class ChunkStore:
     """Ids of chunks as bytes; ``encode`` makes those of many new ones at once.
 
@@ -39,34 +85,56 @@ class ChunkStore:
     word serves wherever it stands in a sentence.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]) -> None:
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = KEPT_BYTES) -> None:
         self.encode = encode
-        self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
-
-    def of_texts(self, texts: list[str | None]) -> list[list[bytes]]:
-        """For every text the ids of its chunks; null counts as empty."""
-        split = [chunks_of(t) if t else [] for t in texts]
-        if len(self.known) > KEPT:
-            self.known.clear()
-        missing = {c for chunks in split for c in chunks if c not in self.known}
+        self.known = Recent(limit)
+        self.parts = Recent(limit)
+
+    def of_texts(self, texts: list[str | None]) -> Iterator[bytes]:
+        """The ids of every text in order; null counts as empty."""
+        group: list[str] = []
+        size = 0
+        for text in texts:
+            text = text or ""
+            if size + len(text) > GROUP:
+                yield from self._of_group(group)
+                group, size = [], 0
+            if len(text) > GROUP:
+                yield b"".join(ids for piece in _pieces(text) for ids in self._of_group([piece]))
+            else:
+                group.append(text)
+                size += len(text)
+        yield from self._of_group(group)
+
+    def _of_group(self, texts: list[str]) -> list[bytes]:
+        split = [chunks_of(t) for t in texts]
+        ids, missing = self.known.take(set().union(*split))
         if missing:
-            self._learn(missing)
-        get = self.known.__getitem__
-        return [list(map(get, chunks)) for chunks in split]
+            new = self._learn(missing)
+            self.known.put(new)
+            ids.update(new)
+        get = ids.__getitem__
+        return [b"".join(map(get, chunks)) for chunks in split]
 
-    def _learn(self, chunks: set[str]) -> None:
-        if len(self.parts) > 2.5 * KEPT:
-            self.parts = {"": b""}
+    def _learn(self, chunks: set[str]) -> dict[str, bytes]:
         cut = []
         for chunk in chunks:
             word = chunk.rstrip(SIGNS)
-            if word.isalpha() and (word.isascii() or _stays_letters(word)):
-                cut.append((chunk, word.lower() if word.isascii() else word, chunk[len(word) :]))
-            else:
-                cut.append((chunk, chunk, ""))
-        new = list({p for _, word, signs in cut for p in (word, signs) if p not in self.parts})
-        if new:
-            self.parts.update(zip(new, self.encode(new)))
-        parts = self.parts
-        self.known.update((chunk, parts[word] + parts[signs]) for chunk, word, signs in cut)
+            if word.isascii():
+                if word.isalpha():
+                    cut.append((chunk, word.lower(), chunk[len(word) :]))
+                    continue
+            elif word.isalpha() and _stays_letters(word):
+                cut.append((chunk, word, chunk[len(word) :]))
+                continue
+            cut.append((chunk, chunk, ""))
+        wanted = {word for _, word, _ in cut} | {signs for _, _, signs in cut}
+        wanted.discard("")
+        parts, missing = self.parts.take(wanted)
+        if missing:
+            names = list(missing)
+            new = dict(zip(names, self.encode(names)))
+            self.parts.put(new)
+            parts.update(new)
+        parts[""] = b""
+        return {chunk: parts[word] + parts[signs] for chunk, word, signs in cut}

@@ -15,11 +15,11 @@ executors leave files that nothing names.
 from __future__ import annotations
 
 import json
-import sys
+import os
 import uuid
-from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,9 @@ from ledgerwide.llm.words import mix, text_slices
 MAGIC = b"LWIDS001"
 SPREAD = 2  # bits a level has for each key left
 PRINT_SEED = np.uint64(0xA0761D6478BD642F)
+SKETCH = 200, 4096  # least and greatest width of the sketch that bounds the shards
+JOINED = 256  # words of letters that the library encodes as one text
+ENCODED = "part int, doc_id long, order long, ids binary"
 MANIFEST = "part int, file string, docs long, ids long, width int, low long, high long"
 
 
@@ -47,6 +50,12 @@ def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.LocalFileSystem(), uri
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder's full name: one without a scheme lies on Hadoop's default file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def _at_level(keys: np.ndarray, level: int, size: int) -> np.ndarray:
     seed = mix(np.array([level + 1], np.uint64))
     return (mix(keys ^ seed) % np.uint64(size)).astype(np.int64)
@@ -173,6 +182,77 @@ def _write_shard(system, path: str, width: int, keys, valid, starts, ids_stream)
         out.write(text + len(text).to_bytes(8, "little") + MAGIC)
 
 
+def _library_encoder(source: str, width: int) -> Callable[[list[str]], list[bytes]]:
+    """Ids of many parts at once, by the tokenizers library.
+
+    Words of letters are encoded side by side in one text: each ends with a token that closes
+    a word, so the ids part there. Where a text's closing tokens are not as many as its words,
+    its words are encoded one by one, as are all other parts.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_str(source)
+    library.no_truncation()
+    library.no_padding()
+    suffix = json.loads(source)["model"].get("end_of_word_suffix")
+    vocabulary = library.get_vocab(True)
+    closes = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+    if suffix:
+        closes[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+    kind = np.dtype(f"<u{width}")
+
+    def encode(parts: list[str]) -> list[bytes]:
+        out: dict[str, bytes] = {}
+        words = [p for p in parts if p.isalpha()] if suffix else []
+        groups = [words[at : at + JOINED] for at in range(0, len(words), JOINED)]
+        texts = library.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
+        for group, text in zip(groups, texts):
+            ids = np.array(text.ids, np.int64)
+            cuts = (np.flatnonzero(closes[ids]) + 1) * width
+            if len(cuts) == len(group) and cuts[-1] == len(ids) * width:
+                body, cuts = ids.astype(kind).tobytes(), cuts.tolist()
+                out.update(zip(group, (body[a:b] for a, b in zip([0, *cuts], cuts))))
+        rest = [p for p in parts if p not in out]
+        texts = library.encode_batch_fast(rest, add_special_tokens=False)
+        out.update((p, np.array(text.ids, kind).tobytes()) for p, text in zip(rest, texts))
+        return [out[p] for p in parts]
+
+    return encode
+
+
+def _shard_bounds(rows: DataFrame, shards: int) -> tuple[int, np.ndarray]:
+    """How many shards hold rows without a key, and the sorted key bounds between the others.
+
+    The bounds are quantiles of one mergeable sketch over the keys alone; they only decide how
+    evenly rows are dealt. A key that holds several shards' share is several bounds.
+    """
+    width = min(max(SKETCH[0], 4 * shards), SKETCH[1])
+    sketch = F.kll_sketch_agg_bigint("doc_id", F.lit(width))
+    seen = rows.agg(F.count("*").alias("n"), F.count("doc_id").alias("keyed"), sketch.alias("sketch")).first()
+    unkeyed = -(-shards * (seen["n"] - seen["keyed"]) // max(seen["n"], 1))
+    keyed = max(shards - unkeyed, 1)
+    if keyed == 1 or not seen["keyed"]:
+        return unkeyed, np.zeros(0, np.int64)
+    ranks = F.array(*[F.lit(i / keyed) for i in range(1, keyed)])
+    one = rows.sparkSession.createDataFrame([(seen["sketch"],)], "sketch binary")
+    found = one.select(F.kll_sketch_get_quantile_bigint("sketch", ranks).alias("at")).first()["at"]
+    return unkeyed, np.sort(np.array(found, np.int64))
+
+
+SIGN = np.uint64(1 << 63)  # turns the order of unsigned numbers into that of signed ones
+
+
+def _part_of(keys: pa.Array, order: np.ndarray, unkeyed: int, bounds: np.ndarray) -> np.ndarray:
+    """Shard of each row: by key, and by ``order`` where a key may lie in several."""
+    values = keys.fill_null(0).to_numpy()
+    known = keys.is_valid().to_numpy(zero_copy_only=False)
+    first = np.where(known, unkeyed + np.searchsorted(bounds, values, "left"), 0)
+    last = np.where(known, unkeyed + np.searchsorted(bounds, values, "right"), max(unkeyed - 1, 0))
+    share = (order >> np.uint64(32)).astype(np.int64)
+    return (first + (share * (last - first + 1) >> 32)).astype(np.int32)
+
+
 def write_tokens(
     spark: SparkSession, docs: DataFrame, folder: str, tokenizer: str, end_id: int, shards: int | None = None
 ) -> DataFrame:
@@ -181,8 +261,10 @@ def write_tokens(
     ``tokenizer`` is a vocabulary file of the tokenizers library, read on the driver and of
     fixed size; ``end_id`` closes every document. Null and empty texts hold the end alone.
     Null doc_ids come first and are found by position only, as they are no keys. Rows that
-    repeat a doc_id lie together, ordered by text, and one key finds all of them. No rows
-    give one empty manifest. Other columns of ``docs`` are not read.
+    repeat a doc_id lie together, ordered by a digest of their ids, and one key finds all of
+    them; a doc_id with more rows than a shard's share is dealt over several shards by that
+    digest. No rows give one empty manifest. Other columns of ``docs`` are not read. Texts are
+    encoded where they lie, and only their ids are moved and sorted.
     """
     from tokenizers import Tokenizer
 
@@ -191,43 +273,44 @@ def write_tokens(
     width = 2 if max(Tokenizer.from_str(source).get_vocab_size(True) - 1, end_id) < 1 << 16 else 4
     state = spark.sparkContext.broadcast({"source": source})
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    kind, code = f"<u{width}", "H" if width == 2 else "I"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
+    folder = qualified(spark, folder)
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    unkeyed, bounds = _shard_bounds(rows, shards)
+    parts = unkeyed + len(bounds) + 1
+    end = np.array([end_id], f"<u{width}").tobytes()
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        mine = state.value
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine = state.value  # one object in a worker, so what it has encoded stays known
         if "store" not in mine:
-            library = Tokenizer.from_str(mine["source"])
-            library.no_truncation()
-            library.no_padding()
-
-            def encode(chunks: list[str]) -> list[bytes]:
-                found = library.encode_batch_fast(chunks, add_special_tokens=False)
-                ids = [array(code, e.ids) for e in found]
-                for values in ids if sys.byteorder == "big" else ():
-                    values.byteswap()
-                return [values.tobytes() for values in ids]
-
-            mine["store"] = ChunkStore(encode)
-        end = np.array([end_id], kind).tobytes()
+            mine["store"] = ChunkStore(_library_encoder(mine["source"], width))
+        for batch in text_slices(batches, 256):
+            ids = [body + end for body in mine["store"].of_texts(batch.column(1).to_pylist())]
+            order = np.frombuffer(b"".join(blake2b(body, digest_size=8).digest() for body in ids), "<u8")
+            keys = batch.column(0)
+            part = _part_of(keys, order, unkeyed, bounds)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part), keys, pa.array((order ^ SIGN).view(np.int64)), pa.array(ids, pa.binary())],
+                ["part", "doc_id", "order", "ids"],
+            )
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, valid, counts = [], [], []
+        part = [-1]
 
         def blocks() -> Iterator[bytes]:
-            for batch in text_slices(batches, 256):
-                ids = [b"".join(p) + end for p in mine["store"].of_texts(batch.column(1).to_pylist())]
-                counts.append(np.fromiter(map(len, ids), np.int64, len(ids)) // width)
-                column = batch.column(0)
+            for batch in text_slices(batches, 512):
+                if part[0] < 0:
+                    part[0] = batch.column(0)[0].as_py()
+                column, ids = batch.column(1), batch.column(3).to_pylist()
                 valid.append(column.is_valid().to_numpy(zero_copy_only=False))
                 keys.append(column.fill_null(0).to_numpy())
+                counts.append(np.fromiter(map(len, ids), np.int64, len(ids)) // width)
                 yield b"".join(ids)
 
         def joined(parts: list, dtype) -> np.ndarray:
             return np.concatenate(parts) if parts else np.zeros(0, dtype)
 
-        part = TaskContext.get().partitionId()
-        name = f"shard-{part:05d}-{uuid.uuid4().hex}.ids"
+        name = f"shard-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}.ids"
         system, root = open_folder(folder)
         system.create_dir(root, recursive=True)
         _write_shard(
@@ -241,7 +324,7 @@ def write_tokens(
         )
         ids, ok = joined(keys, np.int64), joined(valid, bool)
         known = ids[ok]
-        line = [part, name, len(ids), int(joined(counts, np.int64).sum()), width]
+        line = [part[0], name, len(ids), int(joined(counts, np.int64).sum()), width]
         line += [int(known[0]), int(known[-1])] if len(known) else [None, None]
         schema = pa.schema(
             [("part", pa.int32()), ("file", pa.string()), ("docs", pa.int64()), ("ids", pa.int64())]
@@ -249,9 +332,9 @@ def write_tokens(
         )
         yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(line, schema)], schema=schema)
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    ordered = rows.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
-    return stored(spark, ordered.mapInArrow(run, MANIFEST), "token-manifest")
+    dealt = rows.mapInArrow(encoded, ENCODED).repartitionById(parts, F.col("part"))
+    ordered = dealt.sortWithinPartitions("part", "doc_id", "order", "ids")
+    return stored(spark, ordered.mapInArrow(write, MANIFEST), "token-manifest")
 
 
 def _bases(manifest: DataFrame) -> list[tuple]:
@@ -268,6 +351,7 @@ def read_tokens(spark: SparkSession, manifest: DataFrame, folder: str) -> DataFr
 
     start counts the ids of all documents before it; ids are little-endian unsigned 32-bit.
     """
+    folder = qualified(spark, folder)
     lines = [line[:3] for line in _bases(manifest)]
     tasks = spark.createDataFrame(lines, "part int, file string, base long")
     tasks = tasks.repartition(max(1, len(lines)), "part")
@@ -304,24 +388,30 @@ def _documents(shard: Shard, base: int, block: int = 512) -> Iterator[pa.RecordB
         )
 
 
+def _between(first: np.ndarray, last: np.ndarray) -> list[int]:
+    """Every number that lies in one of the closed spans."""
+    return sorted({s for a, b in set(zip(first.tolist(), last.tolist())) for s in range(a, b + 1)})
+
+
 def lookup(spark: SparkSession, manifest: DataFrame, folder: str, keys: DataFrame) -> DataFrame:
     """doc_id, start, ids for every row of ``keys`` (doc_id) that is a stored document's key.
 
     The shard follows from the manifest's key ranges, a document from its shard's index.
     Null and unknown keys give no row; a repeated key gives its documents again.
     """
-    lines = _bases(manifest)
-    held = [line for line in lines if line[3] is not None]
+    folder = qualified(spark, folder)
+    held = [line for line in _bases(manifest) if line[3] is not None]
     lows = np.array([line[3] for line in held], np.int64)
+    highs = np.array([line[4] for line in held], np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = open_folder(folder)
         for batch in batches:
             wanted = batch.column(0).drop_null().to_numpy()
-            shard_of = np.searchsorted(lows, wanted, "right") - 1
-            for s in np.unique(shard_of[shard_of >= 0]).tolist():
+            since, last = np.searchsorted(highs, wanted, "left"), np.searchsorted(lows, wanted, "right") - 1
+            for s in _between(since, last):
                 shard = Shard.open(system, f"{root}/{held[s][1]}")
-                mine = wanted[shard_of == s]
+                mine = wanted[(since <= s) & (s <= last)]
                 first, count = shard.rows_of(mine)
                 rows = [r for f, c in zip(first.tolist(), count.tolist()) for r in range(f, f + c)]
                 starts = [int(shard.arrays["starts"][r]) + held[s][2] for r in rows]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import zlib
+from hashlib import blake2b
 
 import numpy as np
 import public_tokenizers
@@ -36,8 +37,7 @@ def odd_texts(n=800):
 def test_ids_and_decoding_equal_the_library(library):
     own = bpe.WordBpe(open(PATH).read())
     texts = odd_texts()
-    for text, parts in zip(texts, ChunkStore(own.encode_chunks).of_texts(texts)):
-        ids = b"".join(parts)
+    for text, ids in zip(texts, ChunkStore(own.encode_chunks).of_texts(texts)):
         want = library.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(ids, "<u4").tolist() == want, text
         assert own.decode(ids) == library.decode(want, skip_special_tokens=False)
@@ -62,8 +62,9 @@ def test_files_give_back_every_document(spark, library):
     manifest = token_files.write_tokens(spark, docs, folder, PATH, 2, shards=3)
     got = token_files.digests(token_files.read_tokens(spark, manifest, folder)).collect()
     start, want = 0, []
-    for d, t in sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0, x[1] is not None, x[1] or "")):
-        ids = library.encode(t or "", add_special_tokens=False).ids + [2]
+    encoded = [(d, library.encode(t or "", add_special_tokens=False).ids + [2]) for d, t in rows]
+    digest = lambda ids: blake2b(np.array(ids, "<u2").tobytes(), digest_size=8).digest()[::-1]
+    for d, ids in sorted(encoded, key=lambda x: (x[0] is not None, x[0] or 0, digest(x[1]))):
         want.append((d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert sorted(map(tuple, got), key=lambda r: r[1]) == want
@@ -80,6 +81,33 @@ def test_no_documents(spark):
     assert bpe.encode(spark, docs, PATH).collect() == []
 
 
+def test_one_key_and_null_keys_over_several_shards(spark, library):
+    rows = [(5, f"hot {i}") for i in range(300)] + [(None, f"none {i}") for i in range(200)]
+    rows += [(i, f"own {i}") for i in range(300)] + [(5, "hot 7")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    folder = scratch_path(spark, "ids")
+    manifest = token_files.write_tokens(spark, docs, folder, PATH, 2, shards=8).orderBy("part").collect()
+    assert max(m.docs for m in manifest) < 250 and sum(m.docs for m in manifest) == len(rows)
+    assert sum(m.low == 5 or m.high == 5 for m in manifest) > 2
+    table = spark.createDataFrame(manifest, token_files.MANIFEST)
+    got = token_files.read_tokens(spark, table, folder).orderBy("start").collect()
+    assert [r.doc_id for r in got] == sorted((d for d, _ in rows), key=lambda d: (d is not None, d or 0))
+    want = [np.array(library.encode(t, add_special_tokens=False).ids + [2], "<u4").tobytes() for _, t in rows]
+    assert sorted(bytes(r.ids) for r in got) == sorted(want)
+    keys = spark.createDataFrame([(5,), (299,)], "doc_id long")
+    found = token_files.lookup(spark, table, folder, keys).collect()
+    assert sorted((r.doc_id, r.start) for r in found) == sorted((r.doc_id, r.start) for r in got if r.doc_id in (5, 299))
+
+
+def test_words_side_by_side_and_a_small_store(library):
+    source = open(PATH, encoding="utf-8").read()
+    store = ChunkStore(token_files._library_encoder(source, 2), limit=20_000)
+    texts = odd_texts(1500) + ["x" * 40 + " " + "many words in one text " * 60_000, None]
+    for text, ids in zip(texts, store.of_texts(texts), strict=True):
+        assert np.frombuffer(ids, "<u2").tolist() == library.encode(text or "", add_special_tokens=False).ids
+    assert store.known.size < 20_000 or len(store.known.young) < 5_000
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 50_000])
 def test_perfect_hash_is_minimal(n):
     keys = np.random.default_rng(n).choice(1 << 40, n, replace=False).astype(np.uint64)
