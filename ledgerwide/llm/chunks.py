@@ -10,7 +10,7 @@ import re
 import unicodedata
 from collections.abc import Callable, Iterator
 
-KEPT_BYTES = 48 << 20  # that the chunks a worker remembers may take, and again their words
+KEPT_BYTES = 96 << 20  # that the chunks a worker remembers may take, and again their words
 ENTRY_BYTES = 200  # of an entry beside its characters: two objects and a place in a table
 GROUP = 1 << 20  # characters that are split at once
 
@@ -49,12 +49,14 @@ class Recent:
 
     def take(self, keys: set[str]) -> tuple[dict[str, bytes], set[str]]:
         """Values of the keys that are held, and the keys that are not."""
-        found = {k: self.young[k] for k in keys & self.young.keys()}
-        rest = keys - found.keys()
-        again = {k: self.old[k] for k in rest & self.old.keys()}
+        found = dict(zip(keys, map(self.young.get, keys)))
+        rest = [k for k, value in found.items() if value is None]
+        if not rest:
+            return found, set()
+        again = {k: value for k in rest if (value := self.old.get(k)) is not None}
         self.put(again)
         found.update(again)
-        return found, rest - again.keys()
+        return found, {k for k in rest if k not in again}
 
     def put(self, entries: dict[str, bytes]) -> None:
         if self.size > self.half:
@@ -128,7 +130,8 @@ class ChunkStore:
                 cut.append((chunk, word, chunk[len(word) :]))
                 continue
             cut.append((chunk, chunk, ""))
-        wanted = {word for _, word, _ in cut} | {signs for _, _, signs in cut}
+        wanted = {word for _, word, _ in cut}
+        wanted.update({signs for _, _, signs in cut})
         wanted.discard("")
         parts, missing = self.parts.take(wanted)
         if missing:
