@@ -68,3 +68,19 @@ def test_exact_median(rows):
     frame = rows("v double", *((v,) for v in (3.4, 3.5, -1.2, 9.9)))
     assert frame.agg(benchmarks.exact_median("v")).first()[0] == 3.5
     assert frame.where("v > 99").agg(benchmarks.exact_median("v")).first()[0] is None
+
+
+@pytest.mark.parametrize("share", [0.0, 0.25, 0.5, 0.9, 1.0])
+def test_quantile_of_any_spread_equals_the_counting_one(spark, share):
+    n = F.col("id")
+    wide = F.when(n % 3 == 0, F.lit(7.0)).otherwise((F.xxhash64(n) % 10**9) / 10)  # a third share one value
+    table = spark.range(60_000).select(
+        F.when(n % 5 > 0, F.lit("hot")).otherwise((n % 7).cast("string")).alias("sector"),
+        F.when(n % 11 > 0, wide).alias("margin"),
+    )
+    few = [(None, 1.5), (None, 2.0), ("one", 3.0), ("none", None), ("none", None)]
+    table = table.union(spark.createDataFrame(few, table.schema))
+    want = table.groupBy("sector").agg(benchmarks.exact_quantile("margin", share).alias("quantile"))
+    got = benchmarks.quantile_of_any_spread(table, ["sector"], "margin", share)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert benchmarks.quantile_of_any_spread(table.limit(0), ["sector"], "margin", share).collect() == []

@@ -354,6 +354,9 @@ SQL["A7_sector_benchmarks"] = f"""
            {total('is_deficit')} AS deficit_trusts,
            {pct('COALESCE(SUM(pay_000s), 0)', 'SUM(total_income_000s)')} AS sector_pay_pct
     FROM enriched WHERE sector IS NOT NULL GROUP BY financial_year, sector"""
+SQL["A7b_median_of_any_spread"] = """
+    SELECT financial_year, sector, quantile_cont(total_income_000s, 0.5) AS median_income_000s
+    FROM enriched GROUP BY financial_year, sector"""
 SQL["A8_benchmark_export"] = BENCHMARK_EXPORT
 SQL["A9_global_aggregate"] = f"""
     SELECT COUNT(*) AS fact_rows, {total('total_000s')} AS total_000s, MIN(financial_year) AS first_year,

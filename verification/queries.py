@@ -782,6 +782,13 @@ def _(t: Inputs) -> DataFrame:
     return benchmarks.sector_benchmarks(t.enriched)
 
 
+@query("A7b_median_of_any_spread")
+def _(t: Inputs) -> DataFrame:
+    return benchmarks.quantile_of_any_spread(
+        t.enriched, ["financial_year", "sector"], "total_income_000s", 0.5, 0, "median_income_000s"
+    )
+
+
 @query("A8_benchmark_export")
 def _(t: Inputs) -> DataFrame:
     return benchmarks.benchmark_export(t.kpis)
