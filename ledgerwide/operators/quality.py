@@ -19,7 +19,7 @@ from ledgerwide import reference_data as ref
 from ledgerwide.functions import numeric as num
 from ledgerwide.functions import text
 from ledgerwide.operators.resolve import orphan_count, unmatched_names
-from ledgerwide.schemas import FACT_KEY
+from ledgerwide.schemas import FACT_KEY, ORG_YEAR
 
 CRITICAL, WARNING = "CRITICAL", "WARNING"
 REPORT_SCHEMA = "check_name string, severity string, passed boolean, detail string, run_ts string"
@@ -108,25 +108,45 @@ def assert_loadable(staged: DataFrame, providers: DataFrame) -> dict[str, int]:
 # --- after a load ----------------------------------------------------------------
 
 
-def fact_checks(fact: DataFrame, expect: Expectations, with_keys: bool = False) -> DataFrame:
-    """Row count, year coverage and blank codes from one pass over the fact.
+def fact_state(fact: DataFrame, *more: str) -> DataFrame:
+    """Rows and repeated keys of every organisation-year: all that the checks of a fact ask of it.
 
-    ``with_keys`` adds the duplicate-key check to the same pass: rows are first counted
-    per key, and the other checks are weighted by those counts.
+    A key lies in one organisation-year, so states of disjoint organisation-years add up to
+    the state of the whole. ``more`` names further columns that are constant in one.
     """
+    per_key = fact.groupBy(*FACT_KEY, *more).agg(F.count("*").alias("copies"))
+    return per_key.groupBy(*ORG_YEAR, *more).agg(
+        F.sum("copies").alias("n_rows"), num.count_if(F.col("copies") > 1).alias("n_repeated")
+    )
+
+
+def fact_checks(fact: DataFrame, expect: Expectations) -> DataFrame:
+    """Row count, year coverage and blank codes from one pass over the fact."""
+    return _state_checks(fact.select(*ORG_YEAR, F.lit(1).alias("n_rows")), expect)
+
+
+def state_checks(state: DataFrame, trusts: DataFrame, expect: Expectations) -> DataFrame:
+    """All checks of the fact from its ``fact_state``: repeated keys and orphans too."""
+    known = trusts.select("org_code", F.lit(True).alias("_known")).dropDuplicates(["org_code"])
+    lone = F.count_distinct(F.when(F.col("_known").isNull(), F.col("org_code")))
+    more = [F.coalesce(F.sum("n_repeated"), F.lit(0)).alias("repeated"), lone.alias("orphans")]
+    return _state_checks(state.join(known, "org_code", "left"), expect, more, [_duplicate_row("repeated"), _orphan_row()])
+
+
+def _state_checks(
+    state: DataFrame, expect: Expectations, more: Sequence[Column] = (), also: Sequence[Check] = ()
+) -> DataFrame:
     year = F.col("financial_year")
     blank = F.col("org_code").isNull() | (F.trim("org_code") == "")
-    counted = _copies(fact) if with_keys else fact.withColumn("copies", F.lit(1))
-    copies = F.col("copies")
 
     def rows_where(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, copies)), F.lit(0))
+        return F.coalesce(F.sum(F.when(condition, F.col("n_rows"))), F.lit(0))
 
-    summary = counted.agg(
+    summary = state.agg(
         rows_where(F.lit(True)).alias("n"),
         rows_where(blank).alias("blank"),
-        num.count_if(copies > 1).alias("repeated"),
         *(num.count_if(year == y).alias(f"y{i}") for i, y in enumerate(expect.years)),
+        *more,
     )
     checks: list[Check] = [
         (
@@ -154,9 +174,7 @@ def fact_checks(fact: DataFrame, expect: Expectations, with_keys: bool = False)
             _say(F.col("blank"), " rows carry no organisation code"),
         )
     )
-    if with_keys:
-        checks.append(_duplicate_row("repeated"))
-    return _as_rows(summary, checks)
+    return _as_rows(summary, [*checks, *also])
 
 
 def trust_count_check(trusts: DataFrame, expect: Expectations) -> DataFrame:
@@ -197,20 +215,19 @@ def duplicate_check(fact: DataFrame) -> DataFrame:
     return _as_rows(summary, [_duplicate_row("n")])
 
 
-def orphan_check(fact: DataFrame, trusts: DataFrame) -> DataFrame:
-    return _as_rows(
-        orphan_count(fact, trusts),
-        [
-            (
-                "no orphan org_codes in fact",
-                CRITICAL,
-                F.col("orphans") == 0,
-                _say(F.col("orphans"), " codes of the fact lack an organisation"),
-            )
-        ],
+def _orphan_row() -> Check:
+    return (
+        "no orphan org_codes in fact",
+        CRITICAL,
+        F.col("orphans") == 0,
+        _say(F.col("orphans"), " codes of the fact lack an organisation"),
     )
 
 
+def orphan_check(fact: DataFrame, trusts: DataFrame) -> DataFrame:
+    return _as_rows(orphan_count(fact, trusts), [_orphan_row()])
+
+
 def plausibility_checks(base: DataFrame, expect: Expectations) -> DataFrame:
     """Totals, counts, means and balances from one pass over ``gold.measure_base``."""
     this_year = F.col("financial_year") == expect.year
@@ -287,10 +304,16 @@ def plausibility_checks(base: DataFrame, expect: Expectations) -> DataFrame:
 def all_checks(
     fact: DataFrame, trusts: DataFrame, base: DataFrame, expect: Expectations
 ) -> dict[str, Callable[[], DataFrame]]:
+    return checks_of_state(fact_state(fact), trusts, base, expect)
+
+
+def checks_of_state(
+    state: DataFrame, trusts: DataFrame, base: DataFrame, expect: Expectations
+) -> dict[str, Callable[[], DataFrame]]:
+    """All checks from ``fact_state`` and ``gold.measure_base``: one pass over each."""
     return {
-        "fact": lambda: fact_checks(fact, expect, with_keys=True),
+        "fact": lambda: state_checks(state, trusts, expect),
         "trust count": lambda: trust_count_check(trusts, expect),
-        "orphans": lambda: orphan_check(fact, trusts),
         "plausibility": lambda: plausibility_checks(base, expect),
     }
 

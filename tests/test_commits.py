@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerwide import reference_data as ref
-from ledgerwide.plans import gold, load, stored_views
+from ledgerwide.operators import quality
+from ledgerwide.plans import gold, load, stored_checks, stored_views
 from ledgerwide.schemas import STAGED_SCHEMA
 from ledgerwide.sources import commits, landing, staging
 from ledgerwide.streaming.incremental import load_new_files
@@ -244,6 +245,40 @@ def test_stored_views_follow_the_fact_part_by_part(spark, landings):
     assert views_of(spark, tables) == rebuilt(spark, tables)
 
 
+def test_stored_checks_follow_the_fact_part_by_part(spark, landings):
+    folder, rows, lists = landings
+    tables = load.Tables(str(folder / "w"), buckets=4)
+    expect = quality.Expectations(fact_rows_min=1, trusts_min=1, years=["2022/23", "2023/24", "1990/91"])
+
+    def stored():
+        return sorted(map(tuple, quality.check_frame(stored_checks.checks(spark, tables, expect)).collect()))
+
+    def live():
+        fact, trusts = load.fact_table(spark, tables), load.trust_table(spark, tables)
+        base = gold.measure_base(fact, trusts, load.code_table(spark, tables))
+        return sorted(map(tuple, quality.check_frame(quality.all_checks(fact, trusts, base, expect)).collect()))
+
+    assert stored_checks.refresh(spark, tables) == set()
+    load.load(spark, tables, rows, lists)
+    assert len(stored_checks.refresh(spark, tables)) == len(commits.latest(spark, tables.root).partitions("fact"))
+    before = stored()
+    assert before == live() and stored_checks.refresh(spark, tables) == set()
+
+    # Views and checks are refreshed apart from each other.
+    stored_views.refresh(spark, tables)
+    assert stored_checks.refresh(spark, tables) == set() and stored() == before
+
+    # A reload reads the touched part of the fact: all other parts keep the version of their state.
+    other = folder / "other"
+    other.mkdir()
+    load.load(spark, tables, [write(other, FIRST, NEW, statement("Alpha", "CY", 1), statement("Gamma", "CY", 5))], [])
+    held = dict(commits.latest(spark, tables.root).partitions("check_state"))
+    stale = stored_checks.refresh(spark, tables)
+    now = commits.latest(spark, tables.root).partitions("check_state")
+    assert len(stale) == 1 and {p for p in now if now[p] != held.get(p)} == stale
+    assert stored() == live()
+
+
 def bucket(spark, org):
     frame = spark.createDataFrame([(org,)], "org_code string")
     return f"org_bucket={frame.select(load.bucket_of(4)).first()[0]}"

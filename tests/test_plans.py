@@ -7,7 +7,7 @@ import re
 import pytest
 
 from ledgerwide import reference_data as ref
-from ledgerwide.operators import measures
+from ledgerwide.operators import measures, quality
 from ledgerwide.plans import gold, load, trends
 from ledgerwide.schemas import FACT_SCHEMA
 from ledgerwide.sources import derived, staging
@@ -18,6 +18,7 @@ WRITES_OR_RUNS = {
     "S6_load_staging", "S7_export_query", "S8_csv_exports", "S9_validation_report",
     "M4_load_files_twice", "M5_stream_load", "S4b_mixed_headers", "S6b_emptied_scope", "S11b_stored_codes", "S11c_stored_years",
     "M6_stream_late_providers", "M7_load_mixed_headers", "M8_refused_load", "M9_quarantine", "M10_changed_rows", "S8b_export_contents", "V9_stored_views",
+    "D14b_stored_checks",
 }
 
 
@@ -104,3 +105,9 @@ def test_views_are_stored_by_year(spark, stored, trusts, tmp_path):
     assert back.count() == gold.kpis(stored, trusts, ref.code_dimension(spark)).count()
     gold.register_views(stored, trusts, ref.code_dimension(spark))
     assert spark.sql("SELECT count(*) FROM scorecard").first()[0] == back.count()
+
+
+def test_all_checks_scan_the_fact_twice(spark, stored, trusts):
+    base = gold.measure_base(stored, trusts, ref.code_dimension(spark))
+    frame = quality.check_frame(quality.all_checks(stored, trusts, base, quality.Expectations()))
+    assert len(re.findall(r"FileScan parquet [^\n]*sub_code", plan_of(frame))) == 2

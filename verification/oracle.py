@@ -784,6 +784,18 @@ SQL["D14_all_checks"] = " UNION ALL ".join(
     ]
 )
 SQL["S9_validation_report"] = SQL["D14_all_checks"]
+SQL["D14b_stored_checks"] = SQL["D14_all_checks"]
+#: Tables that stand for others in a statement: here the fact and the organisations that a load leaves.
+INSTEAD = {
+    "D14b_stored_checks": {
+        "fact": "SELECT * FROM loaded",
+        "trusts": """
+            SELECT org_code, any_value(organisation_name) AS organisation_name, any_value(trust_type) AS trust_type,
+                   last(sector ORDER BY financial_year) FILTER (sector IS NOT NULL) AS sector,
+                   last(region ORDER BY financial_year) FILTER (region IS NOT NULL) AS region
+            FROM providers GROUP BY org_code""",
+    }
+}
 
 # --- measures ---------------------------------------------------------------------------------------------------
 KEYS = "financial_year, sector"
@@ -985,4 +997,4 @@ SQL["K2_budget_variance"] = f"""
 
 
 def statements() -> dict[str, str]:
-    return {name: with_tables(sql) for name, sql in SQL.items()}
+    return {name: with_tables(sql, INSTEAD.get(name)) for name, sql in SQL.items()}

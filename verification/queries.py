@@ -27,7 +27,7 @@ from ledgerwide.operators import (
     resolve,
     yoy,
 )
-from ledgerwide.plans import checks, exports, gold, load, peers, stored_views, trends
+from ledgerwide.plans import checks, exports, gold, load, peers, stored_checks, stored_views, trends
 from ledgerwide.schemas import ORG_YEAR, STAGED_SCHEMA, VIEW_KEY
 from ledgerwide.session import scratch_path
 from ledgerwide.sources import catalog, derived, landing, sinks, staging
@@ -1001,6 +1001,20 @@ QUERIES.update(
 )
 
 
+@query("D14b_stored_checks")
+def _(t: Inputs) -> DataFrame:
+    """All checks from stored state: after a load with wrong amounts in one scope, the right file and a refresh."""
+    tables = load.Tables(scratch_path(t.spark, "checks"))
+    year, kind = RELOAD_SCOPE
+    hit = (F.col("financial_year") == year) & (F.col("trust_type") == kind)
+    wrong = t.staged.withColumn("total", F.when(hit, -F.col("total") - 7).otherwise(F.col("total")))
+    load.take_batch(t.spark, tables, wrong, t.providers)
+    stored_checks.refresh(t.spark, tables)
+    load.take_batch(t.spark, tables, t.staged.where(hit), None)
+    stored_checks.refresh(t.spark, tables)
+    return quality.check_frame(stored_checks.checks(t.spark, tables, EXPECT))
+
+
 # --- measures -----------------------------------------------------------------------------------
 
 KEYS = ["financial_year", "sector"]

@@ -352,15 +352,16 @@ TABLES: dict[str, str] = {
 }
 
 
-def with_tables(query: str) -> str:
-    """Prefix a query with the tables it needs, in dependency order."""
+def with_tables(query: str, instead: dict[str, str] | None = None) -> str:
+    """Prefix a query with the tables it needs, in dependency order; ``instead`` redefines some."""
+    tables = TABLES | (instead or {})
     needed: list[str] = []
 
     def visit(text: str) -> None:
         for name in re.findall(r"\b[a-z_0-9]+\b", re.sub(r"'[^']*'", "", text)):
-            if name in TABLES and name not in needed and name not in active:
+            if name in tables and name not in needed and name not in active:
                 active.append(name)
-                visit(TABLES[name])
+                visit(tables[name])
                 active.remove(name)
                 needed.append(name)
 
@@ -368,4 +369,4 @@ def with_tables(query: str) -> str:
     visit(query)
     if not needed:
         return query
-    return "WITH " + ",\n".join(f"{n} AS ({TABLES[n]})" for n in needed) + "\n" + query
+    return "WITH " + ",\n".join(f"{n} AS ({tables[n]})" for n in needed) + "\n" + query
