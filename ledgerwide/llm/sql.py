@@ -12,8 +12,14 @@ def licences_sql() -> str:
         f"('{name}', [{', '.join(repr(g) for g in licences.bigrams_of(text))}])"
         for name, text in licences.TEMPLATES.items()
     )
+    anchors = ", ".join(
+        f"('{name}', {len(licences._in_order(text))}, '{gram}')"
+        for name, text in licences.TEMPLATES.items()
+        for gram in licences.anchors_of(text, licences.THRESHOLD)
+    )
     return f"""
     WITH templates(licence, own) AS (VALUES {templates}),
+    anchors(licence, length, gram) AS (VALUES {anchors}),
     docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
     segments AS (
         SELECT r, unnest(string_split(text, chr(10))) AS body,
@@ -33,10 +39,26 @@ def licences_sql() -> str:
         QUALIFY row_number() OVER (PARTITION BY r, segment ORDER BY dice DESC, licence) = 1),
     found AS (
         SELECT r, count(*) AS n, string_agg(segment || ':' || licence, ',' ORDER BY segment) AS licences, max(dice) AS top
-        FROM best GROUP BY r)
+        FROM best GROUP BY r),
+    ordered AS (
+        SELECT r, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS g FROM (
+            SELECT r, string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM docs)),
+    places AS (SELECT r, unnest(g) AS gram, unnest(range(1, len(g) + 1)) AS i FROM ordered),
+    laid AS (
+        SELECT DISTINCT r, licence, length, unnest(range(i - length + 1, i + 1)) AS start FROM places JOIN anchors USING (gram)),
+    compared AS (
+        SELECT r, licence, greatest(start, 1) AS word, own, list_distinct(g[greatest(start, 1):start + length - 1]) AS h
+        FROM laid JOIN ordered USING (r) JOIN templates USING (licence)),
+    close AS (
+        SELECT r, licence, word, 2.0 * len(list_intersect(h, own)) / (len(h) + len(own)) AS dice FROM compared
+        QUALIFY dice >= {licences.THRESHOLD} AND row_number() OVER (PARTITION BY r, licence ORDER BY dice DESC, word) = 1),
+    windows AS (
+        SELECT r, count(*) AS wins, string_agg(licence || ':' || word, ',' ORDER BY licence) AS names, max(dice) AS high
+        FROM close GROUP BY r)
     SELECT doc_id, coalesce(n, 0) AS n_matches, coalesce(licences, '') AS licences,
-           round(coalesce(top, 0.0)::DOUBLE, 6) AS best_dice
-    FROM docs LEFT JOIN found USING (r)"""
+           round(coalesce(top, 0.0)::DOUBLE, 6) AS best_dice, coalesce(wins, 0) AS n_windows,
+           coalesce(names, '') AS window_licences, round(coalesce(high, 0.0)::DOUBLE, 6) AS best_window_dice
+    FROM docs LEFT JOIN found USING (r) LEFT JOIN windows USING (r)"""
 
 
 def near_duplicates_sql(size: int, percent: int) -> str:

@@ -143,3 +143,49 @@ def test_licences_exactly_on_the_threshold(spark):
     docs = spark.createDataFrame([(1, "Released under the MIT License for all"), (2, "Released under the MIT License for all of us")], "doc_id long, text string")
     got = {r.doc_id: [(m.licence, m.dice) for m in r.matches] for r in licences.scan(docs).collect()}
     assert got == {1: [("MIT", 0.8)], 2: []}
+
+
+def best_windows(text):
+    """Every window of a template's length at every start, by brute force; windows at the ends are cut."""
+    words = re.sub("[^a-z0-9]+", " ", (text or "").lower()).split()
+    order, found = list(zip(words, words[1:])), {}
+    for name, template in licences.TEMPLATES.items():
+        own, length = {tuple(g.split()) for g in licences.bigrams_of(template)}, len(licences._in_order(template))
+        for start in range(1 - length, len(order)):
+            grams = set(order[max(start, 0) : start + length])
+            dice = 2 * len(grams & own) / (len(grams) + len(own))
+            if dice >= licences.THRESHOLD and dice > found.get(name, (0.0, 0))[0]:
+                found[name] = (dice, max(start, 0) + 1)
+    return found
+
+
+def test_licence_windows_equal_brute_force(spark):
+    template = licences.TEMPLATES
+    wrapped = "\n * ".join(template["MIT-text"].split(" "))
+    edited = template["GPL-3.0-header"].replace("modify it", "change all of it").replace("published", "issued")
+    rename = {"text": "x", "windows": "w"}
+    texts = [
+        None, "", "mit", "Released under the MIT License. Contact us at the office for questions.",
+        f"/*\n * Copyright 2020 Someone\n * {wrapped}\n */\nint main() {{ return 0; }}\n" + "code here\n" * 400,
+        f"before {edited} after " * 2, template["ISC"], f"{template['BSD-2-Clause-text']} end", f"start {template['BSD-3-Clause-text']}",
+        template["LGPL-3.0-header"] + " " + template["AGPL-3.0-header"], "Licensed under the Apache License, Version 3",
+        "granted free " * 20_000, "under the MIT License", "a notice: Released under the MIT",
+    ]
+    docs = spark.createDataFrame([(i, t, rename) for i, t in enumerate(texts)], "doc_id long, text string, windows map<string,string>")
+    got = {r.doc_id: {m.licence: (round(m.dice, 9), m.word) for m in r.windows} for r in licences.scan(docs).collect()}
+    for i, text in enumerate(texts):
+        want = {} if i == 11 else {n: (round(d, 9), at) for n, (d, at) in best_windows(text).items()}
+        assert got[i] == want, i
+    assert "MIT" in got[3] and {"MIT-text", "MIT-permission"} <= set(got[4]) and "GPL-3.0-header" in got[5]
+    assert got[9].keys() >= {"LGPL-3.0-header", "AGPL-3.0-header"}
+    empty = licences.scan(docs.where("false"))
+    assert empty.count() == 0
+
+
+def test_every_close_window_holds_an_anchor():
+    for name, text in licences.TEMPLATES.items():
+        size, anchors = len(licences.bigrams_of(text)), licences.anchors_of(text, licences.THRESHOLD)
+        # All bigrams but the anchors, and nothing else, stay under the threshold.
+        rest = size - len(anchors)
+        assert 2 * rest / (rest + size) < licences.THRESHOLD, name
+        assert 2 * (rest + 1) / (rest + 1 + size) >= licences.THRESHOLD, name
