@@ -135,3 +135,14 @@ def test_words_follow_the_pattern():
         assert len(found.row(r)) == len(want)
     assert found.row(5)[0] == found.row(5)[1]
     assert len(shingle_set(found.row(0), 3)) == 2
+
+
+def test_parities_never_differ_more_than_the_sets():
+    rng = np.random.default_rng(8)
+    for size, changed in [(1, 1), (40, 3), (600, 60), (9_000, 800)]:
+        a = rng.integers(0, 2**64, size, dtype=np.uint64)
+        b = np.concatenate([a[changed:], rng.integers(0, 2**64, changed // 2, dtype=np.uint64)])
+        apart = int(np.bitwise_count((nd.parity(a) ^ nd.parity(b)).view(np.uint64)).sum())
+        assert apart <= changed + changed // 2
+        if size < 1_000:
+            assert apart >= 0.9 * (changed + changed // 2)
