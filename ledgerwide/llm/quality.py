@@ -2,8 +2,8 @@
 
 Every document gets its counts in place, with built-in functions only. KLL sketches of four
 ratios are built per language and source, and merged to sketches per language and of the whole
-corpus. A group with too few documents for quartiles of its own takes those of its language,
-or else the corpus. A ratio fails when it lies far outside its group's quartiles, by a fence
+corpus. A group's limits are its own, blended with those of its language and these with those
+of the corpus, by one formula of their numbers of documents. A ratio fails when it lies far outside its group's quartiles, by a fence
 that widens with the group's own spread; the verdicts come from a join on language and source.
 """
 
@@ -17,7 +17,7 @@ from ledgerwide.llm.tables import stored
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "[^#*$%&|<>]+"
 LEAST_WORDS, MOST_REPEATED = 50, 50  # of the base rules
-LEAST_DOCUMENTS = 200  # for a group to have quartiles of its own
+PRIOR = 200  # documents that the wider group's limits weigh beside a group's own
 FENCE = 3.0  # quartile distances above the upper quartile
 #: ratio: (numerator, denominator, least spread): a group whose quartiles meet still has a fence
 RATIOS = {
@@ -54,18 +54,28 @@ def _packed(words: Column, mask: Column) -> Column:
 def _repeated(words: Column, packed: Column, mask: Column) -> Column:
     """Sorted positions of the windows that stand twice or more.
 
-    After one sort of longs equal windows are neighbours; neighbours of equal hash are then
-    compared by their words.
+    After one sort of longs windows of equal hash are neighbours; those are then compared by
+    their words. Where a neighbour of equal hash has other words, the window may have its equal
+    further on in the run, and is compared with all of it.
     """
     place = lambda v: v.bitwiseAND(mask).cast("int")
 
+    def close(a: Column, b: Column) -> Column:
+        return F.coalesce(a.bitwiseOR(mask) == b.bitwiseOR(mask), F.lit(False))
+
     def same(a: Column, b: Column) -> Column:
-        hashes = a.bitwiseOR(mask) == b.bitwiseOR(mask)
+        equal = close(a, b)
         for k in range(3):
-            hashes = hashes & (F.get(words, place(a) + k) == F.get(words, place(b) + k))
-        return F.coalesce(hashes, F.lit(False))
+            equal = equal & (F.get(words, place(a) + k) == F.get(words, place(b) + k))
+        return F.coalesce(equal, F.lit(False))
+
+    def again(v: Column, i: Column) -> Column:
+        before, after = F.get(packed, i - 1), F.get(packed, i + 1)
+        beyond = F.exists(packed, lambda u: (u != v) & same(v, u))
+        run = F.when(close(v, before) | close(v, after), beyond).otherwise(F.lit(False))
+        return same(v, before) | same(v, after) | run
 
-    twice = F.filter(packed, lambda v, i: same(v, F.get(packed, i - 1)) | same(v, F.get(packed, i + 1)))
+    twice = F.filter(packed, again)
     return F.sort_array(F.transform(twice, place))
 
 
@@ -129,11 +139,15 @@ def thresholds(counts: DataFrame) -> DataFrame:
     whole = own.agg(*[F.kll_merge_agg_double(r).alias(f"{r}_3") for r in RATIOS])
     joined = own.join(tongues, F.col("lang").eqNullSafe(F.col("_lang"))).join(F.broadcast(whole))  # one row
 
-    def limit(name: str) -> Column:
-        sketch = F.when(F.col("n") >= LEAST_DOCUMENTS, F.col(name))
-        sketch = sketch.when(F.col("n_2") >= LEAST_DOCUMENTS, F.col(f"{name}_2")).otherwise(F.col(f"{name}_3"))
+    def fence(name: str, sketch: str) -> Column:
         low, high = (F.kll_sketch_get_quantile_double(sketch, F.lit(p)) for p in (0.25, 0.75))
-        return (high + FENCE * F.greatest(high - low, F.lit(RATIOS[name][2]))).alias(f"max_{name}")
+        return high + FENCE * F.greatest(high - low, F.lit(RATIOS[name][2]))
+
+    def limit(name: str) -> Column:
+        wider = fence(name, f"{name}_3")
+        for sketch, n in ((f"{name}_2", "n_2"), (name, "n")):
+            wider = (F.col(n) * fence(name, sketch) + PRIOR * wider) / (F.col(n) + PRIOR)
+        return wider.alias(f"max_{name}")
 
     return joined.select("lang", "source", *[limit(r) for r in RATIOS])
 
@@ -168,7 +182,7 @@ def accepted(spark: SparkSession, docs: DataFrame) -> DataFrame:
     and no text is counted twice or moved for its verdict.
     """
     names = {c: f"_row_{i}" for i, c in enumerate(docs.columns)}
-    wide = docs.select("doc_id", "lang", "source", "text", *[F.col(c).alias(n) for c, n in names.items()])
+    wide = docs.select("doc_id", "lang", "source", "text", *[docs[f"`{c}`"].alias(n) for c, n in names.items()])
     counts = stored(spark, counted(wide, *names.values()), "quality-counts")
     kept = judged(counts, thresholds(counts)).where("kept")
     return kept.select(*[F.col(n).alias(c) for c, n in names.items()])
