@@ -30,7 +30,7 @@ THRESHOLD = 0.5  # of the score an unchanged copy would have
 MATCH, MISMATCH, GAP = 2, -1, -1
 BLOCK_WORDS = 4_000_000  # of items per pass over the corpus: bounds what a task holds
 ALONE = np.uint64(0x2545F4914F6CDD1D)  # stands for the second word of an item of one
-BATCH = 128  # alignments at once
+CELLS = 1 << 20  # words of items and windows aligned at once: bounds what a batch holds
 
 
 def pairs(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -73,9 +73,15 @@ class Block:
         need = np.array([enough(n) for n in np.diff(found.first).tolist()], np.int64)
         return cls(np.array(ids, np.int64), found.hashes, found.first, flat[order], pick(items), pick(places), need)
 
-    def rare(self, counts: dict[int, int]) -> Block:
-        """The same items without their commonest places, half as many as the bound allows."""
-        seen = np.array([counts.get(g, 0) for g in signed(self.grams).tolist()], np.int64)
+    def rare(self, grams: np.ndarray, counts: np.ndarray) -> Block:
+        """The same items without their commonest places, half as many as the bound allows.
+
+        ``counts`` tells how often the corpus holds each of ``grams``; others it does not hold.
+        """
+        sort = np.argsort(grams)
+        grams, counts = np.append(grams[sort], np.uint64(0)), np.append(counts[sort], 0)
+        at = np.searchsorted(grams[:-1], self.grams)
+        seen = np.where(grams[at] == self.grams, counts[at], 0)
         order = np.lexsort((-seen, self.items))
         start = np.searchsorted(self.items[order], np.arange(len(self.ids)))
         rank = np.empty(len(order), np.int64)
@@ -92,11 +98,15 @@ class Block:
 class Seeds:
     """Finds a block's pairs among words: a bitmap of 2**20 bits, then binary search."""
 
-    def __init__(self, block: Block) -> None:
-        self.grams = block.grams
+    def __init__(self, grams: np.ndarray, alone: bool) -> None:
+        """``grams``: sorted; ``alone``: whether some stand for items of one word."""
+        self.grams, self.alone = grams, alone
         self.bitmap = np.zeros(1 << 20, bool)
         self.bitmap[(self.grams >> np.uint64(44)).astype(np.int64)] = True
-        self.alone = bool((np.diff(block.first) == 1).any())
+
+    @classmethod
+    def of(cls, block: Block) -> Seeds:
+        return cls(block.grams, bool((np.diff(block.first) == 1).any()))
 
     def hits(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """Positions of words where a seed begins, and the first equal seed's position."""
@@ -172,8 +182,7 @@ def scores(block: Block, seeds: Seeds, texts: pa.Array, threshold: float) -> lis
             windows.append([r, i, b, e])
     windows.sort(key=lambda w: w[3] - w[2])
     best: dict[tuple[int, int], float] = {}
-    for k in range(0, len(windows), BATCH):
-        part = windows[k : k + BATCH]
+    for part in _batches(windows, np.diff(block.first)):
         got = align([block.item(w[1]) for w in part], [words.hashes[w[2] : w[3]] for w in part])
         for (r, i, _, _), score in zip(part, got.tolist()):
             length = int(block.first[i + 1] - block.first[i])
@@ -183,6 +192,20 @@ def scores(block: Block, seeds: Seeds, texts: pa.Array, threshold: float) -> lis
     return [(r, i, s) for (r, i), s in sorted(best.items())]
 
 
+def _batches(windows: list[list[int]], lengths: np.ndarray) -> Iterator[list[list[int]]]:
+    """Windows in their order, as many at once as keep the padded arrays within ``CELLS``."""
+    part: list[list[int]] = []
+    tall = wide = 0
+    for window in windows:
+        tall, wide = max(tall, int(lengths[window[1]])), max(wide, window[3] - window[2])
+        if part and (len(part) + 1) * (tall + wide) > CELLS:
+            yield part
+            part, tall, wide = [], int(lengths[window[1]]), window[3] - window[2]
+        part.append(window)
+    if part:
+        yield part
+
+
 def blocks_of(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, threshold: float) -> Iterator[Block]:
     """Blocks of items with their rare seeds, counted over all of ``docs``."""
     if threshold < THRESHOLD:
@@ -194,10 +217,11 @@ def blocks_of(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, thresh
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()
         rows.sort()
         block = Block.of([r[0] for r in rows], [r[1] for r in rows])
-        state = spark.sparkContext.broadcast(Block(block.ids, block.words[:0], block.first, np.unique(block.grams), *[block.ids[:0]] * 3))
+        alone = bool((np.diff(block.first) == 1).any())
+        state = spark.sparkContext.broadcast([np.unique(block.grams), alone])
 
         def count(batches: Iterator[pa.RecordBatch], state=state) -> Iterator[pa.RecordBatch]:
-            seeds = Seeds(state.value)
+            seeds = Seeds(*state.value)
             seen = np.zeros(len(seeds.grams), np.int64)
             for batch in text_slices(batches):
                 found = seeds.hits(split_words(batch.column(0), plain=True))[1]
@@ -208,8 +232,9 @@ def blocks_of(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, thresh
             )
 
         counted = docs.select(F.col("text").cast("string")).mapInArrow(count, "gram long, seen long")
-        seen = counted.groupBy("gram").agg(F.sum("seen").alias("seen"))
-        yield block.rare({r["gram"]: r["seen"] for r in seen.collect()})  # one row per n-gram of the block
+        # Two longs for each pair of words of the block, BLOCK_WORDS at most.
+        seen = counted.groupBy("gram").agg(F.sum("seen").alias("seen")).toArrow()
+        yield block.rare(seen["gram"].to_numpy().view(np.uint64), seen["seen"].to_numpy())
 
 
 def _shared(spark: SparkSession, block: Block):
@@ -234,7 +259,7 @@ def contaminated(
 
         def run(batches: Iterator[pa.RecordBatch], state=state) -> Iterator[pa.RecordBatch]:
             mine = Block(*state.value)
-            seeds = Seeds(mine)
+            seeds = Seeds.of(mine)
             for batch in text_slices(batches):
                 rows = scores(mine, seeds, batch.column(1), threshold)
                 yield pa.RecordBatch.from_arrays(
@@ -262,7 +287,7 @@ def without_leaks(
 
         def run(batches: Iterator[pa.RecordBatch], state=state) -> Iterator[pa.RecordBatch]:
             mine = Block(*state.value)
-            seeds = Seeds(mine)
+            seeds = Seeds.of(mine)
             for batch in text_slices(batches):
                 keep = np.ones(batch.num_rows, bool)
                 keep[[r for r, _, _ in scores(mine, seeds, batch.column(at), threshold)]] = False

@@ -91,6 +91,15 @@ def test_regular_edits_and_short_items_against_all_alignments(spark):
     assert {(r.doc_id, r.item_id, round(r.score, 9)) for r in got} == want and len(got) == len(want) > 100
 
 
+def test_batches_of_alignments_are_bounded_in_words(monkeypatch):
+    monkeypatch.setattr(decontaminate, "CELLS", 100)
+    windows = [[0, i % 2, 0, 10 + i] for i in range(20)] + [[0, 2, 0, 900]]
+    parts = list(decontaminate._batches(windows, np.array([5, 8, 400])))
+    assert [w for part in parts for w in part] == windows
+    assert all(len(part) == 1 or len(part) * (8 + max(w[3] for w in part)) <= 100 for part in parts)
+    assert len(parts[0]) > 1
+
+
 def plain_counts(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
