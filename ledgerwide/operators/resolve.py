@@ -12,14 +12,14 @@ def resolve_codes(staged: DataFrame, providers: DataFrame) -> DataFrame:
     """Staged rows with the provider's code; rows of unlisted names drop out.
 
     Names match whatever their case. Providers are made distinct first so that a
-    name listed twice does not multiply rows. There is no broadcast hint: the list
-    grows with the landings, and Spark broadcasts it when its known or measured size
-    allows and otherwise splits a name that holds much of the data (skew join).
+    name listed twice does not multiply rows. There is no broadcast hint, since the list
+    grows with the landings. A task holds its share of the list in a hash table and its rows
+    stream by unsorted; a name that holds much of the data is split (skew join).
     """
     name = F.lower("organisation_name").alias("_name")
     scope = ["_name", "financial_year", "trust_type"]
     listed = providers.select(name, "financial_year", "trust_type", "org_code").distinct()
-    joined = staged.withColumn("_name", F.lower("organisation_name")).join(listed, scope, "inner")
+    joined = staged.withColumn("_name", F.lower("organisation_name")).join(listed.hint("shuffle_hash"), scope, "inner")
     return joined.select(
         "org_code", "financial_year", "worksheet_name", "table_id", "main_code", "sub_code",
         F.col("total").alias("total_000s"), "trust_type", "source_file", "row_num",
@@ -31,7 +31,7 @@ def unresolved_rows(staged: DataFrame, providers: DataFrame) -> DataFrame:
     name = F.lower("organisation_name")
     scope = ["_name", "financial_year", "trust_type"]
     listed = providers.where("org_code is not null").select(name.alias("_name"), "financial_year", "trust_type").distinct()
-    return staged.withColumn("_name", name).join(listed, scope, "left_anti").select(*staged.columns)
+    return staged.withColumn("_name", name).join(listed.hint("shuffle_hash"), scope, "left_anti").select(*staged.columns)
 
 
 def unmatched_names(staged: DataFrame, providers: DataFrame) -> DataFrame:
