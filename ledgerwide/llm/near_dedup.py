@@ -45,6 +45,7 @@ HUB_ROUNDS = 2  # at most; fewer when nothing is left or a round finds nothing
 FILTER_BITS = 27  # of the bit fields that spare shuffles
 FINE = 1024  # values of the longer signature, of 4 bits each
 PARITY = 2048  # bits of the parity signature
+BLOCK = 2048  # nodes of a block: two blocks' longer signatures lie in a task
 
 _PLACE = (1 << BITS) - 1
 _LOW = sum(1 << (BITS * k) for k in range(PLACES))
@@ -179,27 +180,49 @@ def fine_signatures(texts: DataFrame, shingle: int) -> DataFrame:
     return texts.select("node", "text").mapInArrow(sign, "node long, " + ", ".join(f"{n} long" for n in names))
 
 
-def _fine_near(similarity: float) -> Column:
-    """Whether two longer signatures allow the similarity."""
-    low = F.lit(int("1" * 16, 16))
-    apart = F.lit(0)
-    for name in fine_columns():
-        x = F.col(f"p_{name}").bitwiseXOR(F.col(f"q_{name}"))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        apart = apart + F.bit_count(x.bitwiseAND(low))
-    return apart <= fine_limit(similarity)
+def _allowed(similarity: float, nodes: np.ndarray, sizes: np.ndarray, signs: np.ndarray, a: np.ndarray, b: np.ndarray):
+    """Which pairs of nodes have longer signatures that allow the similarity; ``nodes`` are sorted.
 
+    The parity test never refuses a pair that has it: sets of T values together that differ in
+    d have a similarity of (T - d) / (T + d).
+    """
+    percent, places, limit = round(100 * similarity), FINE // 16, fine_limit(similarity)
+    low = np.uint64(int("1" * 16, 16))
+    keep = np.zeros(len(a), bool)
+    for at in range(0, len(a), 4096):
+        p, q = np.searchsorted(nodes, a[at : at + 4096]), np.searchsorted(nodes, b[at : at + 4096])
+        odd = np.bitwise_count(signs[p, places:] ^ signs[q, places:]).sum(axis=1, dtype=np.int64)
+        left = np.flatnonzero(odd * (100 + percent) <= (100 - percent) * (sizes[p] + sizes[q]))
+        x = signs[p[left], :places] ^ signs[q[left], :places]
+        x |= x >> np.uint64(2)
+        x |= x >> np.uint64(1)
+        keep[at + left] = np.bitwise_count(x & low).sum(axis=1, dtype=np.int64) <= limit
+    return keep
+
+
+def _fine_pairs(pairs: DataFrame, signs: DataFrame, blocks: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose longer signatures allow the similarity.
+
+    Nodes are dealt to blocks by their hash and pairs lie in cells of two blocks, so a
+    signature moves once for each cell in which its node has a pair, not for each pair.
+    """
+    names = fine_columns() + parity_columns()
+    cell = [F.pmod(c, F.lit(blocks)).alias(n) for c, n in (("a", "left"), ("b", "right"))]
+    dealt = pairs.select(*cell, "a", "b")
+    needed = dealt.select("left", "right", F.explode(F.array("a", "b")).alias("node")).distinct()
+    beside = needed.join(signs.select("node", "n_shingles", *names), "node")
+    beside = beside.select(F.col("left").alias("l"), F.col("right").alias("r"), "node", "n_shingles", *names)
 
-def _parity_near(similarity: float) -> Column:
-    """Whether two parity signatures allow the similarity; never false for a pair that has it.
+    def test(some: pa.Table, known: pa.Table) -> pa.Table:
+        known = known.sort_by("node")
+        columns = [known[c].to_numpy().view(np.uint64) for c in names]
+        a, b = some["a"].to_numpy(), some["b"].to_numpy()
+        signed = np.stack(columns, axis=1)
+        keep = _allowed(similarity, known["node"].to_numpy(), known["n_shingles"].to_numpy(), signed, a, b)
+        return some.select(["a", "b"]).filter(pa.array(keep))
 
-    Sets of T values together that differ in d have a similarity of (T - d) / (T + d).
-    """
-    percent = round(100 * similarity)
-    apart = [F.bit_count(F.col(f"p_{c}").bitwiseXOR(F.col(f"q_{c}"))) for c in parity_columns()]
-    total = F.col("p_n_shingles") + F.col("q_n_shingles")
-    return sum(apart[1:], apart[0]) * (100 + percent) <= (100 - percent) * total
+    cells = dealt.groupBy("left", "right").cogroup(beside.groupBy("l", "r"))
+    return cells.applyInArrow(test, "a long, b long")
 
 
 def differences(left: str, right: str) -> Column:
@@ -375,21 +398,23 @@ class _Links:
         One side is only the members outside their bucket's main component. Both sides are
         read from files, so the join on the bucket has exchanges that can be split.
         """
-        left = mixed.select("node").distinct()
-        fine = fine_signatures(self.texts.join(left, "node", "left_semi"), self.shingle)
-        signs = stored(self.spark, self.classes.join(fine, "node"), "fine")
         ours = mixed.select("bucket", "at", F.col("node").alias("p"), F.col("root").alias("pr"), "main")
-        few = stored(self.spark, self.signed("p", ours.where("pr <> main"), "p", signs), "minor")
+        few = stored(self.spark, self.signed("p", ours.where("pr <> main"), "p"), "minor")
         theirs = mixed.select("bucket", F.col("node").alias("q"), F.col("root").alias("qr"))
-        every = stored(self.spark, self.signed("q", theirs, "q", signs), "members")
-        self.scratch += [signs, few, every]
+        every = stored(self.spark, self.signed("q", theirs, "q"), "members")
         near = _near(self.columns, self.similarity, ("p_n_shingles", "q_n_shingles"))
         once = (F.col("qr") == F.col("main")) | (F.col("pr") < F.col("qr"))
         on = (few["bucket"] == every["bucket"]) & once
         # In this order: the first test is the cheapest and leaves one in many.
-        on = on & _first_shared(self.columns) & near & _parity_near(self.similarity) & _fine_near(self.similarity)
-        cross = few.join(every, on)
-        return cross.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+        cross = few.join(every, on & _first_shared(self.columns) & near)
+        pairs = cross.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+        pairs = stored(self.spark, pairs, "pairs")
+        discard(self.spark, few, every)
+        left = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        fine = fine_signatures(self.texts.join(left, "node", "left_semi"), self.shingle)
+        signs = stored(self.spark, self.classes.select("node", "n_shingles").join(fine, "node"), "fine")
+        self.scratch += [pairs, signs]
+        return _fine_pairs(pairs, signs, -(-signs.count() // BLOCK) or 1, self.similarity)
 
 
 def near_duplicates(
