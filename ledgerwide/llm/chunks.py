@@ -47,20 +47,18 @@ class Recent:
         self.old: dict[str, bytes] = {}
         self.size = 0
 
-    def take(self, keys: set[str]) -> tuple[dict[str, bytes], set[str]]:
-        """Values of the keys that are held, and the keys that are not."""
-        found = dict(zip(keys, map(self.young.get, keys)))
-        rest = [k for k, value in found.items() if value is None]
-        if not rest:
-            return found, set()
-        again = {k: value for k in rest if (value := self.old.get(k)) is not None}
-        self.put(again)
-        found.update(again)
-        return found, {k for k in rest if k not in again}
-
-    def put(self, entries: dict[str, bytes]) -> None:
+    def missing(self, keys: set[str]) -> set[str]:
+        """The keys that are not held; all others are in ``young`` until the next call."""
         if self.size > self.half:
             self.old, self.young, self.size = self.young, {}, 0
+        rest = keys.difference(self.young)
+        if rest and self.old:
+            again = {k: value for k in rest if (value := self.old.get(k)) is not None}
+            self.put(again)
+            rest.difference_update(again)
+        return rest
+
+    def put(self, entries: dict[str, bytes]) -> None:
         self.young.update(entries)
         self.size += sum(map(len, entries)) + sum(map(len, entries.values())) + ENTRY_BYTES * len(entries)
 
@@ -110,34 +108,28 @@ class ChunkStore:
 
     def _of_group(self, texts: list[str]) -> list[bytes]:
         split = [chunks_of(t) for t in texts]
-        ids, missing = self.known.take(set().union(*split))
-        if missing:
-            new = self._learn(missing)
-            self.known.put(new)
-            ids.update(new)
-        get = ids.__getitem__
+        if missing := self.known.missing(set().union(*split)):
+            self.known.put(self._learn(missing))
+        get = self.known.young.__getitem__
         return [b"".join(map(get, chunks)) for chunks in split]
 
     def _learn(self, chunks: set[str]) -> dict[str, bytes]:
+        plain = [c for c in chunks if c.isascii() and c.isalpha()]
+        words = list(map(str.lower, plain))
         cut = []
-        for chunk in chunks:
+        for chunk in chunks.difference(plain):
             word = chunk.rstrip(SIGNS)
-            if word.isascii():
-                if word.isalpha():
-                    cut.append((chunk, word.lower(), chunk[len(word) :]))
-                    continue
-            elif word.isalpha() and _stays_letters(word):
-                cut.append((chunk, word, chunk[len(word) :]))
-                continue
-            cut.append((chunk, chunk, ""))
+            if word.isalpha() and (word.isascii() or _stays_letters(word)):
+                cut.append((chunk, word.lower() if word.isascii() else word, chunk[len(word) :]))
+            else:
+                cut.append((chunk, chunk, ""))
         wanted = {word for _, word, _ in cut}
-        wanted.update({signs for _, _, signs in cut})
+        wanted.update([signs for _, _, signs in cut], words)
         wanted.discard("")
-        parts, missing = self.parts.take(wanted)
-        if missing:
+        if missing := self.parts.missing(wanted):
             names = list(missing)
-            new = dict(zip(names, self.encode(names)))
-            self.parts.put(new)
-            parts.update(new)
-        parts[""] = b""
-        return {chunk: parts[word] + parts[signs] for chunk, word, signs in cut}
+            self.parts.put(dict(zip(names, self.encode(names))))
+        get = self.parts.young.__getitem__
+        known = dict(zip(plain, map(get, words)))
+        known.update((chunk, get(word) + get(signs) if signs else get(word)) for chunk, word, signs in cut)
+        return known
