@@ -26,6 +26,10 @@ TYPES = {
 SCHEMAS = "name string, field string, type string, required boolean"
 
 
+#: Share of a tool's calls, in tenths, that give a field which ``used_schemas`` takes for required.
+REQUIRED_TENTHS = 9
+
+
 def no_schemas(spark: SparkSession) -> DataFrame:
     """A table of tool schemas without a tool: no arguments are checked."""
     return spark.createDataFrame([], SCHEMAS)
@@ -54,20 +58,71 @@ def _calls(messages: DataFrame) -> DataFrame:
     )
 
 
+def _messages(conversations: DataFrame) -> DataFrame:
+    """The different messages with their copies, and the JSON object that a tool's or an assistant's text is."""
+    messages = conversations.select(
+        F.col("conv_id").cast("long"),
+        F.coalesce(F.col("turn").cast("long"), F.lit(-1).cast("long")).alias("turn"),
+        F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+    )
+    # One row for each different message, so that its calls are told apart from those of its copies.
+    messages = messages.groupBy("conv_id", "turn", "role", "text").agg(F.count("*").alias("copies"))
+    row = F.xxhash64(F.coalesce(F.col("conv_id").cast("string"), F.lit("null")), "turn", "role", "text")
+    alone = F.concat(F.lit("alone "), F.col("row").cast("string"))
+    messages = messages.withColumn("row", row).withColumn("_c", F.coalesce(F.col("conv_id").cast("string"), alone))
+    tooled = F.col("role").isin("assistant", "tool") & F.ltrim("text").startswith("{")
+    return messages.withColumn("payload", F.when(tooled, F.try_parse_json("text")))
+
+
+def _tools(messages: DataFrame) -> DataFrame:
+    return messages.where("payload is not null").drop("conv_id").withColumnRenamed("_c", "conv_id")
+
+
+def _given(calls: DataFrame) -> DataFrame:
+    """One row for each field of a call's arguments, with the variant type found there."""
+    fields = F.expr("try_cast(arguments as map<string, variant>)")
+    return calls.select(
+        "conv_id", "row", "place", "name",
+        F.explode(F.coalesce(fields, F.expr("cast(map() as map<string, variant>)"))).alias("field", "value"),
+    ).select("conv_id", "row", "place", "name", "field", F.schema_of_variant("value").alias("found"))
+
+
+def used_schemas(conversations: DataFrame) -> DataFrame:
+    """Schemas of the tools as their calls in the table use them.
+
+    A field has the type that most calls of the tool give it (of equally many the first by name;
+    numbers are integers if all are) and is required if nine calls in ten give it. Every
+    different message counts once. Calls without a name have no schema.
+    """
+    calls = _calls(_tools(_messages(conversations)))
+    kind = F.when(F.col("found").rlike(TYPES["number"]), "number")
+    for name in ("string", "boolean", "array", "object", "null"):
+        kind = kind.when(F.col("found").rlike(TYPES[name]), name)
+    kinds = _given(calls).groupBy("name", "field", kind.alias("kind")).agg(
+        F.count("*").alias("n"), F.bool_and(F.col("found").rlike(TYPES["integer"])).alias("whole")
+    )
+    fields = kinds.groupBy("name", "field").agg(
+        F.min(F.when(F.col("kind").isNotNull(), F.struct((-F.col("n")).alias("n"), "kind", "whole"))).alias("most"),
+        F.sum("n").alias("given"),
+    )
+    made = calls.groupBy("name").agg(F.count("*").alias("calls"))
+    of_type = F.when(F.col("most.whole"), "integer").otherwise(F.col("most.kind"))
+    required = 10 * F.col("given") >= REQUIRED_TENTHS * F.col("calls")
+    found = fields.where("most is not null").join(made, "name")
+    return found.select("name", "field", of_type.alias("type"), required.alias("required"))
+
+
 def _checked(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     """``calls`` with the number of faults: required fields absent, fields of another type,
     fields that a known tool does not have. Tools without a schema have none."""
-    given = calls.select(
-        "conv_id", "row", "place", "name",
-        F.explode(F.coalesce(F.expr("try_cast(arguments as map<string, variant>)"), F.expr("cast(map() as map<string, variant>)"))).alias("field", "value"),
-    ).select("conv_id", "row", "place", "name", "field", F.schema_of_variant("value").alias("found"))
     tools = schemas.select("name").distinct()
     asked = calls.select("conv_id", "row", "place", "name").join(schemas.distinct(), "name")
     meets = F.lit(False)
     for name, pattern in TYPES.items():
         meets = meets | ((F.col("type") == name) & F.col("found").rlike(pattern))
     keys = ["conv_id", "row", "place", "name", "field"]
-    right = given.join(tools, "name", "left_semi")
+    right = _given(calls).join(tools, "name", "left_semi")
     both = asked.withColumn("asked", F.lit(True)).join(right, keys, "full")
     fault = F.when(F.col("asked").isNull(), 1).when(F.col("found").isNull(), F.col("required").cast("int")).otherwise((~meets).cast("int"))
     faults = both.groupBy("conv_id", "row", "place").agg(F.sum(fault).alias("faults"))
@@ -84,20 +139,8 @@ def format_chats(conversations: DataFrame, schemas: DataFrame) -> DataFrame:
     repeated messages stay, each with its own calls, of which all or none count as linked. A text
     that is no JSON object, or says more than calls, ids and content, is content as it is. An empty table gives no rows. Other columns are not read.
     """
-    messages = conversations.select(
-        F.col("conv_id").cast("long"),
-        F.coalesce(F.col("turn").cast("long"), F.lit(-1).cast("long")).alias("turn"),
-        F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    )
-    # One row for each different message, so that its calls are told apart from those of its copies.
-    messages = messages.groupBy("conv_id", "turn", "role", "text").agg(F.count("*").alias("copies"))
-    row = F.xxhash64(F.coalesce(F.col("conv_id").cast("string"), F.lit("null")), "turn", "role", "text")
-    alone = F.concat(F.lit("alone "), F.col("row").cast("string"))
-    messages = messages.withColumn("row", row).withColumn("_c", F.coalesce(F.col("conv_id").cast("string"), alone))
-    tooled = F.col("role").isin("assistant", "tool") & F.ltrim("text").startswith("{")
-    messages = messages.withColumn("payload", F.when(tooled, F.try_parse_json("text")))
-    tools = messages.where("payload is not null").drop("conv_id").withColumnRenamed("_c", "conv_id")
+    messages = _messages(conversations)
+    tools = _tools(messages)
     calls = _checked(_calls(tools), schemas)
     first = calls.where("call_id is not null").groupBy("conv_id", "call_id").agg(
         F.min(F.struct("turn", "row", "place")).alias("at")

@@ -37,7 +37,7 @@ def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_chat(spark: SparkSession, folder: str) -> DataFrame:
     talks = spark.read.parquet(f"{folder}/conversations.parquet")
-    return chat.format_chats(talks, chat.no_schemas(spark))
+    return chat.format_chats(talks, chat.used_schemas(talks))
 
 
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:

@@ -205,6 +205,24 @@ def test_chat_links_calls_and_results(spark):
     assert chat.format_chats(talks.limit(0), schemas).isEmpty()
 
 
+def test_calls_are_checked_against_what_the_table_shows_of_their_tools(spark, tmp_path):
+    def call(turn, name, arguments):
+        return (1, turn, "assistant", json.dumps({"tool_calls": [{"id": f"c{turn}", "name": name, "arguments": arguments}]}))
+
+    weather = [{"city": f"v{i}", "days": i} for i in range(9)] + [{"city": 5, "days": 2.5, "unit": "C"}, {"days": 1}]
+    talks = [call(i, "weather", a) for i, a in enumerate(weather)] + [call(20, None, {"city": 1}), (2, 0, "user", "x")]
+    talks += [call(21, "flag", {"on": True}), call(22, "flag", {"on": "no"}), call(23, "flag", {"on": False})]
+    spark.createDataFrame(talks, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    schemas = {tuple(r) for r in chat.used_schemas(spark.read.parquet(f"{tmp_path}/conversations.parquet")).collect()}
+    assert schemas == {("weather", "city", "string", True), ("weather", "days", "number", True),
+                       ("weather", "unit", "string", False), ("flag", "on", "boolean", True)}
+    got = {r.conv_id: r for r in QUERIES["op5_chat"](spark, str(tmp_path)).collect()}
+    # The city that is a number, the call without one, and the flag that is a text.
+    assert (got[1].n_calls, got[1].n_faults, got[2].n_faults) == (15, 3, 0)
+    shown = [m["tool_calls"][0] for m in json.loads(got[1].chat)["messages"]]
+    assert {c["id"] for c in shown if not c["arguments_valid"]} == {"c9", "c10", "c22"}
+
+
 def test_chats_of_the_table_equal_a_plain_version(spark):
     talks = spark.read.parquet(f"{FOLDER}/conversations.parquet")
     want = {}
