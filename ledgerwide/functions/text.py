@@ -26,7 +26,8 @@ def financial_year_from_name(name: str | Column, strict: bool = True) -> Column:
         if strict
         else F.lit(None).cast("string")
     )
-    return F.when(label != "", label).otherwise(missing)
+    # The pattern is matched once a row.
+    return F.coalesce(F.nullif(label, F.lit("")), missing)
 
 
 def trust_type_from_name(name: str | Column) -> Column:

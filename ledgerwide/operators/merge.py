@@ -24,15 +24,18 @@ TIES = ["organisation_name", "worksheet_name", "table_id", "total_000s"]
 def _settled(batch: DataFrame, key: Sequence[str], kept: Sequence[str], updated: Sequence[str]) -> DataFrame:
     """One row per key of a batch: kept columns of its first row, updated ones of its last.
 
-    The order is total: file, row number, then the columns that tell tied rows apart.
+    The order is total: file, row number, then the columns that tell tied rows apart. Rows are
+    compared whole, so that no text is carried to the reducers both as order and as value.
     """
-    ties = [c for c in TIES if c in batch.columns]
-    order = F.struct("source_file", F.col("row_num").cast("int").alias("row_num"), *ties)
+    order = ["source_file", "row_num", *(c for c in TIES if c in batch.columns)]
+    fields = {c: F.col(c) for c in order} | {"row_num": F.col("row_num").cast("int").alias("row_num")}
+    first = [*order, *(c for c in kept if c not in order)]
+    last = [*order, *(c for c in updated if c not in order)]
     merged = batch.groupBy(*key).agg(
-        F.min_by(F.struct(*kept), order).alias("_kept"),
-        F.max_by(F.struct(*updated), order).alias("_updated"),
+        F.min(F.struct(*[fields.get(c, F.col(c)) for c in first])).alias("_first"),
+        F.max(F.struct(*[fields.get(c, F.col(c)) for c in last])).alias("_last"),
     )
-    return merged.select(*key, "_kept.*", "_updated.*")
+    return merged.select(*key, *[f"_first.{c}" for c in kept], *[f"_last.{c}" for c in updated])
 
 
 def upsert_fact(
@@ -83,8 +86,11 @@ def fact_changes(existing: DataFrame, settled: DataFrame, stamps: Sequence[Colum
 
 
 def with_changes(existing: DataFrame, changes: DataFrame) -> DataFrame:
-    """Existing rows with those of ``changes`` in place of the ones that have their keys."""
-    kept = existing.join(changes.select(*FACT_KEY), FACT_KEY, "left_anti")
+    """Existing rows with those of ``changes`` in place of the ones that have their keys.
+
+    A task holds its share of the changed keys in a hash table; existing rows stream by unsorted.
+    """
+    kept = existing.join(changes.select(*FACT_KEY).hint("shuffle_hash"), FACT_KEY, "left_anti")
     return kept.unionByName(changes.select(*existing.columns))
 
 

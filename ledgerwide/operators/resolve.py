@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 NAME_KEYS = ["organisation_name", "financial_year", "trust_type"]
 
+BROADCAST_NAMES = 400_000  # names without a provider that are sent to every task, some 100 bytes each
+
 
 def resolve_codes(staged: DataFrame, providers: DataFrame) -> DataFrame:
     """Staged rows with the provider's code; rows of unlisted names drop out.
@@ -27,11 +29,20 @@ def resolve_codes(staged: DataFrame, providers: DataFrame) -> DataFrame:
 
 
 def unresolved_rows(staged: DataFrame, providers: DataFrame) -> DataFrame:
-    """Staged rows that ``resolve_codes`` drops, because no provider of their scope has the name."""
-    name = F.lower("organisation_name")
+    """Staged rows that ``resolve_codes`` drops, because no provider of their scope has the name.
+
+    Names are looked up first, each once. Up to ``BROADCAST_NAMES`` without a provider are sent
+    to the rows, which then do not move; more of them meet the rows in a hash join.
+    """
+    name = F.lower("organisation_name").alias("_name")
     scope = ["_name", "financial_year", "trust_type"]
-    listed = providers.where("org_code is not null").select(name.alias("_name"), "financial_year", "trust_type").distinct()
-    return staged.withColumn("_name", name).join(listed.hint("shuffle_hash"), scope, "left_anti").select(*staged.columns)
+    listed = providers.where("org_code is not null").select(name, "financial_year", "trust_type").distinct()
+    names = staged.select(name, "financial_year", "trust_type").distinct()
+    missing = names.join(listed.hint("shuffle_hash"), scope, "left_anti")
+    way = "broadcast" if missing.count() <= BROADCAST_NAMES else "shuffle_hash"
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"m.{c}")) for c in scope]
+    rows = staged.withColumn("_name", name).alias("r")
+    return rows.join(missing.hint(way).alias("m"), same, "left_semi").select(*staged.columns)
 
 
 def unmatched_names(staged: DataFrame, providers: DataFrame) -> DataFrame:

@@ -35,6 +35,10 @@ from ledgerwide.sources.literal import literal_table
 FACT_ORDER = ["financial_year", "worksheet_name", "org_code", "sub_code"]
 FACT_PARTS = ["financial_year", "org_bucket"]
 
+#: Rows of a staged file. Staged rows take a few bytes each, so a split of large files would hold
+#: tens of millions of them, and the hash tables and sorts of its task would grow with the batch.
+STAGED_FILE_ROWS = 100_000
+
 
 @dataclass(frozen=True)
 class Tables:
@@ -124,7 +128,7 @@ class _Load:
         Every scope of the batch's files is replaced, also by nothing.
         """
         own = rows.select(*commits.columns(STAGED_SCHEMA))
-        self.change.write(own, "staged_rows", SCOPE, map(_scope_part, scopes))
+        self.change.write(own, "staged_rows", SCOPE, map(_scope_part, scopes), STAGED_FILE_ROWS)
         self.rows = self.change.new("staged_rows", STAGED_SCHEMA)
         if providers is not None:
             own = providers.select(*commits.columns(PROVIDER_SCHEMA))
@@ -139,7 +143,7 @@ class _Load:
         steps = [
             lambda: self.fact(resolve.resolve_codes(pending, self.providers), years),
             lambda: self.change.write(
-                resolve.unresolved_rows(pending, self.providers), "quarantine", SCOPE, self.parts
+                resolve.unresolved_rows(pending, self.providers), "quarantine", SCOPE, self.parts, STAGED_FILE_ROWS
             ),
             self.trusts,
             lambda: self.labels(years),
@@ -199,10 +203,12 @@ class _Load:
         stamps = [F.col("org_bucket"), *self.stamps]
         aside = scratch_path(spark, "changes")
         try:
-            merge.fact_changes(old, settled, stamps).write.partitionBy(*FACT_PARTS).parquet(aside)
-            touched = commits.below(spark, aside, len(FACT_PARTS))
+            # Not by part: every task would write a small file for each.
+            merge.fact_changes(old, settled, stamps).write.parquet(aside)
+            changes = spark.read.schema(STAMPED_FACT_SCHEMA).parquet(aside)
+            # At most one row for each part.
+            touched = {commits.partition(**r.asDict()) for r in changes.select(*FACT_PARTS).distinct().collect()}
             if touched:
-                changes = spark.read.schema(STAMPED_FACT_SCHEMA).parquet(aside)
                 merged = merge.with_changes(change.read("fact", STAMPED_FACT_SCHEMA, touched), changes)
                 change.write(_laid_out(merged), "fact", FACT_PARTS)
         finally:

@@ -242,6 +242,23 @@ def fact(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: Organisation-years in a task that multiplies them by lines and sorts the rows for a write,
+#: and years that a supplier has at most.
+TASK_ORG_YEARS, SUPPLIER_YEARS = 8_000, 8
+
+
+def _dealt(spark: SparkSession, folder: str, base: DataFrame) -> DataFrame:
+    """Sums spread over as many tasks as their rows need once they are multiplied.
+
+    The sums are small, so adaptive execution packs them into few tasks, each of which would
+    then make, sort and write its share of all rows, whatever their number.
+    """
+    org_years = table(spark, folder, "supplier").count() * SUPPLIER_YEARS
+    bounded = -(-org_years // TASK_ORG_YEARS)
+    parallel = min(-(-8 * org_years // TASK_ORG_YEARS), spark.sparkContext.defaultParallelism)
+    return base.repartition(max(bounded, parallel, 1), "l_suppkey")
+
+
 def raw_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Landing-shaped rows: drifted headers, padded text, changing case, prior-year rows,
     repeated keys, nulls."""
@@ -252,7 +269,7 @@ def raw_rows(spark: SparkSession, folder: str) -> DataFrame:
         ),
         source_file("l_suppkey", "fy").alias("source_file"),
     ]
-    rows = _exploded(base_sums(spark, folder), keys, LINES + RAW_ONLY_LINES)
+    rows = _exploded(_dealt(spark, folder, base_sums(spark, folder)), keys, LINES + RAW_ONLY_LINES)
     return rows.select(
         "Organisation Name",
         F.concat(F.lit(" "), "worksheet_name").alias("WorkSheetName"),
