@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwide.schemas import FACT_KEY
@@ -64,21 +64,36 @@ def upsert_fact(
     return old.unionByName(new.join(existing.select(*key), list(key), "left_anti"))
 
 
-def settled_batch(batch: DataFrame) -> DataFrame:
-    """One row per fact key of a batch, as ``upsert_fact`` takes it."""
-    return _settled(batch, FACT_KEY, FACT_KEPT, FACT_UPDATED)
+#: Rows of a task that reduces a batch by key, some 300 bytes each in its sort or hash table.
+TASK_ROWS = 500_000
+
+
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """Tasks that hold at most ``TASK_ROWS`` each; an eighth where cores would stay idle."""
+    return max(-(-rows // TASK_ROWS), min(-(-8 * rows // TASK_ROWS), spark.sparkContext.defaultParallelism), 1)
+
+
+def settled_batch(batch: DataFrame, tasks: int | None = None) -> DataFrame:
+    """One row per fact key of a batch, as ``upsert_fact`` takes it.
+
+    With ``tasks`` the rows are dealt by key first: they move once and as they are, not as the
+    first and the last row of each key, and their number bounds what a task sorts.
+    """
+    dealt = batch if tasks is None else batch.repartition(tasks, *FACT_KEY)
+    return _settled(dealt, FACT_KEY, FACT_KEPT, FACT_UPDATED)
 
 
 def fact_changes(existing: DataFrame, settled: DataFrame, stamps: Sequence[Column]) -> DataFrame:
     """Rows of a settled batch that are new or differ from the existing row of their key.
 
     They come whole: first values of the key's kept columns, the batch's amount and source,
-    and ``stamps``. Existing rows are only probed; the batch is the side that is reduced.
+    and ``stamps``. Existing rows are only probed, by a hash table of a task's share of them; the
+    batch is the side that is reduced.
     """
     known = existing.select(
         *FACT_KEY, *[F.col(c).alias(f"_old_{c}") for c in (*FACT_KEPT, *FACT_UPDATED)], F.lit(True).alias("_known")
     )
-    both = settled.join(known, FACT_KEY, "left")
+    both = settled.join(known.hint("shuffle_hash"), FACT_KEY, "left")
     same = [F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in FACT_UPDATED]
     equal = F.coalesce(F.col("_known") & same[0] & same[1], F.lit(False))
     first = [F.when(F.col("_known"), F.col(f"_old_{c}")).otherwise(F.col(c)).alias(c) for c in FACT_KEPT]

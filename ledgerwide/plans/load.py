@@ -28,7 +28,7 @@ from ledgerwide.schemas import (
     TRUST_SCHEMA,
     YEAR_SCHEMA,
 )
-from ledgerwide.session import drop_scratch, scratch_path
+from ledgerwide.session import bounded_tasks, drop_scratch, scratch_path
 from ledgerwide.sources import commits, landing, staging
 from ledgerwide.sources.literal import literal_table
 
@@ -141,7 +141,7 @@ class _Load:
         """Write the tables that follow from staging. None reads another, so they go together."""
         pending = self.pending()
         steps = [
-            lambda: self.fact(resolve.resolve_codes(pending, self.providers), years),
+            lambda: self.fact(pending, years),
             lambda: self.change.write(
                 resolve.unresolved_rows(pending, self.providers), "quarantine", SCOPE, self.parts, STAGED_FILE_ROWS
             ),
@@ -190,16 +190,19 @@ class _Load:
             described = seeded.unionByName(fiscal.describe_years(starts, "y").select(*seeded.columns))
             change.write(described.select(*commits.columns(YEAR_SCHEMA)), "dim_financial_year")
 
-    def fact(self, resolved: DataFrame, years: set[str]) -> None:
+    def fact(self, pending: DataFrame, years: set[str]) -> None:
         """Write the parts of the fact in which some row is new or differs, and no others."""
         change, spark = self.change, self.spark
-        settled = merge.settled_batch(resolved).select("*", bucket_of(self.buckets))
         heads = {commits.partition(financial_year=y) for y in years}
         held = {p for p in change.partitions("fact") if p.split("/")[0] in heads}
+        old = change.read("fact", STAMPED_FACT_SCHEMA, held)
+        # Counted from the files' footers.
+        tasks = merge.tasks_for(spark, pending.count() + (old.count() if held else 0))
+        resolved = resolve.resolve_codes(pending, self.providers)
+        settled = merge.settled_batch(resolved, tasks).select("*", bucket_of(self.buckets))
         if not held:
             change.write(_laid_out(settled.select("*", *self.stamps)), "fact", FACT_PARTS)
             return
-        old = change.read("fact", STAMPED_FACT_SCHEMA, held)
         stamps = [F.col("org_bucket"), *self.stamps]
         aside = scratch_path(spark, "changes")
         try:
@@ -255,9 +258,10 @@ def take_batch(
     change = commits.Change(spark, tables.root)
     load_ = _Load(change, tables)
     try:
-        load_.stage(rows, providers, scopes, provider_scopes)
-        warnings = quality.assert_loadable(load_.rows, load_.providers)
-        load_.promote({_year_of(p) for p in load_.parts})
+        with bounded_tasks(spark):
+            load_.stage(rows, providers, scopes, provider_scopes)
+            warnings = quality.assert_loadable(load_.rows, load_.providers)
+            load_.promote({_year_of(p) for p in load_.parts})
         change.commit(scopes=", ".join(sorted(load_.parts)), buckets=load_.buckets)
     except BaseException:
         change.abandon()

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -35,6 +37,31 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **conf: st
     return spark
 
 
+#: Bytes of files that a task of a load reads at most, and of shuffled rows where adaptive execution
+#: chooses. Rows of statements take some 5 bytes in Parquet and 25 shuffled, but 300 in a sort or
+#: hash table, so Spark's own 128 and 64 MB would fill gigabytes there.
+LOAD_BYTES = {"spark.sql.files.maxPartitionBytes": 32 << 20, "spark.sql.adaptive.advisoryPartitionSizeInBytes": 16 << 20}
+
+
+@contextmanager
+def bounded_tasks(spark: SparkSession, settings: Mapping[str, int] | None = None) -> Iterator[None]:
+    """Smaller tasks for what is planned inside the block; smaller sizes that are set already stay."""
+    before = {name: spark.conf.get(name) for name in settings or LOAD_BYTES}
+    try:
+        for name, most in (settings or LOAD_BYTES).items():
+            if _bytes(spark, before[name]) > most:
+                spark.conf.set(name, f"{most}b")
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def _bytes(spark: SparkSession, size: str) -> int:
+    """A size as Spark reads it, as ``64MB`` or a plain number of bytes."""
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder shared by all executors, named by ``spark.checkpoint.dir``.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ledgerwide.operators import merge, resolve
 from ledgerwide.plans import load
 from ledgerwide.schemas import FACT_SCHEMA, PROVIDER_SCHEMA, STAGED_SCHEMA
+from ledgerwide.session import LOAD_BYTES, bounded_tasks
 from ledgerwide.sources import derived
 from tests.conftest import FOLDER
 
@@ -62,3 +63,56 @@ def test_first_and_last_rows_of_a_key_carry_their_order_once(spark, rows):
     }
     assert set(done.columns) == {c.strip().split()[0] for c in FACT_SCHEMA.split(",")}
     assert "min_by" not in done._jdf.queryExecution().toString()
+
+
+BATCH = (
+    "org_code string, financial_year string, worksheet_name string, table_id smallint, main_code string, "
+    "sub_code string, total_000s bigint, trust_type string, source_file string, row_num int"
+)
+
+
+def test_rows_of_a_batch_are_dealt_by_key_before_they_are_reduced(spark, rows):
+    some = [(f"K{i % 7}", "y", "w", 1, "m", f"s{i % 11}", i, "t", f"f{i % 3}", i) for i in range(300)]
+    batch = rows(BATCH, *some).repartition(2)
+    done = merge.settled_batch(batch, 5)
+    assert sorted(map(tuple, done.collect())) == sorted(map(tuple, merge.settled_batch(batch).collect()))
+    places = done.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert 1 < places <= 5
+    plan = done._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("Exchange" if "Exchange" in plan else "Repartition") > plan.rindex("Aggregate")
+
+
+def test_tasks_that_reduce_follow_the_rows(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(merge, "TASK_ROWS", 10)
+    assert [merge.tasks_for(spark, n) for n in (0, 1, 10_000)] == [1, 1, 1_000]
+    dealt = []
+    first = merge.settled_batch
+    monkeypatch.setattr(merge, "settled_batch", lambda batch, tasks=None: dealt.append(tasks) or first(batch, tasks))
+    lists = rows(PROVIDER_SCHEMA, ("Known", "K01", "r", "s", None, "f", "NHS_TRUST", "2000/01"))
+    tables = load.Tables(str(tmp_path))
+    for _run in range(2):
+        load.take_batch(spark, tables, staged(rows, *["Known"] * 200), lists)
+    assert dealt == [20, 40]  # the second time the rows that are there count too
+    assert load.fact_table(spark, tables).count() == 200
+
+
+def test_existing_rows_lie_in_a_hash_table(spark, rows):
+    old = rows(FACT_SCHEMA, *[(f"K{i}", "y", "w", 1, "m", "s", 1, "t", "f") for i in range(9)])
+    settled = merge.settled_batch(rows(BATCH, *[(f"K{i}", "y", "w", 1, "m", "s", i % 2, "t", "f", 1) for i in range(12)]), 3)
+    changes = merge.fact_changes(old, settled, [])
+    assert sorted(r.org_code for r in changes.collect()) == sorted(["K0", "K2", "K4", "K6", "K8", "K9", "K10", "K11"])
+    plan = changes._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_task_sizes_are_bounded_while_a_batch_loads(spark, rows, tmp_path, monkeypatch):
+    seen = []
+    inner = load.quality.assert_loadable
+    monkeypatch.setattr(load.quality, "assert_loadable", lambda *a: seen.append({n: spark.conf.get(n) for n in LOAD_BYTES}) or inner(*a))
+    before = {n: spark.conf.get(n) for n in LOAD_BYTES}
+    lists = rows(PROVIDER_SCHEMA, ("Known", "K01", "r", "s", None, "f", "NHS_TRUST", "2000/01"))
+    load.take_batch(spark, load.Tables(str(tmp_path)), staged(rows, "Known"), lists)
+    assert seen == [{n: f"{size}b" for n, size in LOAD_BYTES.items()}]
+    assert {n: spark.conf.get(n) for n in LOAD_BYTES} == before
+    with bounded_tasks(spark, {"spark.sql.files.maxPartitionBytes": 1 << 40}):
+        assert {n: spark.conf.get(n) for n in LOAD_BYTES} == before
