@@ -230,8 +230,13 @@ def scorecard(
     the surplus on its sign, and a missing value is Green in both. ``extra`` adds
     further columns of ``org_year_wide`` (the workforce groups, for example).
     """
-    wide = _with_ratios(org_year_wide(fact, trusts, codes, only_with_income=True))
-    return wide.select(
+    return scorecard_of(org_year_wide(fact, trusts, codes, only_with_income=True), extra)
+
+
+def scorecard_of(wide: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """V7 from ``org_year_wide``."""
+    with_income = wide.where(F.col("has_summary") & (F.col("total_income_000s") > 0))
+    return _with_ratios(with_income).select(
         *VIEW_KEY,
         *_pick(SCORECARD_COLUMNS),
         status.EBITDA_BANDS.status("ebitda_margin_pct", when_null="Green").alias("ebitda_rag"),
@@ -278,6 +283,19 @@ def views(fact: DataFrame, trusts: DataFrame, codes: DataFrame) -> dict[str, Dat
     }
 
 
+def views_of(wide: DataFrame, fact: DataFrame, trusts: DataFrame) -> dict[str, DataFrame]:
+    """The seven views, five of them from ``org_year_wide``, which the caller has stored."""
+    return {
+        "income_expenditure": income_expenditure_of(wide),
+        "profit_and_loss": profit_and_loss(fact, trusts),
+        "expenditure_breakdown": expenditure_breakdown_of(wide),
+        "workforce": workforce_of(wide),
+        "balance_sheet": balance_sheet(fact, trusts),
+        "kpis": kpis_of(wide),
+        "scorecard": scorecard_of(wide),
+    }
+
+
 def register_views(fact: DataFrame, trusts: DataFrame, codes: DataFrame) -> list[str]:
     """Name the seven views for SQL users."""
     named = views(fact, trusts, codes)

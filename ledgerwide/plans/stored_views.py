@@ -10,6 +10,7 @@ whose inputs changed, all views in one commit.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from ledgerwide import reference_data as ref
 from ledgerwide.plans import gold
 from ledgerwide.plans.load import FACT_PARTS, Tables, bucket_of
 from ledgerwide.schemas import FACT_SCHEMA, ORG_ATTRIBUTES, TRUST_SCHEMA
+from ledgerwide.session import bounded_tasks, drop_scratch, scratch_path
 from ledgerwide.sources import commits
 
 #: What stored results name in the log: the versions that they were made from, each under the
@@ -25,6 +27,8 @@ from ledgerwide.sources import commits
 MADE_FROM = {"fact": "fact", "codes": "dim_subcode", "dim_trust": "dim_trust"}
 ATTRIBUTES = "trusts"
 
+WRITERS = 4  # results written at the same time
+
 
 def _views(change: commits.Change, fact: DataFrame) -> dict[str, DataFrame]:
     trusts = change.read("dim_trust", TRUST_SCHEMA)
@@ -55,8 +59,22 @@ def stale_parts(change: commits.Change, prefix: str = "view") -> set[str]:
 
 
 def refresh(spark: SparkSession, tables: Tables) -> set[str]:
-    """Bring the stored views up to the latest commit; returns the parts that were rewritten."""
-    return follow(spark, tables, "view", _views)
+    """Bring the stored views up to the latest commit; returns the parts that were rewritten.
+
+    Five views are projections of one wide frame, which is pivoted once and stored meanwhile.
+    """
+    shared = scratch_path(spark, "wide")
+
+    def made(change: commits.Change, fact: DataFrame) -> dict[str, DataFrame]:
+        trusts = change.read("dim_trust", TRUST_SCHEMA)
+        wide = gold.org_year_wide(fact, trusts, change.read("dim_subcode", ref.CODE_SCHEMA))
+        wide.write.parquet(shared)
+        return gold.views_of(spark.read.schema(wide.schema).parquet(shared), fact, trusts)
+
+    try:
+        return follow(spark, tables, "view", made)
+    finally:
+        drop_scratch(spark, shared)
 
 
 def follow(
@@ -75,9 +93,14 @@ def follow(
         stale = stale_parts(change, prefix)
         if stale:
             fact = change.read("fact", FACT_SCHEMA, stale)
-            for name, frame in made(change, fact).items():
+
+            def store(name: str, frame: DataFrame) -> None:
                 spread = frame.select("*", bucket_of(buckets)).hint("rebalance", *FACT_PARTS)
                 change.write(spread.sortWithinPartitions(*FACT_PARTS), f"{prefix}_{name}", FACT_PARTS, stale)
+
+            with bounded_tasks(spark), ThreadPoolExecutor(WRITERS) as pool:
+                for done in [pool.submit(store, *result) for result in made(change, fact).items()]:
+                    done.result()
         if change.partitions("dim_trust") != change.partitions(f"{prefix}_dim_trust"):
             shown = change.read("dim_trust", TRUST_SCHEMA).select("org_code", *ORG_ATTRIBUTES)
             change.write(shown, f"{prefix}_{ATTRIBUTES}")

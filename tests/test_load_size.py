@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerwide import reference_data as ref
 from ledgerwide.operators import merge, resolve
-from ledgerwide.plans import load
+from ledgerwide.plans import gold, load
 from ledgerwide.schemas import FACT_SCHEMA, PROVIDER_SCHEMA, STAGED_SCHEMA
 from ledgerwide.session import LOAD_BYTES, bounded_tasks
 from ledgerwide.sources import derived
@@ -116,3 +117,15 @@ def test_task_sizes_are_bounded_while_a_batch_loads(spark, rows, tmp_path, monke
     assert {n: spark.conf.get(n) for n in LOAD_BYTES} == before
     with bounded_tasks(spark, {"spark.sql.files.maxPartitionBytes": 1 << 40}):
         assert {n: spark.conf.get(n) for n in LOAD_BYTES} == before
+
+
+def test_views_from_one_stored_frame_equal_those_from_the_fact(spark, tmp_path):
+    fact, trusts, codes = derived.fact(spark, FOLDER), derived.trusts(spark, FOLDER), ref.code_dimension(spark)
+    wide = gold.org_year_wide(fact, trusts, codes)
+    wide.write.parquet(str(tmp_path / "wide"))
+    found = gold.views_of(spark.read.schema(wide.schema).parquet(str(tmp_path / "wide")), fact, trusts)
+    wanted = gold.views(fact, trusts, codes)
+    assert list(found) == list(wanted)
+    for name, view in wanted.items():
+        assert found[name].columns == view.columns and found[name].dtypes == view.dtypes
+        assert sorted(map(str, found[name].collect())) == sorted(map(str, view.collect())), name
