@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import filterfalse
 
 KEPT_BYTES = 96 << 20  # that the chunks a worker remembers may take, and again their words
 ENTRY_BYTES = 200  # of an entry beside its characters: two objects and a place in a table
@@ -47,11 +48,13 @@ class Recent:
         self.old: dict[str, bytes] = {}
         self.size = 0
 
-    def missing(self, keys: set[str]) -> set[str]:
-        """The keys that are not held; all others are in ``young`` until the next call."""
+    def missing(self, *groups: Iterable[str]) -> set[str]:
+        """The keys of all groups that are not held; all others are in ``young`` until the next call."""
         if self.size > self.half:
             self.old, self.young, self.size = self.young, {}, 0
-        rest = keys.difference(self.young)
+        rest: set[str] = set()
+        for keys in groups:  # most keys are held, so only the others enter a set
+            rest.update(filterfalse(self.young.__contains__, keys))
         if rest and self.old:
             again = {k: value for k in rest if (value := self.old.get(k)) is not None}
             self.put(again)
@@ -108,28 +111,28 @@ class ChunkStore:
 
     def _of_group(self, texts: list[str]) -> list[bytes]:
         split = [chunks_of(t) for t in texts]
-        if missing := self.known.missing(set().union(*split)):
+        if missing := self.known.missing(*split):
             self.known.put(self._learn(missing))
         get = self.known.young.__getitem__
         return [b"".join(map(get, chunks)) for chunks in split]
 
     def _learn(self, chunks: set[str]) -> dict[str, bytes]:
-        plain = [c for c in chunks if c.isascii() and c.isalpha()]
-        words = list(map(str.lower, plain))
-        cut = []
-        for chunk in chunks.difference(plain):
-            word = chunk.rstrip(SIGNS)
-            if word.isalpha() and (word.isascii() or _stays_letters(word)):
-                cut.append((chunk, word.lower() if word.isascii() else word, chunk[len(word) :]))
-            else:
-                cut.append((chunk, chunk, ""))
-        wanted = {word for _, word, _ in cut}
-        wanted.update([signs for _, _, signs in cut], words)
-        wanted.discard("")
-        if missing := self.parts.missing(wanted):
+        words: dict[str, str] = {}  # of each chunk the form that is encoded, without the signs behind it
+        signs: dict[str, str] = {}
+        for chunk in chunks:
+            word = chunk if chunk.isalpha() else chunk.rstrip(SIGNS)
+            plain = word.isascii()
+            if not word.isalpha() or not (plain or len(word) == len(chunk) or _stays_letters(word)):
+                words[chunk] = chunk
+                continue
+            words[chunk] = word.lower() if plain else word
+            if len(word) < len(chunk):
+                signs[chunk] = chunk[len(word) :]
+        if missing := self.parts.missing(words.values(), signs.values()):
             names = list(missing)
             self.parts.put(dict(zip(names, self.encode(names))))
         get = self.parts.young.__getitem__
-        known = dict(zip(plain, map(get, words)))
-        known.update((chunk, get(word) + get(signs) if signs else get(word)) for chunk, word, signs in cut)
+        known = dict(zip(words, map(get, words.values())))
+        for chunk, end in signs.items():
+            known[chunk] += get(end)
         return known

@@ -113,3 +113,18 @@ def test_perfect_hash_is_minimal(n):
     keys = np.random.default_rng(n).choice(1 << 40, n, replace=False).astype(np.uint64)
     index = token_files.perfect_hash(keys)
     assert sorted(token_files.numbers(index, keys).tolist()) == list(range(n))
+
+
+def test_chunks_are_looked_up_by_group_and_learned_once():
+    asked = []
+
+    def encode(parts):
+        asked.extend(parts)
+        return [f"[{p}]".encode() for p in parts]
+
+    store = ChunkStore(encode)
+    assert list(store.of_texts(["Word, word word. É. É 12. ...", None, "WORD, É. 12."])) == [
+        "[word][,][word][word][.][É][.][É][12.][...]".encode(), b"", "[word][,][É][.][12.]".encode(),
+    ]
+    assert sorted(asked) == sorted({*asked}) == sorted(["word", ",", ".", "É", "12.", "..."])
+    assert store.known.missing(["WORD,", "new"], iter(["newer", "É."])) == {"new", "newer"}
