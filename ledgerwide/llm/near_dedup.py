@@ -9,15 +9,22 @@ the distance with a probability below ``miss``; pairs above it do so far more ra
 
 Texts with equal shingle sets are one class before any of this, so copies never meet as
 pairs. Inside a bucket no all-pairs list is made either. A first round pairs each member with
-one hub of its bucket; later ones only members outside their bucket's largest component,
+one hub of its bucket, that which meets the most others; later ones only members outside their bucket's largest component,
 each with one member of that. Members already in one component need no further test. What
-pairs of different components are left is enumerated last: a pair comes out of the join
-once, in the first bucket it shares, and only if its signatures are within the distance and
-two longer signatures of the few texts concerned still allow the similarity, so no link is
-lost and no pair is repeated. One of them keeps the parity of the shingles that fall on each of
-its bits: two sets differ in at least as many shingles as their parities differ in bits, which
-is close to exact for texts of some hundred words, where many near texts stand together
-without being linked; the other holds more MinHash values and serves texts of any length.
+pairs of different components are left is searched last. Where a main component's buckets hold
+few other members, pairs are listed: a pair comes out of the join once, in the first bucket it
+shares, and only if its signatures are within the distance and two longer signatures of the few
+texts concerned still allow the similarity, so no link is lost and no pair is repeated. One of
+them keeps the parity of the shingles that fall on each of its bits: two sets differ in at least
+as many shingles as their parities differ in bits; the other holds more MinHash values.
+
+Where they hold many, as around a text with many near copies that are not linked, a list would
+grow with the square of their number. There each set is taken as its difference from one center's
+set. With |A| and |B| given, two sets are linked if and only if their differences share a known
+number of shingles, so in any order of the shingles the first shared one stands early in both.
+Those of few members come first, and an equal one among the early ones is what a candidate pair
+takes. Any order gives all links; which ones are of few members is judged by a quarter of them. If a pair needs to share none, both members are
+linked with the one that is nearest, which stands for them.
 Links are confirmed on the full shingle sets.
 """
 
@@ -41,6 +48,8 @@ PLACES = 5  # values in a chunk
 BITS = 12  # bits kept of a value
 MISS = 1e-5  # accepted chance that a pair at the threshold exceeds the distance
 HUB_ROUNDS = 2  # at most; fewer when nothing is left or a round finds nothing
+OFTEN = (1, 4, 16, 64)  # members of a quarter of a group that make a shingle frequent, more and more so
+LISTED = 32  # pairs that are listed for a member of a main component's buckets, on average
 
 FILTER_BITS = 27  # of the bit fields that spare shuffles
 FINE = 1024  # values of the longer signature, of 4 bits each
@@ -328,6 +337,102 @@ def _class_texts(spark: SparkSession, docs: DataFrame, needed: DataFrame, shingl
     return stored(spark, found.dropDuplicates(["node"]), "class-texts")
 
 
+def _differences(both: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """main, node, root, gap, score, apart from (main, node, root, text, tc).
+
+    apart: the shingles that only one of the texts ``text`` and ``tc`` has, gap: their number. Those
+    of ``text`` come first: few others have them, while many lack the same ones of the center.
+    Sets A and B are linked if their differences share (score of A + score of B) / 2 (100 + percent)
+    shingles or more.
+    """
+    percent = round(100 * similarity)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches):
+            texts, centers = split_words(batch.column(3)), split_words(batch.column(4))
+            sizes, apart = np.zeros(batch.num_rows, np.int64), []
+            for r in range(batch.num_rows):
+                values = shingle_set(texts.row(r), shingle)
+                sizes[r] = len(values)
+                center = shingle_set(centers.row(r), shingle)
+                apart += [np.setdiff1d(x, y, assume_unique=True) for x, y in ((values, center), (center, values))]
+            gaps = np.array([len(a) for a in apart], np.int64).reshape(-1, 2).sum(axis=1)
+            ends = np.concatenate([[0], np.cumsum(gaps)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(apart).view(np.int64)))
+            score = (100 + percent) * gaps - (100 - percent) * sizes
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(gaps), pa.array(score), lists], ["main", "node", "root", "gap", "score", "apart"]
+            )
+
+    both = both.select("main", "node", "root", "text", "tc")
+    return both.mapInArrow(compare, "main long, node long, root long, gap long, score long, apart array<long>")
+
+
+def _seldom_first(spark: SparkSession, apart: DataFrame) -> DataFrame:
+    """The same rows, their differences in an order common to the group: what many have comes last.
+
+    The order decides only how many candidates there are, so a quarter of the members may give it.
+    """
+    some = apart.where(F.pmod("node", F.lit(4)) == 0).select("main", F.explode("apart").alias("item"))
+    keys = some.select(F.col("main").bitwiseXOR(F.col("item")).alias("key")).groupBy("key").agg(F.count("*").alias("n"))
+    keys = stored(spark, keys.where("n > 1"), "often")
+    fields = [packed(field_of(keys.where(F.col("n") > n), "key", FILTER_BITS)) for n in OFTEN]
+    discard(spark, keys)
+    shared = spark.sparkContext.broadcast(fields)
+
+    def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fields = [opened(value) for value in shared.value]
+        for batch in text_slices(batches):
+            gaps = batch.column(3).to_numpy()
+            row = np.repeat(np.arange(batch.num_rows), gaps)
+            items = batch.column(5).flatten().to_numpy().view(np.uint64)
+            keys = items ^ batch.column(0).to_numpy().view(np.uint64)[row]
+            many = sum(held(field, keys).astype(np.int8) for field in fields)
+            ends = pa.array(np.concatenate([[0], np.cumsum(gaps)]).astype(np.int32))
+            lists = pa.ListArray.from_arrays(ends, pa.array(items[np.lexsort((many, row))].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], lists], batch.schema.names)
+
+    return apart.mapInArrow(order, apart.schema)
+
+
+def _sharing(spark: SparkSession, apart: DataFrame, similarity: float, scratch: list[DataFrame]) -> DataFrame:
+    """Pairs (a, b) of different components whose differences may share enough.
+
+    Of gap shingles, need of which are shared, the first shared one in any common order is at
+    most at position gap - need, counted from 0. A member's need is the smallest that a partner leaves it.
+    """
+    twice = 2 * (100 + round(100 * similarity))
+
+    def need(a: str, b: str) -> Column:
+        return F.greatest(F.lit(1), F.ceil((F.col(a) + F.col(b)) / twice))
+
+    minor = F.col("root") != F.col("main")
+    bounds = apart.groupBy("main").agg(
+        F.min("score").alias("least"),
+        F.min(F.when(minor, F.col("score"))).alias("outside"),
+        F.min_by(F.struct("node", "root"), F.struct("score", "node")).alias("best"),
+    )
+    known = _seldom_first(spark, apart).join(F.broadcast(bounds), "main")
+    # Differences that need not share anything: both are linked with the nearest one.
+    star = known.where((F.col("score") + F.col("least") <= 0) & (F.col("root") != F.col("best.root")))
+    star = star.select(F.least("node", "best.node").alias("a"), F.greatest("node", "best.node").alias("b"))
+
+    ends = known.withColumn("p_end", F.when(minor, F.col("gap") - need("score", "least") + 1).otherwise(0))
+    ends = ends.withColumn("q_end", F.col("gap") - need("score", "outside") + 1)
+    head = F.slice("apart", F.lit(1), F.greatest(F.lit(0), "p_end", "q_end").cast("int"))
+    early = ends.select("main", "node", "root", "gap", "score", "p_end", "q_end", F.posexplode(head).alias("at", "item"))
+    early = early.withColumn("first", F.col("at") < F.col("p_end")).withColumn("second", F.col("at") < F.col("q_end"))
+    early = early.withColumn("left", F.col("gap") - F.col("at"))
+    early = stored(spark, early.select("main", "item", "node", "root", "score", "left", "first", "second"), "early")
+    scratch.append(early)
+    p = early.where("first").select("main", "item", *[F.col(c).alias(f"p_{c}") for c in ("node", "root", "score", "left")])
+    q = early.where("second").select("main", "item", *[F.col(c).alias(f"q_{c}") for c in ("node", "root", "score", "left")])
+    once = (F.col("q_root") == F.col("main")) | (F.col("p_root") < F.col("q_root"))
+    met = p.join(q, ["main", "item"]).where(once & (F.least("p_left", "q_left") >= need("p_score", "q_score")))
+    met = met.select(F.least("p_node", "q_node").alias("a"), F.greatest("p_node", "q_node").alias("b"))
+    return met.unionByName(star).distinct()
+
+
 class _Links:
     """Rounds of candidate pairs over the buckets, with the links they have confirmed."""
 
@@ -373,9 +478,17 @@ class _Links:
         return True
 
     def first_pairs(self, buckets: DataFrame) -> DataFrame:
-        """Each member with its bucket's least, so that few hubs serve many buckets."""
-        hubs = buckets.groupBy("bucket").agg(F.min("node").alias("hub"))
-        pairs = buckets.join(hubs, "bucket").where("node <> hub").select("node", "hub").distinct()
+        """Each member with that of its bucket which meets the most others, so that few hubs serve many buckets.
+
+        Among near copies of one text that is the text itself or what stands nearest to it, and
+        what is linked with it becomes one component at once.
+        """
+        sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+        shared = stored(self.spark, buckets.select("bucket", "node").join(sizes, "bucket"), "shared")
+        self.scratch.append(shared)
+        met = shared.groupBy("node").agg(F.sum("n").alias("met"))
+        hubs = shared.join(met, "node").groupBy("bucket").agg(F.max_by("node", F.struct("met", "node")).alias("hub"))
+        pairs = shared.join(hubs, "bucket").where("node <> hub").select("node", "hub").distinct()
         return self.within(pairs)
 
     def hub_pairs(self, mixed: DataFrame, turn: int) -> DataFrame:
@@ -393,6 +506,36 @@ class _Links:
         return both.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
 
     def rest(self, mixed: DataFrame) -> DataFrame:
+        """Pairs of different components that may be linked; with those that are, no link is lost."""
+        sizes = mixed.groupBy("bucket", "main").agg(
+            F.count("*").alias("n"), F.count(F.when(F.col("root") != F.col("main"), 1)).alias("minor")
+        )
+        tests = sizes.groupBy("main").agg(F.sum("n").alias("rows"), F.sum(F.col("n") * F.col("minor")).alias("tests"))
+        dense = stored(self.spark, tests.where(F.col("tests") > LISTED * F.col("rows")).select("main"), "dense")
+        self.scratch.append(dense)
+        if dense.isEmpty():
+            return self.listed(mixed)
+        near = self.by_center(mixed.join(F.broadcast(dense), "main").join(sizes.select("bucket", "n"), "bucket"))
+        return self.listed(mixed.join(F.broadcast(dense), "main", "left_anti")).unionByName(near)
+
+    def by_center(self, mixed: DataFrame) -> DataFrame:
+        """Pairs whose differences from their main component's center allow the similarity, each once.
+
+        The center is the member that meets the most others, counted over the buckets; ``mixed``
+        has the size n of every row's bucket.
+        """
+        members = mixed.groupBy("main", "node").agg(F.min("root").alias("root"), F.sum("n").alias("met"))
+        members = stored(self.spark, members, "dense-members")
+        centers = members.groupBy("main").agg(F.max_by("node", F.struct("met", "node")).alias("center"))
+        centers = centers.join(self.texts.select(F.col("node").alias("center"), F.col("text").alias("tc")), "center")
+        centers = stored(self.spark, centers.select("main", "tc"), "centers")
+        texts = self.texts.select("node", "text")
+        both = members.select("main", "node", "root").join(texts, "node").join(centers, "main")
+        apart = stored(self.spark, _differences(both, self.shingle, self.similarity), "differences")
+        self.scratch += [members, centers, apart]
+        return _sharing(self.spark, apart, self.similarity, self.scratch)
+
+    def listed(self, mixed: DataFrame) -> DataFrame:
         """All pairs of different components within the distance, each once.
 
         One side is only the members outside their bucket's main component. Both sides are

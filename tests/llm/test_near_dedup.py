@@ -146,3 +146,69 @@ def test_parities_never_differ_more_than_the_sets():
         assert apart <= changed + changed // 2
         if size < 1_000:
             assert apart >= 0.9 * (changed + changed // 2)
+
+
+def around(center, n, most, seed, words):
+    r = random.Random(seed)
+    out = []
+    for _ in range(n):
+        new = list(center)
+        for _ in range(r.randint(0, most)):
+            new[r.randrange(len(new))] = r.choice(words) if r.random() < 0.5 else f"u{r.random()}"
+        out.append(" ".join(new))
+    return out
+
+
+@pytest.mark.parametrize("size,similarity,listed", [(3, 0.85, 32), (5, 0.8, 0)])
+def test_many_near_texts_without_links_make_no_list_of_pairs(spark, monkeypatch, size, similarity, listed):
+    words = [f"w{k}" for k in range(500)]
+    r = random.Random(9)
+    one = [r.choice(words) for _ in range(150)]
+    two = one[:120] + [f"z{k}" for k in range(30)]  # near the first without being linked
+    texts = around(one, 260, 22, 1, words) + around(two, 120, 20, 2, words) + [t for _, t in near_copies(5) if t]
+    # A text and two longer ones: their differences from it need to share nothing.
+    texts += [" ".join(one), " ".join(one + [f"l{k}" for k in range(9)]), " ".join([f"k{k}" for k in range(9)] + one)]
+    rows = list(enumerate(texts))
+    made = {}
+    keep = nd.stored
+
+    def counted(spark, frame, label):
+        table = keep(spark, frame, label)
+        made.setdefault(label, []).append(table.count())
+        return table
+
+    monkeypatch.setattr(nd, "stored", counted)
+    monkeypatch.setattr(nd, "LISTED", listed)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = nd.near_duplicates(spark, docs, size, similarity).drop("cls").collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows, size, round(100 * similarity))
+    assert sum(made["dense"]) > 0
+    assert sum(made.get("pairs", [])) < 32 * len(rows) / 4
+
+
+def test_pairs_by_center_hold_every_link(spark):
+    r = random.Random(4)
+    base = r.sample(range(10_000), 60)
+    sets = [set(base)]
+    for _ in range(90):
+        gone, new = r.sample(base, r.randint(0, 12)), [r.randrange(60, 90) + 20_000 for _ in range(r.randint(0, 12))]
+        sets.append(set(base) - set(gone) | set(new))
+    for center in (0, 7):
+        rows = []
+        for k, s in enumerate(sets):
+            apart = sorted(s ^ sets[center])
+            rows.append((0, k, k * (k > 9), len(apart), 185 * len(apart) - 15 * len(s), apart))
+        frame = spark.createDataFrame(rows, "main long, node long, root long, gap long, score long, apart array<long>")
+        got = {(x.a, x.b) for x in nd._sharing(spark, frame, 0.85, []).collect()}
+        root = {row[1]: row[2] for row in rows}
+        alike = lambda a, b: 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])
+        # Components after the pairs that are links are the same as after all links.
+        def parts(pairs):
+            top = dict(root)
+            for a, b in pairs:
+                low, high = sorted((top[a], top[b]))
+                top = {n: low if t == high else t for n, t in top.items()}
+            return top
+
+        every = [(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets)) if root[a] != root[b] and alike(a, b)]
+        assert every and parts([p for p in got if alike(*p)]) == parts(every)
